@@ -8,21 +8,16 @@ from pyspark.sql import functions as F
 from tillwise.functions.dates import as_date, month_part, month_start, quarter_part, year_part
 from tillwise.functions.measures import MONEY, QTY, line_qty, returned
 from tillwise.functions.ratios import ratio
-from tillwise.plans.facts import (
-    category_lines, line_measures, per_order, product_totals, revenue_aggs, with_order_dates,
-)
+from tillwise.plans.facts import category_lines, dated_lines, line_measures, product_totals
 from tillwise.plans.ordering import rank_family
 from tillwise.plans.regions import to_regions
 from tillwise.sources.tables import Tables
 
 
 def monthly_revenue(t: Tables) -> DataFrame:
-    """``month`` (first day), ``revenue`` and ``n_lines`` by sale month.
-
-    Lines are totalled per order before the orders join, then per month: the line exchange
-    carries one row per order, and the month aggregate is at most one row per calendar month."""
-    orders_lvl = per_order(line_measures(t), *revenue_aggs())
-    dated = with_order_dates(orders_lvl, t)
+    """``month`` (first day), ``revenue`` and ``n_lines`` by sale month: lines attached to
+    their orders' dates, then at most one row per calendar month."""
+    dated = dated_lines(t, line_measures(t), ["revenue", "n_lines"])
     return dated.groupBy(month_start("order_date").alias("month")).agg(
         F.sum("revenue").cast(MONEY).alias("revenue"),
         F.sum("n_lines").cast("bigint").alias("n_lines"),
@@ -117,14 +112,11 @@ def stock_movement_monthly(t: Tables) -> DataFrame:
 def revenue_cube(t: Tables) -> DataFrame:
     """Revenue by customer region x product category with all subtotals (``cube``).
 
-    Lines get their category, are totalled per order and category, per customer and category,
-    per nation and category; only then is the cube expanded, over at most regions x categories
-    rows."""
-    by_order = per_order(category_lines(t), F.sum("revenue").alias("revenue"),
-                         keys=("category",))
-    by_customer = (with_order_dates(by_order, t)
-                   .groupBy("o_custkey", "category").agg(F.sum("revenue").alias("revenue")))
-    by_region = to_regions(by_customer, t, keys=("category",))
+    Lines get their category, their order's customer and the customer's region (each large
+    dimension broadcast if proven small, else met by per-key totals); only then is the cube
+    expanded, over at most regions x categories rows."""
+    dated = dated_lines(t, category_lines(t), ["revenue"], carry=("category",))
+    by_region = to_regions(dated, t, ["revenue"], keys=("category",))
     return by_region.cube("region", "category").agg(
         F.sum("revenue").cast(MONEY).alias("revenue"),
         F.grouping("region").cast("bigint").alias("g_region"),
@@ -144,18 +136,13 @@ def customer_rank_family(t: Tables, tiles: int = 4) -> DataFrame:
 
 def returns_by_month(t: Tables) -> DataFrame:
     """Returned lines and revenue by sale month, with return rate and returned revenue share."""
-    r = F.col("is_returned")
-    orders_lvl = per_order(
-        line_measures(t),
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.when(r, 1).otherwise(0)).alias("returned_lines"),
-        F.sum("revenue").alias("revenue"),
-        F.sum(F.when(r, F.col("revenue"))).alias("returned_revenue"))
-    monthly = with_order_dates(orders_lvl, t).groupBy(month_start("order_date").alias("month")).agg(
+    measures = ["n_lines", "returned_lines", "revenue", "returned_revenue"]
+    dated = dated_lines(t, line_measures(t), measures)
+    monthly = dated.groupBy(month_start("order_date").alias("month")).agg(
         F.sum("n_lines").cast("bigint").alias("n_lines"),
         F.sum("returned_lines").cast("bigint").alias("returned_lines"),
         F.sum("revenue").cast(MONEY).alias("revenue"),
-        F.coalesce(F.sum("returned_revenue"), F.lit(0)).cast(MONEY).alias("returned_revenue"))
+        F.sum("returned_revenue").cast(MONEY).alias("returned_revenue"))
     return monthly.select(
         "month", "n_lines", "returned_lines", "revenue", "returned_revenue",
         ratio(F.col("returned_lines"), F.col("n_lines")).alias("return_rate"),

@@ -14,7 +14,7 @@ from tillwise.functions.measures import MONEY
 from tillwise.functions.ratios import growth, ratio
 from tillwise.operators.descriptive import monthly_revenue
 from tillwise.plans.facts import (
-    category_lines, line_measures, order_dates, per_order, product_totals, with_order_dates,
+    category_lines, dated_lines, line_measures, order_dates, product_totals,
 )
 from tillwise.plans.ordering import global_order, ntile_of
 from tillwise.plans.regions import to_regions
@@ -52,8 +52,8 @@ def growth_ranking(t: Tables, dims: Sequence[str]) -> DataFrame:
     """Revenue growth between the last two complete calendar years by category, customer
     region or both, ranked fastest first.
 
-    Both years are summed in one pass with conditional sums.  Measures are reduced at each join
-    grain: per order (and category), per customer (and category), per nation, then region."""
+    Both years are summed in one pass with conditional sums; each large dimension is attached
+    by the broadcast-or-pre-aggregate rule (:func:`tillwise.plans.facts.attach`)."""
     dims = [d for d in GROWTH_DIMS if d in dims]
     cur = last_complete_year(latest_order_date(t))
     prev = cur - 1
@@ -61,16 +61,17 @@ def growth_ranking(t: Tables, dims: Sequence[str]) -> DataFrame:
               .where(F.col("year").between(prev, cur)).drop("order_date"))
     keys = ("category",) if "category" in dims else ()
     lines = category_lines(t) if keys else line_measures(t)
-    by_order = per_order(lines, F.sum("revenue").alias("revenue"), keys=keys).join(orders, "o_orderkey")
-    in_cur = F.sum(F.when(F.col("year") == cur, F.col("revenue")))
-    in_prev = F.sum(F.when(F.col("year") == prev, F.col("revenue")))
+    dated = dated_lines(t, lines, ["revenue"], carry=keys, orders=orders)
+    zero = F.lit(0).cast(MONEY)
+    split = dated.select(
+        "o_custkey", *keys,
+        F.when(F.col("year") == prev, F.col("revenue")).otherwise(zero).alias("revenue_prev"),
+        F.when(F.col("year") == cur, F.col("revenue")).otherwise(zero).alias("revenue_cur"))
+    measures = ["revenue_prev", "revenue_cur"]
     if "region" in dims:
-        by_customer = by_order.groupBy("o_custkey", *keys).agg(
-            in_prev.alias("revenue_prev"), in_cur.alias("revenue_cur"))
-        totals = to_regions(by_customer, t, keys=keys)
+        totals = to_regions(split, t, measures, keys=keys)
     else:
-        totals = by_order.groupBy(*keys).agg(in_prev.alias("revenue_prev"),
-                                             in_cur.alias("revenue_cur"))
+        totals = split.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
     rp = F.coalesce(F.col("revenue_prev"), F.lit(0)).cast(MONEY)
     rc = F.coalesce(F.col("revenue_cur"), F.lit(0)).cast(MONEY)
     out = totals.select(*dims, prev.alias("prev_year"), cur.alias("cur_year"),
@@ -87,7 +88,7 @@ def repeat_rate_by_region(t: Tables, min_orders: int = 2) -> DataFrame:
     flags = per_customer.select(
         "o_custkey", F.lit(1).cast("bigint").alias("buyers"),
         F.when(F.col("n") >= min_orders, 1).otherwise(0).cast("bigint").alias("repeat_buyers"))
-    by_region = to_regions(flags, t)
+    by_region = to_regions(flags, t, ["buyers", "repeat_buyers"])
     return by_region.select(
         "region", F.lit(min_orders).cast("bigint").alias("min_orders"),
         F.col("buyers").cast("bigint").alias("buyers"),

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import day_diff, month_start
-from tillwise.functions.measures import DEFAULT_COST_RATIO, MONEY, line_qty
+from tillwise.functions.measures import DEFAULT_COST_RATIO, MONEY
 from tillwise.functions.ratios import ratio
 from tillwise.operators.descriptive import monthly_revenue
 from tillwise.operators.diagnostic import latest_order_date
 from tillwise.plans.facts import (
-    costed_lines, customer_profit, line_measures, per_order, product_profit, with_order_dates,
+    costed_lines, customer_profit, dated_lines, line_measures, product_profit,
 )
 from tillwise.plans.ordering import global_order
 from tillwise.plans.spine import calendar_spine
@@ -91,8 +91,8 @@ def moving_avg_month(t: Tables, n: int = 3) -> DataFrame:
 
 
 def daily_revenue(t: Tables) -> DataFrame:
-    orders_lvl = per_order(line_measures(t), F.sum("revenue").alias("revenue"))
-    return with_order_dates(orders_lvl, t).groupBy("order_date").agg(
+    dated = dated_lines(t, line_measures(t), ["revenue"])
+    return dated.groupBy("order_date").agg(
         F.sum("revenue").cast(MONEY).alias("revenue"))
 
 
@@ -102,11 +102,7 @@ def moving_avg_day(t: Tables, n: int = 7) -> DataFrame:
 
 
 def _costed_orders(t: Tables, keys: tuple[str, ...], cost_ratio: Decimal) -> DataFrame:
-    lines = costed_lines(t, cost_ratio)
-    by_order = per_order(lines, F.sum(line_qty("l_quantity")).alias("qty"),
-                         F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost"),
-                         keys=keys)
-    return with_order_dates(by_order, t)
+    return dated_lines(t, costed_lines(t, cost_ratio), ["qty", "revenue", "cost"], carry=keys)
 
 
 def margin_trend(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
@@ -157,8 +153,8 @@ def kpi_summary(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFram
     lines = costed_lines(t, cost_ratio).agg(
         F.sum("revenue").cast(MONEY).alias("revenue"),
         F.sum("cost").cast(MONEY).alias("cost"),
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.when(F.col("is_returned"), 1).otherwise(0)).cast("bigint").alias("returned_lines"))
+        F.sum("n_lines").cast("bigint").alias("n_lines"),
+        F.sum("returned_lines").cast("bigint").alias("returned_lines"))
     n_orders = t.orders.select(F.count(F.lit(1))).scalar()
     n_buyers = t.orders.select(F.count_distinct("o_custkey")).scalar()
     profit = (F.col("revenue") - F.col("cost")).cast(MONEY)

@@ -1,93 +1,120 @@
-"""Lean facts built per question.
+"""Lean facts built per question, and the one join rule they all follow.
 
 Catalyst does not drop an inner join whose columns are unused, so there is no wide shared
-"sales" view: each question joins only the tables it needs.  Lines are aggregated to the grain
-of the next join before that join (order, product, customer, nation), so each big exchange
-carries one row per join key rather than one per line, and the join reuses the partitioning of
-the aggregate instead of shuffling the line data again.
+"sales" view: each question joins only the tables it needs, through :func:`attach`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import as_date
 from tillwise.functions.measures import (
-    DEFAULT_COST_RATIO, MONEY, QTY, line_cost, line_qty, net_revenue, returned, unit_cost,
+    AMOUNT, DEFAULT_COST_RATIO, MONEY, QTY, line_qty, net_revenue, returned, unit_cost,
 )
+from tillwise.plans.lookups import broadcast_row_limit, rows_at_most
 from tillwise.sources.tables import Tables
 
 
+def attach(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+           measures: Sequence[str], carry: Sequence[str] = (),
+           base: DataFrame | None = None) -> DataFrame:
+    """Join dimension ``dim`` to an additive ``fact`` on ``fact_key = dim_key``.
+
+    Returns ``carry`` + ``measures`` + the dimension's columns, at the fact's grain or coarser;
+    callers finish with a ``groupBy(...).agg(sum(...))`` over the measures, so both plans below
+    give the same totals:
+
+    * dimension proven small (``base``, default ``dim``, within the broadcast row limit):
+      broadcast hash join per fact row, and the fact is never shuffled for it;
+    * otherwise the fact is first summed to ``(fact_key, *carry)``.  Map-side partial
+      aggregation shrinks the large exchange to about one row per key per task, and the
+      sort-merge join then meets one row per key instead of one per fact row (AQE still
+      splits a hot key's partition).
+    """
+    base = dim if base is None else base
+    cond = F.col(fact_key) == F.col(dim_key)
+    if rows_at_most(base, broadcast_row_limit(dim)):
+        return fact.select(fact_key, *carry, *measures).join(F.broadcast(dim), cond).drop(dim_key)
+    summed = fact.groupBy(fact_key, *carry).agg(*[F.sum(m).alias(m) for m in measures])
+    return summed.join(dim, cond).drop(dim_key)
+
+
 def order_dates(t: Tables) -> DataFrame:
     """One row per order: key, customer and sale date (the order date)."""
     return t.orders.select("o_orderkey", "o_custkey", as_date("o_orderdate").alias("order_date"))
 
 
 def line_measures(t: Tables) -> DataFrame:
-    """Line keys and measures, no dimension joined."""
+    """Line keys and additive measures, no dimension joined."""
+    r = returned()
+    revenue = net_revenue()
     return t.lineitem.select(
-        "l_orderkey", "l_partkey", "l_quantity",
-        net_revenue().alias("revenue"),
-        returned().alias("is_returned"),
+        "l_orderkey", "l_partkey",
+        line_qty("l_quantity").alias("qty"),
+        revenue.alias("revenue"),
+        F.lit(1).cast("bigint").alias("n_lines"),
+        F.when(r, 1).otherwise(0).cast("bigint").alias("returned_lines"),
+        F.when(r, revenue).otherwise(F.lit(0).cast(AMOUNT)).alias("returned_revenue"),
     )
 
 
+def dated_lines(t: Tables, lines: DataFrame, measures: Sequence[str],
+                carry: Sequence[str] = (), orders: DataFrame | None = None) -> DataFrame:
+    """Line measures with their order's customer and sale date (``orders`` may be a filtered
+    :func:`order_dates`; lines of other orders drop out)."""
+    return attach(lines, order_dates(t) if orders is None else orders, "l_orderkey",
+                  "o_orderkey", measures, carry, base=t.orders)
+
+
 def product_costs(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
     """Product attributes used by profit questions: category and unit cost."""
     return t.part.select("p_partkey", "p_name", F.col("p_type").alias("category"),
                          unit_cost(cost_ratio=cost_ratio).alias("unit_cost"))
 
 
-def costed_lines(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
-    """Lines joined to their product for category and variable cost.
+def category_lines(t: Tables) -> DataFrame:
+    """Lines with their product category.  A plain join: the order key travels with each line,
+    so there is nothing to sum first; the planner broadcasts the product side when its
+    statistics prove it small and otherwise sort-merge joins it."""
+    lines = line_measures(t)
+    products = t.part.select("p_partkey", F.col("p_type").alias("category"))
+    return lines.join(products, lines.l_partkey == products.p_partkey).drop("p_partkey")
 
-    The product side is joined by key; the planner broadcasts it only when its statistics prove
-    it small, and otherwise sort-merge joins it (AQE splits a hot product's partition)."""
+
+def costed_lines(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
+    """Lines with category and variable cost (units times the product's unit cost, exact: no
+    rounding per line, so summed cost equals summed units times unit cost)."""
     products = product_costs(t, cost_ratio).select("p_partkey", "category", "unit_cost")
     lines = line_measures(t)
     return (lines.join(products, lines.l_partkey == products.p_partkey)
-            .select("l_orderkey", "l_partkey", "category", "l_quantity", "revenue",
-                    "is_returned", line_cost("l_quantity", "unit_cost").alias("cost")))
-
+            .withColumn("cost", F.col("qty") * F.col("unit_cost"))
+            .drop("p_partkey", "unit_cost"))
 
-def per_order(lines: DataFrame, *aggs: Column, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Aggregate lines to one row per order (plus ``keys``), keyed ``o_orderkey``."""
-    return lines.groupBy(F.col("l_orderkey").alias("o_orderkey"), *keys).agg(*aggs)
 
-
-def with_order_dates(order_level: DataFrame, t: Tables) -> DataFrame:
-    """Attach customer and sale date to order-level rows (inner: lines of unknown orders drop)."""
-    return order_level.join(order_dates(t), "o_orderkey")
-
-
-def revenue_aggs() -> list[Column]:
-    return [F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("n_lines")]
-
-
-def product_totals(t: Tables, order_filter: DataFrame | None = None) -> DataFrame:
-    """Units and revenue per product (``l_partkey``), from lines alone.
-
-    ``order_filter`` (a frame of ``o_orderkey``) limits the lines to those orders via a
-    semi-join."""
+def product_totals(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """Units, revenue and line count per product (``l_partkey``), from lines alone; with
+    ``orders`` (a frame of ``o_orderkey``) only lines of those orders (semi-join)."""
     lines = line_measures(t)
-    if order_filter is not None:
-        lines = lines.join(order_filter.select(F.col("o_orderkey").alias("l_orderkey")),
+    if orders is not None:
+        lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey")),
                            "l_orderkey", "left_semi")
     return lines.groupBy("l_partkey").agg(
-        F.sum(line_qty("l_quantity")).cast("decimal(28,2)").alias("qty"),
+        F.sum("qty").cast("decimal(28,2)").alias("qty"),
         F.sum("revenue").cast(MONEY).alias("revenue"),
-        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("n_lines").alias("n_lines"),
     )
 
 
 def product_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
     """Every product with units, revenue, cost and profit; unsold products have zeros.
 
-    Lines are totalled per product before the product table is joined, which is exact because
-    line cost is units times unit cost without per-line rounding."""
+    Lines are totalled per product before the product table is joined (the result's grain),
+    which is exact because cost is units times unit cost."""
     totals = product_totals(t)
     products = product_costs(t, cost_ratio)
     joined = products.join(totals, products.p_partkey == totals.l_partkey, "left")
@@ -102,22 +129,21 @@ def product_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataF
     )
 
 
-def category_lines(t: Tables) -> DataFrame:
-    """Lines with their product category (no cost)."""
-    lines = line_measures(t)
-    products = t.part.select("p_partkey", F.col("p_type").alias("category"))
-    return lines.join(products, lines.l_partkey == products.p_partkey).drop("p_partkey")
-
-
 def customer_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
-    """Per customer with orders: orders (all of them, with or without lines), revenue, cost,
-    first order date.  Lines are costed, totalled per order, then per customer."""
-    lines = costed_lines(t, cost_ratio)
-    orders_lvl = per_order(lines, F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost"))
-    every_order = order_dates(t).join(orders_lvl, "o_orderkey", "left")
-    return every_order.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.coalesce(F.sum("revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
-        F.coalesce(F.sum("cost"), F.lit(0)).cast(MONEY).alias("cost"),
-        F.min("order_date").alias("first_order_date"),
-    )
+    """Per customer with orders: number of orders (all rows of ``orders``, with or without
+    lines), revenue, cost and first order date.
+
+    Money comes from costed lines attached to orders and summed per customer; counts and dates
+    from ``orders`` alone.  Both sides are aggregated on the customer key, so their join needs
+    no further exchange of either."""
+    money = (dated_lines(t, costed_lines(t, cost_ratio), ["revenue", "cost"])
+             .groupBy("o_custkey").agg(F.sum("revenue").alias("revenue"),
+                                       F.sum("cost").alias("cost")))
+    counts = order_dates(t).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.min("order_date").alias("first_order_date"))
+    joined = counts.join(money, "o_custkey", "left")
+    return joined.select(
+        "o_custkey", "n_orders",
+        F.coalesce(F.col("revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
+        F.coalesce(F.col("cost"), F.lit(0)).cast(MONEY).alias("cost"),
+        "first_order_date")

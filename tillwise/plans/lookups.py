@@ -1,4 +1,4 @@
-"""Small dimension lookups and the size check behind every explicit broadcast."""
+"""Size proofs behind every explicit broadcast, and the small dimension lookups."""
 
 from __future__ import annotations
 
@@ -7,30 +7,45 @@ from pyspark.sql import functions as F
 
 from tillwise.sources.tables import Tables
 
-# Row bound under which a lookup may be broadcast explicitly.
-MAX_BROADCAST_ROWS = 100_000
+# A dimension proven to hold at most this many rows may be broadcast.  Override per session
+# with ``spark.tillwise.maxBroadcastRows``.  One million rows of a few keys and a date is
+# tens of megabytes per executor.
+MAX_BROADCAST_ROWS = 1_000_000
 
-_proven: dict[int, bool] = {}
+_proofs: dict[tuple[int, int], bool] = {}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only once it is proven to hold at most ``max_rows`` rows.
+def broadcast_row_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.tillwise.maxBroadcastRows",
+                                        str(MAX_BROADCAST_ROWS)))
 
-    The proof reads at most ``max_rows + 1`` rows and is remembered per plan.  A side that fails
-    it is returned unchanged, so the planner falls back to a sort-merge join.
-    """
-    key = df.semanticHash()
-    if key not in _proven:
-        _proven[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _proven[key] else df
+
+def rows_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Prove ``df`` has at most ``max_rows`` rows.
+
+    Skips ``max_rows`` rows of an empty projection and asks for one more.  The limit is
+    collected incrementally (one partition first, more only if needed), so on a table of any
+    size it reads about ``max_rows`` rows of no columns; only that one row, if any, reaches the
+    driver.  Remembered per plan and bound."""
+    key = (df.semanticHash(), max_rows)
+    if key not in _proofs:
+        _proofs[key] = not df.select(F.lit(1)).offset(max_rows).take(1)
+    return _proofs[key]
+
+
+def bounded_broadcast(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if ``base`` (default ``df``; the unprojected table ``df`` is
+    drawn from) is proven within the row limit, else unchanged, for a sort-merge join."""
+    base = df if base is None else base
+    return F.broadcast(df) if rows_at_most(base, broadcast_row_limit(df)) else df
 
 
 def nation_regions(t: Tables) -> DataFrame:
     """``n_nationkey -> region`` (region name), broadcast behind the row bound."""
     lookup = (t.nation.join(t.region, t.nation.n_regionkey == t.region.r_regionkey)
               .select("n_nationkey", F.col("r_name").alias("region")))
-    return bounded_broadcast(lookup)
+    return bounded_broadcast(lookup, t.nation)
 
 
 def customer_nations(t: Tables) -> DataFrame:
-    return t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return t.customer.select("c_custkey", "c_nationkey")

@@ -7,18 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.plans.facts import attach
 from tillwise.plans.lookups import customer_nations, nation_regions
 from tillwise.sources.tables import Tables
 
 
-def to_regions(by_customer: DataFrame, t: Tables, keys: Sequence[str] = ()) -> DataFrame:
-    """Sum the additive measures of rows keyed ``o_custkey`` (+ ``keys``) per customer region.
+def to_regions(fact: DataFrame, t: Tables, measures: Sequence[str],
+               keys: Sequence[str] = ()) -> DataFrame:
+    """Sum additive ``measures`` of rows keyed ``o_custkey`` (+ ``keys``) per customer region.
 
-    Rows are summed per nation right after the customer join, so the region lookup (25 rows,
-    broadcast behind a size check) meets at most nations x keys rows."""
-    measures = [c for c in by_customer.columns if c not in ("o_custkey", *keys)]
-    by_nation = (by_customer.join(customer_nations(t), "o_custkey")
-                 .groupBy("c_nationkey", *keys).agg(*[F.sum(c).alias(c) for c in measures]))
+    The customer table is attached by the broadcast-or-pre-aggregate rule; the 25-row region
+    lookup is broadcast behind its size proof, and the last aggregate combines map-side."""
+    with_nation = attach(fact, customer_nations(t), "o_custkey", "c_custkey", measures, keys,
+                         base=t.customer)
     regions = nation_regions(t)
-    joined = by_nation.join(regions, by_nation.c_nationkey == regions.n_nationkey)
-    return joined.groupBy("region", *keys).agg(*[F.sum(c).alias(c) for c in measures])
+    joined = with_nation.join(regions, with_nation.c_nationkey == regions.n_nationkey)
+    return joined.groupBy("region", *keys).agg(*[F.sum(m).alias(m) for m in measures])

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # the star-schema joins right at any scale without hand-scheduling.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
