@@ -34,7 +34,7 @@ def customer_ltv(t: Tables, horizon_years: int = 3, min_tenure_days: int = 365,
     profit = (F.col("revenue") - F.col("cost")).cast(MONEY)
     projected = F.when(
         tenure >= min_tenure_days,
-        profit.cast("double") / tenure.cast("double") * F.lit(365.25) * F.lit(float(horizon_years)))
+        ratio(profit, tenure) * F.lit(365.25) * F.lit(float(horizon_years)))
     return cust.select(
         "o_custkey", "n_orders", "revenue", "cost", profit.alias("profit"),
         ratio(F.col("revenue"), F.col("n_orders")).alias("aov"),
