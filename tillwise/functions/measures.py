@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 AMOUNT = "decimal(18,4)"   # one line's money
 MONEY = "decimal(28,4)"    # a total of lines
-QTY = "decimal(18,2)"      # units, exact in decimal so cost totals are exact
+# Units of one line, exact so that cost totals are exact.  Precision 8 (up to 999,999.99 units
+# a line) lets Spark sum them as unscaled longs into decimal(18,2), which holds totals far
+# beyond any scale; a line or total that did not fit raises (ANSI) instead of wrapping.
+QTY = "decimal(8,2)"
 
 DEFAULT_COST_RATIO = Decimal("0.6")
 

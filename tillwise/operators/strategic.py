@@ -16,7 +16,8 @@ from tillwise.functions.ratios import ratio
 from tillwise.operators.descriptive import monthly_revenue
 from tillwise.operators.diagnostic import latest_order_date
 from tillwise.plans.facts import (
-    costed_lines, customer_profit, dated_lines, line_measures, product_profit,
+    attach, costed_lines, customer_profit, dated_lines, line_measures, product_costs,
+    product_profit,
 )
 from tillwise.plans.ordering import global_order
 from tillwise.plans.spine import calendar_spine
@@ -148,11 +149,15 @@ def contribution_margin(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) ->
 
 
 def kpi_summary(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
-    """One row of headline KPIs.  Order and buyer counts come from ``orders`` as scalar
-    subqueries, so the row needs no join."""
-    lines = costed_lines(t, cost_ratio).agg(
+    """One row of headline KPIs.  Lines meet the product table by the broadcast-or-pre-aggregate
+    rule (cost is linear in units, so product totals give the exact cost); order and buyer
+    counts come from ``orders`` as scalar subqueries, so the row needs no join."""
+    measures = ["qty", "revenue", "n_lines", "returned_lines"]
+    products = product_costs(t, cost_ratio).select("p_partkey", "unit_cost")
+    costed = attach(line_measures(t), products, "l_partkey", "p_partkey", measures, base=t.part)
+    lines = costed.agg(
         F.sum("revenue").cast(MONEY).alias("revenue"),
-        F.sum("cost").cast(MONEY).alias("cost"),
+        F.sum(F.col("qty") * F.col("unit_cost")).cast(MONEY).alias("cost"),
         F.sum("n_lines").cast("bigint").alias("n_lines"),
         F.sum("returned_lines").cast("bigint").alias("returned_lines"))
     n_orders = t.orders.select(F.count(F.lit(1))).scalar()

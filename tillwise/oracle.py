@@ -9,7 +9,7 @@ from __future__ import annotations
 
 REV = "CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))"
 UNIT_COST = "CAST(p_retailprice * CAST(0.6 AS DOUBLE) AS DECIMAL(18,4))"
-QTY = "CAST(l_quantity AS DECIMAL(18,2))"
+QTY = "CAST(l_quantity AS DECIMAL(8,2))"
 LINE_COST = f"({QTY} * {UNIT_COST})"
 ODATE = "CAST(o_orderdate AS DATE)"
 OMONTH = f"CAST(date_trunc('month', {ODATE}) AS DATE)"
