@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.dates import as_date, day_diff, last_complete_year, year_part
+from tillwise.functions.dates import as_date, day_diff, last_complete_year, month_start, year_part
 from tillwise.functions.measures import MONEY
 from tillwise.functions.ratios import growth, ratio
 from tillwise.operators.descriptive import monthly_revenue
@@ -22,6 +22,11 @@ from tillwise.plans.spine import calendar_spine
 from tillwise.sources.tables import Tables
 
 
+def order_months(t: Tables) -> DataFrame:
+    """The sale months (first days) of all orders: the calendar the monthly series span."""
+    return t.orders.select(month_start(as_date("o_orderdate")).alias("month"))
+
+
 def latest_order_date(t: Tables) -> Column:
     """The last sale date in the data, as a scalar subquery (evaluated once, inside the plan)."""
     return t.orders.select(F.max(as_date("o_orderdate"))).scalar()
@@ -32,7 +37,8 @@ def revenue_growth(t: Tables) -> DataFrame:
 
     A month without sales has revenue 0 and the month after it has no growth (null, not
     infinity).  ``is_complete`` is false for a month the data end inside of."""
-    series = calendar_spine(monthly_revenue(t).select("month", "revenue"), "month", "month")
+    series = calendar_spine(monthly_revenue(t).select("month", "revenue"), "month", "month",
+                            order_months(t))
     rev = F.coalesce(F.col("revenue"), F.lit(0).cast(MONEY))
     # One row per calendar month: bounded by the span of the data, not its volume.
     by_month = Window.orderBy("month")

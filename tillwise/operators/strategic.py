@@ -10,11 +10,11 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.dates import day_diff, month_start
+from tillwise.functions.dates import as_date, day_diff, month_start
 from tillwise.functions.measures import DEFAULT_COST_RATIO, MONEY
 from tillwise.functions.ratios import ratio
 from tillwise.operators.descriptive import monthly_revenue
-from tillwise.operators.diagnostic import latest_order_date
+from tillwise.operators.diagnostic import latest_order_date, order_months
 from tillwise.plans.facts import (
     attach, costed_lines, customer_profit, dated_lines, line_measures, product_costs,
     product_profit,
@@ -87,7 +87,8 @@ def _moving_average(series: DataFrame, date_col: str, n: int) -> DataFrame:
 
 
 def moving_avg_month(t: Tables, n: int = 3) -> DataFrame:
-    series = calendar_spine(monthly_revenue(t).select("month", "revenue"), "month", "month")
+    series = calendar_spine(monthly_revenue(t).select("month", "revenue"), "month", "month",
+                            order_months(t))
     return _moving_average(series, "month", n)
 
 
@@ -98,7 +99,8 @@ def daily_revenue(t: Tables) -> DataFrame:
 
 
 def moving_avg_day(t: Tables, n: int = 7) -> DataFrame:
-    series = calendar_spine(daily_revenue(t), "order_date", "day")
+    days = t.orders.select(as_date("o_orderdate").alias("order_date"))
+    series = calendar_spine(daily_revenue(t), "order_date", "day", days)
     return _moving_average(series, "order_date", n)
 
 
@@ -114,7 +116,7 @@ def margin_trend(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFra
         F.sum("qty").cast("decimal(28,2)").alias("qty"),
         F.sum("revenue").cast(MONEY).alias("revenue"),
         F.sum("cost").cast(MONEY).alias("cost"))
-    series = calendar_spine(monthly, "month", "month")
+    series = calendar_spine(monthly, "month", "month", order_months(t))
     profit = (F.col("revenue") - F.col("cost")).cast(MONEY)
     margin = ratio(profit, F.col("revenue"))
     by_month = Window.orderBy("month")

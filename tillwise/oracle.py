@@ -20,10 +20,12 @@ def div(num: str, den: str) -> str:
     return f"(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0))"
 
 
-def spine(source: str, col: str, step: str) -> str:
-    """Every period between the min and max of ``source.col``."""
-    return (f"(SELECT CAST(unnest(generate_series(CAST(MIN({col}) AS TIMESTAMP), "
-            f"CAST(MAX({col}) AS TIMESTAMP), INTERVAL 1 {step})) AS DATE) AS {col} FROM {source})")
+def spine(col: str, step: str) -> str:
+    """Every month or day from the first to the last order date."""
+    first = f"date_trunc('{step.lower()}', MIN({ODATE}))"
+    last = f"date_trunc('{step.lower()}', MAX({ODATE}))"
+    return (f"(SELECT CAST(unnest(generate_series(CAST({first} AS TIMESTAMP), "
+            f"CAST({last} AS TIMESTAMP), INTERVAL 1 {step})) AS DATE) AS {col} FROM orders)")
 
 
 MONTHLY_REV = f"""
@@ -131,7 +133,7 @@ FROM c"""
 SQL["revenue_growth"] = f"""
 WITH m AS ({MONTHLY_REV}),
 x AS (SELECT s.month, CAST(COALESCE(m.revenue, 0) AS DECIMAL(28,4)) AS revenue
-      FROM {spine('m', 'month', 'MONTH')} s LEFT JOIN m ON m.month = s.month),
+      FROM {spine('month', 'MONTH')} s LEFT JOIN m ON m.month = s.month),
 y AS (SELECT month, revenue,
              LAG(revenue, 1) OVER (ORDER BY month) AS prev_month_revenue,
              LAG(revenue, 12) OVER (ORDER BY month) AS prev_year_revenue FROM x)
@@ -287,7 +289,7 @@ SQL["pareto_customers"] = _pareto_sql(f"""
 SQL["moving_avg_month"] = f"""
 WITH m AS ({MONTHLY_REV}),
 x AS (SELECT s.month, CAST(COALESCE(m.revenue, 0) AS DECIMAL(28,4)) AS revenue
-      FROM {spine('m', 'month', 'MONTH')} s LEFT JOIN m ON m.month = s.month)
+      FROM {spine('month', 'MONTH')} s LEFT JOIN m ON m.month = s.month)
 SELECT month, revenue, {div('SUM(revenue) OVER f', 'COUNT(*) OVER f')} AS moving_avg,
        COUNT(*) OVER f AS frame_rows
 FROM x WINDOW f AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
@@ -296,7 +298,7 @@ SQL["moving_avg_day"] = f"""
 WITH d AS (SELECT {ODATE} AS order_date, CAST(SUM({REV}) AS DECIMAL(28,4)) AS revenue
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
 x AS (SELECT s.order_date, CAST(COALESCE(d.revenue, 0) AS DECIMAL(28,4)) AS revenue
-      FROM {spine('d', 'order_date', 'DAY')} s LEFT JOIN d ON d.order_date = s.order_date)
+      FROM {spine('order_date', 'DAY')} s LEFT JOIN d ON d.order_date = s.order_date)
 SELECT order_date, revenue, {div('SUM(revenue) OVER f', 'COUNT(*) OVER f')} AS moving_avg,
        COUNT(*) OVER f AS frame_rows
 FROM x WINDOW f AS (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
@@ -313,7 +315,7 @@ WITH m AS (SELECT month, CAST(SUM(qty) AS DECIMAL(28,2)) AS qty,
            FROM ({COSTED}) c GROUP BY month),
 x AS (SELECT s.month, qty, revenue, cost, CAST(revenue - cost AS DECIMAL(28,4)) AS profit,
              {div('CAST(revenue - cost AS DECIMAL(28,4))', 'revenue')} AS margin
-      FROM {spine('m', 'month', 'MONTH')} s LEFT JOIN m ON m.month = s.month)
+      FROM {spine('month', 'MONTH')} s LEFT JOIN m ON m.month = s.month)
 SELECT month, qty, revenue, cost, profit, margin,
        margin - LAG(margin) OVER (ORDER BY month) AS margin_change
 FROM x"""

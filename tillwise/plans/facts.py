@@ -26,22 +26,27 @@ def attach(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """Join dimension ``dim`` to an additive ``fact`` on ``fact_key = dim_key``.
 
     Returns ``carry`` + ``measures`` + the dimension's columns, at the fact's grain or coarser;
-    callers finish with a ``groupBy(...).agg(sum(...))`` over the measures, so both plans below
-    give the same totals:
+    callers finish with a ``groupBy(...).agg(sum(...))`` over the measures, so every plan below
+    gives the same totals:
 
     * dimension proven small (``base``, default ``dim``, within the broadcast row limit):
       broadcast hash join per fact row, and the fact is never shuffled for it;
-    * otherwise the fact is first summed to ``(fact_key, *carry)``.  Map-side partial
-      aggregation shrinks the large exchange to about one row per key per task, and the
-      sort-merge join then meets one row per key instead of one per fact row (AQE still
-      splits a hot key's partition).
+    * otherwise, with nothing to ``carry``, the fact is first summed to ``fact_key``.  Map-side
+      partial aggregation shrinks the large exchange to about one row per key per task (a hot
+      key collapses before it is shuffled), and the aggregate's partitioning on the key is the
+      one the sort-merge join needs, so only the dimension side is exchanged for the join;
+    * otherwise (carried keys such as a category) the fact is sort-merge joined as it is:
+      grouping by key and category hardly reduces line data, and its partitioning on both
+      would force a second exchange before the join.  AQE splits a hot key's partition.
     """
     base = dim if base is None else base
     cond = F.col(fact_key) == F.col(dim_key)
+    fact = fact.select(fact_key, *carry, *measures)
     if rows_at_most(base, broadcast_row_limit(dim)):
-        return fact.select(fact_key, *carry, *measures).join(F.broadcast(dim), cond).drop(dim_key)
-    summed = fact.groupBy(fact_key, *carry).agg(*[F.sum(m).alias(m) for m in measures])
-    return summed.join(dim, cond).drop(dim_key)
+        return fact.join(F.broadcast(dim), cond).drop(dim_key)
+    if not carry:
+        fact = fact.groupBy(fact_key).agg(*[F.sum(m).alias(m) for m in measures])
+    return fact.join(dim, cond).drop(dim_key)
 
 
 def order_dates(t: Tables) -> DataFrame:
