@@ -112,14 +112,15 @@ def slow_movers(t: Tables, days: int = 90, tiles: int = 4) -> DataFrame:
     """Every product with units sold in the recent window and its ``ntile`` (ascending units,
     then key); ``is_slow`` marks the lowest tile.  Unsold products count with zero units.
 
-    The tile comes from an exact global position (:func:`global_order`), not from a
-    one-partition window."""
+    The tile comes from an exact global position (:func:`global_order`): a one-task window only
+    when the product table is proven small, else the sliced plan."""
     totals = product_totals(t, recent_orders(t, days))
     products = t.part.select("p_partkey", "p_name", F.col("p_type").alias("category"))
     joined = products.join(totals, products.p_partkey == totals.l_partkey, "left").select(
         "p_partkey", "p_name", "category",
         F.coalesce(F.col("qty"), F.lit(0).cast("decimal(28,2)")).alias("recent_qty"))
-    ordered = global_order(joined, [F.col("recent_qty").asc(), F.col("p_partkey").asc()])
+    ordered = global_order(joined, [F.col("recent_qty").asc(), F.col("p_partkey").asc()],
+                           bound=t.part)
     tile = ntile_of(F.col("position"), F.col("n_rows"), tiles)
     return ordered.select("p_partkey", "p_name", "category", "recent_qty",
                           tile.alias("quartile"), (tile == 1).alias("is_slow"))

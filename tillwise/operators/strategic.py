@@ -44,12 +44,14 @@ def customer_ltv(t: Tables, horizon_years: int = 3, min_tenure_days: int = 365,
         projected.alias("projected_ltv"))
 
 
-def pareto(entity_profit: DataFrame, key: str, share: Decimal = Decimal("0.2")) -> DataFrame:
+def pareto(entity_profit: DataFrame, key: str, share: Decimal = Decimal("0.2"),
+           bound: DataFrame | None = None) -> DataFrame:
     """Entities ordered by profit (descending, key ascending) with position, cumulative profit
     and cumulative share; ``is_top`` marks the first ``ceil(share * N)``.  With negative
     profits the cumulative share can pass 1 before it falls back; a zero total gives null."""
     ordered = global_order(entity_profit.select(key, "profit"),
-                           [F.col("profit").desc(), F.col(key).asc()], sums=["profit"])
+                           [F.col("profit").desc(), F.col(key).asc()], sums=["profit"],
+                           bound=bound)
     top_n = F.ceil(F.col("n_rows") * F.lit(share))
     return ordered.select(
         key, "profit", F.col("position").alias("profit_rank"),
@@ -60,7 +62,8 @@ def pareto(entity_profit: DataFrame, key: str, share: Decimal = Decimal("0.2"))
 
 def pareto_products(t: Tables, share: Decimal = Decimal("0.2"),
                     cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
-    return pareto(product_profit(t, cost_ratio), "p_partkey", share)
+    # one row per row of ``part``: the product table bounds the ordering's size
+    return pareto(product_profit(t, cost_ratio), "p_partkey", share, bound=t.part)
 
 
 def pareto_customers(t: Tables, share: Decimal = Decimal("0.2"),
@@ -70,7 +73,8 @@ def pareto_customers(t: Tables, share: Decimal = Decimal("0.2"),
     customers = t.customer.select("c_custkey")
     joined = customers.join(cust, customers.c_custkey == cust.o_custkey, "left")
     profit = F.coalesce((F.col("revenue") - F.col("cost")).cast(MONEY), F.lit(0).cast(MONEY))
-    return pareto(joined.select("c_custkey", profit.alias("profit")), "c_custkey", share)
+    return pareto(joined.select("c_custkey", profit.alias("profit")), "c_custkey", share,
+                  bound=t.customer)
 
 
 def _moving_average(series: DataFrame, date_col: str, n: int) -> DataFrame:

@@ -15,13 +15,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.plans.lookups import broadcast_row_limit, rows_at_most
 from tillwise.session import ensure_checkpoint_dir
 
 
 def global_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str] = (),
-                 slices: int | None = None) -> DataFrame:
+                 slices: int | None = None, bound: DataFrame | None = None) -> DataFrame:
     """Add ``position`` (1-based, in ``order``, which must be total), ``n_rows`` and, for each
-    column ``c`` in ``sums``, ``running_c`` (inclusive) and ``total_c``."""
+    column ``c`` in ``sums``, ``running_c`` (inclusive) and ``total_c``.
+
+    ``bound`` is a table with at least as many rows as ``df`` (e.g. the dimension ``df`` was
+    left-joined from).  When it is proven within the broadcast row limit, ``df`` is small enough
+    for one task and a plain window is used; otherwise the sliced plan below."""
+    if bound is not None and rows_at_most(bound, broadcast_row_limit(df)):
+        return _single_task_order(df, order, sums)
+    return _sliced_order(df, order, sums, slices)
+
+
+def _single_task_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str]) -> DataFrame:
+    ordered = Window.orderBy(*order)
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = [F.row_number().over(ordered).cast("bigint").alias("position"),
+            F.count(F.lit(1)).over(every).cast("bigint").alias("n_rows")]
+    for c in sums:
+        cols.append(F.sum(c).over(upto).alias(f"running_{c}"))
+        cols.append(F.sum(c).over(every).alias(f"total_{c}"))
+    return df.select("*", *cols)
+
+
+def _sliced_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str],
+                  slices: int | None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     slices = slices or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
