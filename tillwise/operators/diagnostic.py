@@ -17,7 +17,7 @@ from tillwise.plans.facts import (
     category_lines, dated_lines, line_measures, order_dates, product_totals,
 )
 from tillwise.plans.ordering import global_order, ntile_of
-from tillwise.plans.regions import to_regions
+from tillwise.plans.regions import orders_with_region, to_regions
 from tillwise.plans.spine import calendar_spine
 from tillwise.sources.tables import Tables
 
@@ -67,15 +67,22 @@ def growth_ranking(t: Tables, dims: Sequence[str]) -> DataFrame:
               .where(F.col("year").between(prev, cur)).drop("order_date"))
     keys = ("category",) if "category" in dims else ()
     lines = category_lines(t) if keys else line_measures(t)
+    by_region_now = "region" in dims and keys
+    if by_region_now:
+        # category and region: tag orders with the region, then join the lines once
+        orders = orders_with_region(t, orders)
     dated = dated_lines(t, lines, ["revenue"], carry=keys, orders=orders)
     zero = F.lit(0).cast(MONEY)
     split = dated.select(
-        "o_custkey", *keys,
+        "o_custkey", *(["region"] if by_region_now else []), *keys,
         F.when(F.col("year") == prev, F.col("revenue")).otherwise(zero).alias("revenue_prev"),
         F.when(F.col("year") == cur, F.col("revenue")).otherwise(zero).alias("revenue_cur"))
     measures = ["revenue_prev", "revenue_cur"]
-    if "region" in dims:
-        totals = to_regions(split, t, measures, keys=keys)
+    if by_region_now:
+        totals = split.groupBy("region", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+    elif "region" in dims:
+        # region alone: order-level totals roll up per customer before the customer join
+        totals = to_regions(split, t, measures)
     else:
         totals = split.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
     rp = F.coalesce(F.col("revenue_prev"), F.lit(0)).cast(MONEY)
