@@ -22,10 +22,11 @@ def rows_by(df, key):
 
 @pytest.fixture(scope="module")
 def shop(spark):
-    """Three customers, three products (one never sold), March 2000 without any order, two
-    orders of one customer on one day, a customer first seen in the last month."""
+    """Four customers (one never ordered), three products (one never sold), March 2000 without
+    any order, two orders of one customer on one day, a customer first seen in the last
+    month."""
     b = Builder()
-    b.customer(1, nation=0).customer(2, nation=5).customer(3, nation=10)
+    b.customer(1, nation=0).customer(2, nation=5).customer(3, nation=10).customer(4, nation=15)
     b.part(10, price=100.0).part(11, price=100.0, ptype="PROMO").part(12, price=50.0, ptype="PROMO")
     b.order(1, 1, "2000-01-10").line(1, 10, 1, 100.0)
     b.order(2, 1, "2000-02-15").line(2, 10, 2, 200.0)
@@ -97,13 +98,17 @@ def test_x6_product_never_sold(shop):
 
 def test_rank_family_with_ties(shop):
     tables, _ = shop
-    fam = rows_by(descriptive.customer_rank_family(tables), "o_custkey")
-    assert [fam[c]["row_num"] for c in (1, 2, 3)] == [1, 2, 3]
-    assert [fam[c]["rank_num"] for c in (1, 2, 3)] == [1, 2, 2]
-    assert [fam[c]["dense_rank_num"] for c in (1, 2, 3)] == [1, 2, 2]
-    assert [fam[c]["ntile_num"] for c in (1, 2, 3)] == [1, 2, 3]
-    assert [fam[c]["pct_rank"] for c in (1, 2, 3)] == [0.0, 0.5, 0.5]
-    assert [fam[c]["cume_dist"] for c in (1, 2, 3)] == [1 / 3, 1.0, 1.0]
+    fam = rows_by(descriptive.customer_rank_family(tables), "c_custkey")
+    c = (1, 2, 3, 4)                                     # 3, 1, 1 and 0 orders
+    assert [fam[k]["n_orders"] for k in c] == [3, 1, 1, 0]
+    assert [fam[k]["row_num"] for k in c] == [1, 2, 3, 4]
+    assert [fam[k]["rank_num"] for k in c] == [1, 2, 2, 4]
+    assert [fam[k]["dense_rank_num"] for k in c] == [1, 2, 2, 3]
+    assert [fam[k]["ntile_num"] for k in c] == [1, 2, 3, 4]
+    assert [fam[k]["pct_rank"] for k in c] == [0.0, 1 / 3, 1 / 3, 1.0]
+    assert [fam[k]["cume_dist"] for k in c] == [0.25, 0.75, 0.75, 1.0]
+    pareto = rows_by(strategic.pareto_customers(tables), "c_custkey")
+    assert pareto[4]["profit"] == 0 and pareto[4]["profit_rank"] == 4
 
 
 @pytest.fixture(scope="module")

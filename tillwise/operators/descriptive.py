@@ -125,11 +125,16 @@ def revenue_cube(t: Tables) -> DataFrame:
 
 
 def customer_rank_family(t: Tables, tiles: int = 4) -> DataFrame:
-    """All six ranking functions on orders per customer, computed without a one-partition
-    window (see :mod:`tillwise.plans.ordering`)."""
-    counts = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
-    fam = rank_family(counts, "n_orders", "o_custkey", tiles=tiles)
-    return fam.select("o_custkey", "n_orders",
+    """All six ranking functions on the number of orders of every customer (customers without
+    orders count zero and rank last).  One row per row of ``customer``, so the customer table
+    bounds the ordering: a one-task window when it is proven small, the sliced plan of
+    :mod:`tillwise.plans.ordering` beyond."""
+    counts = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    customers = t.customer.select("c_custkey")
+    every = customers.join(counts, customers.c_custkey == counts.o_custkey, "left").select(
+        "c_custkey", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n_orders"))
+    fam = rank_family(every, "n_orders", "c_custkey", tiles=tiles, bound=t.customer)
+    return fam.select("c_custkey", "n_orders",
                       F.col("row_number").alias("row_num"), F.col("rank").alias("rank_num"),
                       F.col("dense_rank").alias("dense_rank_num"), F.col("ntile").alias("ntile_num"),
                       F.col("percent_rank").alias("pct_rank"), "cume_dist")

@@ -120,12 +120,13 @@ SELECT region, category, CAST(SUM(revenue) AS DECIMAL(28,4)) AS revenue,
 FROM f GROUP BY CUBE (region, category)"""
 
 SQL["customer_rank_family"] = """
-WITH c AS (SELECT o_custkey, COUNT(*) AS n_orders FROM orders GROUP BY o_custkey)
-SELECT o_custkey, n_orders,
-       ROW_NUMBER() OVER (ORDER BY n_orders DESC, o_custkey) AS row_num,
+WITH c AS (SELECT c_custkey, COUNT(o_orderkey) AS n_orders
+           FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)
+SELECT c_custkey, n_orders,
+       ROW_NUMBER() OVER (ORDER BY n_orders DESC, c_custkey) AS row_num,
        RANK() OVER (ORDER BY n_orders DESC) AS rank_num,
        DENSE_RANK() OVER (ORDER BY n_orders DESC) AS dense_rank_num,
-       NTILE(4) OVER (ORDER BY n_orders DESC, o_custkey) AS ntile_num,
+       NTILE(4) OVER (ORDER BY n_orders DESC, c_custkey) AS ntile_num,
        PERCENT_RANK() OVER (ORDER BY n_orders DESC) AS pct_rank,
        CUME_DIST() OVER (ORDER BY n_orders DESC) AS cume_dist
 FROM c"""

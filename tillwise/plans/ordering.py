@@ -92,18 +92,19 @@ def ntile_of(position: Column, n_rows: Column, tiles: int) -> Column:
 
 
 def rank_family(df: DataFrame, value: str, key: str, tiles: int = 4,
-                descending: bool = True) -> DataFrame:
+                descending: bool = True, bound: DataFrame | None = None) -> DataFrame:
     """``row_number``, ``rank``, ``dense_rank``, ``ntile``, ``percent_rank`` and ``cume_dist`` of
     ``value`` over the whole frame (ties broken by ``key`` where a position is needed).
 
     Peers are found by aggregating on the value (one row per distinct value) and joining back;
-    dense rank is the position of the value in the ordered table of distinct values."""
+    dense rank is the position of the value in the ordered table of distinct values.  ``bound``
+    as in :func:`global_order` (it bounds the distinct values too)."""
     v = F.col(value).desc() if descending else F.col(value).asc()
-    ordered = global_order(df, [v, F.col(key).asc()])
+    ordered = global_order(df, [v, F.col(key).asc()], bound=bound)
     peers = ordered.groupBy(value).agg(F.min("position").alias("rank"),
                                        F.count(F.lit(1)).alias("_peers"))
-    dense = global_order(peers, [v]).select(value, "rank", "_peers",
-                                            F.col("position").alias("dense_rank"))
+    dense = global_order(peers, [v], bound=bound).select(value, "rank", "_peers",
+                                                         F.col("position").alias("dense_rank"))
     out = ordered.join(dense, value)
     n = F.col("n_rows")
     return out.select(
