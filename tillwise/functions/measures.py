@@ -40,17 +40,12 @@ def line_qty(quantity: str = "l_quantity") -> Column:
     return F.col(quantity).cast(QTY)
 
 
-def line_cost(quantity: str = "l_quantity", unit: Column | str = "unit_cost") -> Column:
-    """Variable cost of a line: units times unit cost, exact (no rounding per line), so a sum of
-    line costs equals summed units times unit cost and products can be aggregated before the
-    product table is joined."""
-    unit_col = F.col(unit) if isinstance(unit, str) else unit
-    return line_qty(quantity) * unit_col
+def line_cost(qty: str = "qty", unit: str = "unit_cost") -> Column:
+    """Variable cost of a line (or of summed units of one product): units times unit cost,
+    exact (no rounding per line), so a sum of line costs equals summed units times unit cost
+    and lines can be totalled per product before the product table is joined."""
+    return F.col(qty) * F.col(unit)
 
 
 def returned(flag: str = "l_returnflag") -> Column:
     return F.col(flag) == F.lit("R")
-
-
-def sum_money(col: Column | str) -> Column:
-    return F.sum(col).cast(MONEY)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import as_date, day_diff, month_start
-from tillwise.functions.measures import DEFAULT_COST_RATIO, MONEY
+from tillwise.functions.measures import DEFAULT_COST_RATIO, MONEY, line_cost
 from tillwise.functions.ratios import ratio
 from tillwise.operators.descriptive import monthly_revenue
 from tillwise.operators.diagnostic import latest_order_date, order_months
@@ -163,7 +163,7 @@ def kpi_summary(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFram
     costed = attach(line_measures(t), products, "l_partkey", "p_partkey", measures, base=t.part)
     lines = costed.agg(
         F.sum("revenue").cast(MONEY).alias("revenue"),
-        F.sum(F.col("qty") * F.col("unit_cost")).cast(MONEY).alias("cost"),
+        F.sum(line_cost()).cast(MONEY).alias("cost"),
         F.sum("n_lines").cast("bigint").alias("n_lines"),
         F.sum("returned_lines").cast("bigint").alias("returned_lines"))
     n_orders = t.orders.select(F.count(F.lit(1))).scalar()

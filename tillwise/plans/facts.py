@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.dates import as_date
 from tillwise.functions.measures import (
-    AMOUNT, DEFAULT_COST_RATIO, MONEY, QTY, line_qty, net_revenue, returned, unit_cost,
+    AMOUNT, DEFAULT_COST_RATIO, MONEY, line_cost, line_qty, net_revenue, returned, unit_cost,
 )
 from tillwise.plans.lookups import broadcast_row_limit, rows_at_most
 from tillwise.sources.tables import Tables
@@ -97,7 +97,7 @@ def costed_lines(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFra
     products = product_costs(t, cost_ratio).select("p_partkey", "category", "unit_cost")
     lines = line_measures(t)
     return (lines.join(products, lines.l_partkey == products.p_partkey)
-            .withColumn("cost", F.col("qty") * F.col("unit_cost"))
+            .withColumn("cost", line_cost())
             .drop("p_partkey", "unit_cost"))
 
 
@@ -125,7 +125,7 @@ def product_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataF
     joined = products.join(totals, products.p_partkey == totals.l_partkey, "left")
     qty = F.coalesce(F.col("qty"), F.lit(0).cast("decimal(28,2)"))
     revenue = F.coalesce(F.col("revenue"), F.lit(0).cast(MONEY))
-    cost = (qty.cast(QTY) * F.col("unit_cost")).cast(MONEY)
+    cost = (qty * F.col("unit_cost")).cast(MONEY)   # total units: not narrowed to a line's type
     return joined.select(
         "p_partkey", "p_name", "category",
         qty.alias("qty"), revenue.alias("revenue"), cost.alias("cost"),
