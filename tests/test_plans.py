@@ -74,3 +74,17 @@ def test_small_dimension_path_broadcasts(sf001_tables):
     text = plan(descriptive.revenue_by_period(sf001_tables))
     assert "BroadcastHashJoin" in text
     assert "Keys [1]: [l_orderkey" not in text
+
+
+@pytest.mark.parametrize("fn, keys", [
+    (diagnostic.purchase_gaps, ("o_custkey", "order_date")),
+    (descriptive.stock_movement_monthly, ("p_partkey", "month")),
+])
+def test_per_entity_windows_run_over_reduced_rows(sf001_tables, fn, keys):
+    """The window partitioned by customer or product reads an aggregate keyed by entity and
+    calendar period, so a hot entity holds at most one row per day or month."""
+    text = plan(fn(sf001_tables))
+    window_at = text.index("Window")
+    agg_keys = [line for line in text.splitlines() if line.startswith("Keys [2]:")]
+    assert any(all(k in line for k in keys) for line in agg_keys), agg_keys
+    assert window_at >= 0

@@ -44,14 +44,21 @@ def _single_task_order(df: DataFrame, order: Sequence[Column], sums: Sequence[st
     return df.select("*", *cols)
 
 
-def _sliced_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str],
-                  slices: int | None) -> DataFrame:
+def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int | None = None) -> DataFrame:
+    """``df`` range-partitioned on the full sort key into ``slices`` (default: the shuffle
+    partition count) contiguous slices, numbered ``_slice`` in sort order, and checkpointed so
+    the sampled assignment is fixed for every later reader."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     slices = slices or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = (df.repartitionByRange(slices, *order)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
+    return (df.repartitionByRange(slices, *order)
+            .withColumn("_slice", F.spark_partition_id())
+            .checkpoint(eager=True))
+
+
+def _sliced_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str],
+                  slices: int | None) -> DataFrame:
+    ranged = ordered_slices(df, order, slices)
 
     within = Window.partitionBy("_slice").orderBy(*order)
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
