@@ -2,6 +2,8 @@
 
 from decimal import Decimal
 
+import pytest
+
 from tillwise.operators import descriptive, diagnostic, strategic
 from tillwise.plans.ordering import global_order
 from pyspark.sql import Window
@@ -77,3 +79,20 @@ def test_hot_tie_group_is_split_across_slices(spark, sf001_tables):
     assert hot.count() == 651
     assert hot.select("_slice").distinct().count() >= 3
     assert max(sizes) <= 2 * sum(sizes) / 8
+
+
+@pytest.mark.parametrize("slices", [1, 3, 16])
+def test_global_order_with_empty_and_single_slices(spark, sf001_tables, slices):
+    """More slices than rows (empty slices) or a single slice give the same positions."""
+    nations = sf001_tables.nation.select(
+        "n_nationkey", (F.col("n_regionkey") - 2).cast("decimal(10,2)").alias("v"))
+    order = [F.col("v").desc(), F.col("n_nationkey").asc()]
+    ours = global_order(nations, order, sums=["v"], slices=slices).select(
+        "n_nationkey", "position", "running_v", "n_rows", "total_v").collect()
+    w = Window.orderBy(*order)
+    plain = nations.select("n_nationkey", F.row_number().over(w).alias("position"),
+                           F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))
+                           .alias("running_v")).collect()
+    assert sorted((r.n_nationkey, r.position, r.running_v) for r in ours) == sorted(
+        map(tuple, plain))
+    assert {(r.n_rows, r.total_v) for r in ours} == {(25, 0)}
