@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tillwise.sources.tables import Tables
 
 # A dimension proven to hold at most this many rows may be broadcast.  Override per session
-# with ``spark.tillwise.maxBroadcastRows``.  One million rows of a few keys and a date is
-# tens of megabytes per executor.
-MAX_BROADCAST_ROWS = 1_000_000
+# with ``spark.tillwise.maxBroadcastRows``.  Every executor receives its own copy, so the
+# cluster-wide cost grows with the executor count: 100,000 rows of a few keys and a date are a
+# few megabytes per copy, in line with Spark's own 10 MB statistics threshold.
+MAX_BROADCAST_ROWS = 100_000
 
 _proofs: dict[tuple[int, int], bool] = {}
 

@@ -19,8 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Static broadcast only for sides the planner can prove small from file statistics; anything
     # larger is sort-merge joined (and may still become a broadcast at runtime through AQE).
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
 }
 
 
