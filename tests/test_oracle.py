@@ -39,3 +39,38 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["grain", "year", "quarter", "month", "revenue", "n_lines"]
+
+
+OTHER_SETTINGS = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "200",
+                  "spark.sql.ansi.enabled": "false",
+                  "spark.sql.session.timeZone": "America/Los_Angeles"}
+
+
+@pytest.mark.parametrize("name", ["revenue_growth", "purchase_gaps", "customer_rank_family",
+                                  "slow_movers", "category_region_growth", "customer_ltv",
+                                  "moving_avg_day", "revenue_by_period"])
+def test_matches_oracle_under_other_session_settings(spark, sf001_tables, duck001, name):
+    """Results do not depend on AQE, partition count, ANSI mode or the session time zone."""
+    before = {k: spark.conf.get(k) for k in OTHER_SETTINGS}
+    for k, v in OTHER_SETTINGS.items():
+        spark.conf.set(k, v)
+    try:
+        res = compare(QUERIES[name](sf001_tables), duck001, entry.oracle_sql()[name])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert res.get("ok"), res
+
+
+@pytest.fixture(scope="module")
+def sf0001(spark):
+    from tests.oracle_compare import duck
+    from tillwise.sources.tables import load_tables
+    return load_tables(spark, "/root/testdata/sf0.001"), duck("/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_matches_oracle_at_sf0001(sf0001, name):
+    tables, con = sf0001
+    res = compare(QUERIES[name](tables), con, entry.oracle_sql()[name])
+    assert res.get("ok"), res
