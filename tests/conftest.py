@@ -17,6 +17,7 @@ def spark():
     session = build_session(master="local[*]", shuffle_partitions=8, extra={
         "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
         "spark.local.dir": os.path.join(scratch, "local"),
+        "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
     })
     yield session
     session.stop()
