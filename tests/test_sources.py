@@ -48,3 +48,14 @@ def test_rows_at_most(sf001_tables):
     assert rows_at_most(sf001_tables.nation, 25)
     assert not rows_at_most(sf001_tables.nation, 24)
     assert rows_at_most(sf001_tables.orders, 15000) and not rows_at_most(sf001_tables.orders, 14999)
+
+
+def test_cluster_conf_sizes_partitions():
+    from tillwise.session import cluster_conf
+    big = cluster_conf(100 * 10**12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
+    small = cluster_conf(10**9, 64)
+    assert small["spark.sql.shuffle.partitions"] == "128"       # two waves of the cores
+    mid = cluster_conf(10 * 10**12, 4000)
+    assert mid["spark.sql.shuffle.partitions"] == str(-(-10 * 10**12 // (256 * 1024 * 1024)))

@@ -6,6 +6,6 @@ until an action runs; Catalyst plans the joins and AQE re-plans them at runtime.
 """
 
 from tillwise.sources.tables import Tables, load_tables
-from tillwise.session import build_session, ensure_checkpoint_dir
+from tillwise.session import build_session, cluster_conf, ensure_checkpoint_dir
 
-__all__ = ["Tables", "load_tables", "build_session", "ensure_checkpoint_dir"]
+__all__ = ["Tables", "load_tables", "build_session", "cluster_conf", "ensure_checkpoint_dir"]

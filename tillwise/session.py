@@ -40,6 +40,31 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of table data on ``total_cores`` cores.
+
+    Scan splits and post-shuffle partitions target ``partition_bytes`` each, small enough to
+    sort and aggregate in executor memory without heavy spilling.  The shuffle partition count
+    is an upper bound for AQE, which coalesces it down to what each exchange actually carries;
+    it is at least two waves of the cores and at most 100,000 (map-status bookkeeping grows
+    with it).  A partition more than four times the advisory size and over 1 GB counts as
+    skewed and is split by AQE's skew join.
+    """
+    wanted = -(-input_bytes // partition_bytes)
+    shuffle_partitions = min(100_000, max(2 * total_cores, wanted))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(max(partition_bytes * 4, 1 << 30)),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, honouring ``spark.checkpoint.dir``.
 
