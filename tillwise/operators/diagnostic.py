@@ -67,24 +67,22 @@ def growth_ranking(t: Tables, dims: Sequence[str]) -> DataFrame:
               .where(F.col("year").between(prev, cur)).drop("order_date"))
     keys = ("category",) if "category" in dims else ()
     lines = category_lines(t) if keys else line_measures(t)
-    by_region_now = "region" in dims and keys
-    if by_region_now:
-        # category and region: tag orders with the region, then join the lines once
+    # Category and region: tag the orders with their region, so the lines are joined once.
+    # Region alone: order totals roll up per customer before the customer join instead.
+    tag_orders = "region" in dims and bool(keys)
+    if tag_orders:
         orders = orders_with_region(t, orders)
     dated = dated_lines(t, lines, ["revenue"], carry=keys, orders=orders)
     zero = F.lit(0).cast(MONEY)
     split = dated.select(
-        "o_custkey", *(["region"] if by_region_now else []), *keys,
+        "o_custkey", *(["region"] if tag_orders else []), *keys,
         F.when(F.col("year") == prev, F.col("revenue")).otherwise(zero).alias("revenue_prev"),
         F.when(F.col("year") == cur, F.col("revenue")).otherwise(zero).alias("revenue_cur"))
     measures = ["revenue_prev", "revenue_cur"]
-    if by_region_now:
-        totals = split.groupBy("region", *keys).agg(*[F.sum(m).alias(m) for m in measures])
-    elif "region" in dims:
-        # region alone: order-level totals roll up per customer before the customer join
+    if "region" in dims and not tag_orders:
         totals = to_regions(split, t, measures)
     else:
-        totals = split.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+        totals = split.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in measures])
     rp = F.coalesce(F.col("revenue_prev"), F.lit(0)).cast(MONEY)
     rc = F.coalesce(F.col("revenue_cur"), F.lit(0)).cast(MONEY)
     out = totals.select(*dims, prev.alias("prev_year"), cur.alias("cur_year"),
