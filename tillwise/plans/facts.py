@@ -138,17 +138,16 @@ def customer_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> Data
     """Per customer with orders: number of orders (all rows of ``orders``, with or without
     lines), revenue, cost and first order date.
 
-    Money comes from costed lines attached to orders and summed per customer; counts and dates
-    from ``orders`` alone.  Both sides are aggregated on the customer key, so their join needs
-    no further exchange of either."""
-    money = (dated_lines(t, costed_lines(t, cost_ratio), ["revenue", "cost"])
-             .groupBy("o_custkey").agg(F.sum("revenue").alias("revenue"),
-                                       F.sum("cost").alias("cost")))
-    counts = order_dates(t).groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.min("order_date").alias("first_order_date"))
-    joined = counts.join(money, "o_custkey", "left")
-    return joined.select(
-        "o_custkey", "n_orders",
-        F.coalesce(F.col("revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
-        F.coalesce(F.col("cost"), F.lit(0)).cast(MONEY).alias("cost"),
-        "first_order_date")
+    Orders without lines must still count, so the grain is the order: costed lines are
+    totalled per order (map-side first), orders are left-joined to those totals (the totals
+    are already partitioned by order key), and one aggregate per customer gives counts, dates
+    and money in a single pass over ``orders``."""
+    lines = costed_lines(t, cost_ratio)
+    money = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost"))
+    every_order = order_dates(t).join(money, "o_orderkey", "left")
+    return every_order.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
+        F.coalesce(F.sum("cost"), F.lit(0)).cast(MONEY).alias("cost"),
+        F.min("order_date").alias("first_order_date"))
