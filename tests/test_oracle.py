@@ -22,7 +22,8 @@ def test_matches_oracle(spark, sf001_tables, duck001, name):
 @pytest.mark.parametrize("name", ["revenue_cube", "category_region_growth", "customer_ltv",
                                   "returns_by_month", "margin_volume_corr", "repeat_rate_by_region",
                                   "pareto_products", "pareto_customers", "slow_movers",
-                                  "kpi_summary", "revenue_growth", "customer_rank_family"])
+                                  "kpi_summary", "revenue_growth", "customer_rank_family",
+                                  "supplier_region_growth"])
 def test_large_dimension_path_matches_oracle(spark, sf001_tables, duck001, name):
     """With the broadcast row limit at 0 every dimension takes the pre-aggregate + sort-merge
     path that large tables take; results must not change."""

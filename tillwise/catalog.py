@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "category_growth": partial(g.growth_ranking, dims=("category",)),
     "region_growth": partial(g.growth_ranking, dims=("region",)),
     "category_region_growth": partial(g.growth_ranking, dims=("category", "region")),
+    "supplier_region_growth": partial(g.growth_ranking, dims=("region",), side="supplier"),
     "repeat_rate_by_region": g.repeat_rate_by_region,
     "repeat_rate_by_region_11": partial(g.repeat_rate_by_region, min_orders=11),
     "slow_movers": g.slow_movers,

@@ -17,7 +17,7 @@ from tillwise.plans.facts import (
     category_lines, dated_lines, line_measures, order_dates, product_totals,
 )
 from tillwise.plans.ordering import global_order, ntile_of
-from tillwise.plans.regions import orders_with_region, to_regions
+from tillwise.plans.regions import orders_with_region, supplier_regions, to_regions
 from tillwise.plans.spine import calendar_spine
 from tillwise.sources.tables import Tables
 
@@ -54,15 +54,19 @@ def revenue_growth(t: Tables) -> DataFrame:
 GROWTH_DIMS = ("category", "region")
 
 
-def growth_ranking(t: Tables, dims: Sequence[str]) -> DataFrame:
-    """Revenue growth between the last two complete calendar years by category, customer
-    region or both, ranked fastest first.
+def growth_ranking(t: Tables, dims: Sequence[str], side: str = "customer") -> DataFrame:
+    """Revenue growth between the last two complete calendar years by category, region or
+    both, ranked fastest first.  The region is the customer's, or with ``side="supplier"``
+    (region alone) the supplying supplier's.
 
     Both years are summed in one pass with conditional sums; each large dimension is attached
     by the broadcast-or-pre-aggregate rule (:func:`tillwise.plans.facts.attach`)."""
     dims = [d for d in GROWTH_DIMS if d in dims]
-    cur = last_complete_year(latest_order_date(t))
-    prev = cur - 1
+    if side == "supplier":
+        if dims != ["region"]:
+            raise ValueError("supplier side supports the region dimension alone")
+        return _supplier_region_growth(t)
+    prev, cur = _years(t)
     orders = (order_dates(t).withColumn("year", year_part("order_date"))
               .where(F.col("year").between(prev, cur)).drop("order_date"))
     keys = ("category",) if "category" in dims else ()
@@ -83,6 +87,31 @@ def growth_ranking(t: Tables, dims: Sequence[str]) -> DataFrame:
         totals = to_regions(split, t, measures)
     else:
         totals = split.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in measures])
+    return _rank_growth(totals, dims, prev, cur)
+
+
+def _years(t: Tables):
+    cur = last_complete_year(latest_order_date(t))
+    return cur - 1, cur
+
+
+def _supplier_region_growth(t: Tables) -> DataFrame:
+    """Growth by the supplier's region: lines carry their supplier through the orders join
+    (which supplies the year), then meet the supplier table by supplier key."""
+    prev, cur = _years(t)
+    orders = (order_dates(t).withColumn("year", year_part("order_date"))
+              .where(F.col("year").between(prev, cur)).select("o_orderkey", "year"))
+    dated = dated_lines(t, line_measures(t), ["revenue"], carry=("l_suppkey",), orders=orders)
+    zero = F.lit(0).cast(MONEY)
+    split = dated.select(
+        "l_suppkey",
+        F.when(F.col("year") == prev, F.col("revenue")).otherwise(zero).alias("revenue_prev"),
+        F.when(F.col("year") == cur, F.col("revenue")).otherwise(zero).alias("revenue_cur"))
+    totals = supplier_regions(split, t, ["revenue_prev", "revenue_cur"])
+    return _rank_growth(totals, ["region"], prev, cur)
+
+
+def _rank_growth(totals: DataFrame, dims: Sequence[str], prev: Column, cur: Column) -> DataFrame:
     rp = F.coalesce(F.col("revenue_prev"), F.lit(0)).cast(MONEY)
     rc = F.coalesce(F.col("revenue_cur"), F.lit(0)).cast(MONEY)
     out = totals.select(*dims, prev.alias("prev_year"), cur.alias("cur_year"),

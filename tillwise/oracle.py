@@ -145,12 +145,16 @@ SELECT month, revenue, prev_month_revenue, prev_year_revenue,
 FROM y"""
 
 
-def _growth_sql(dims: list[str]) -> str:
+def _growth_sql(dims: list[str], side: str = "customer") -> str:
     cols = {"category": "p_type AS category", "region": "r_name AS region"}
     joins = {"category": "JOIN part ON p_partkey = l_partkey",
              "region": ("JOIN customer ON c_custkey = o_custkey "
                         "JOIN nation ON n_nationkey = c_nationkey "
                         "JOIN region ON r_regionkey = n_regionkey")}
+    if side == "supplier":
+        joins["region"] = ("JOIN supplier ON s_suppkey = l_suppkey "
+                           "JOIN nation ON n_nationkey = s_nationkey "
+                           "JOIN region ON r_regionkey = n_regionkey")
     sel = ", ".join(cols[d] for d in dims)
     names = ", ".join(dims)
     return f"""
@@ -174,6 +178,7 @@ FROM g"""
 SQL["category_growth"] = _growth_sql(["category"])
 SQL["region_growth"] = _growth_sql(["region"])
 SQL["category_region_growth"] = _growth_sql(["category", "region"])
+SQL["supplier_region_growth"] = _growth_sql(["region"], side="supplier")
 
 
 def _repeat_sql(min_orders: int) -> str:

@@ -59,7 +59,7 @@ def line_measures(t: Tables) -> DataFrame:
     r = returned()
     revenue = net_revenue()
     return t.lineitem.select(
-        "l_orderkey", "l_partkey",
+        "l_orderkey", "l_partkey", "l_suppkey",
         line_qty("l_quantity").alias("qty"),
         revenue.alias("revenue"),
         F.lit(1).cast("bigint").alias("n_lines"),

@@ -37,3 +37,13 @@ def orders_with_region(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     regions = nation_regions(t)
     return tagged.join(regions, tagged.c_nationkey == regions.n_nationkey).drop(
         "c_nationkey", "n_nationkey")
+
+
+def supplier_regions(fact: DataFrame, t: Tables, measures: Sequence[str]) -> DataFrame:
+    """Sum additive ``measures`` of rows keyed ``l_suppkey`` per supplier region: the supplier
+    table is attached by the broadcast-or-pre-aggregate rule, then the region lookup."""
+    suppliers = t.supplier.select("s_suppkey", "s_nationkey")
+    with_nation = attach(fact, suppliers, "l_suppkey", "s_suppkey", measures, base=t.supplier)
+    regions = nation_regions(t)
+    joined = with_nation.join(regions, with_nation.s_nationkey == regions.n_nationkey)
+    return joined.groupBy("region").agg(*[F.sum(m).alias(m) for m in measures])
