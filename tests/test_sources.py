@@ -59,3 +59,18 @@ def test_cluster_conf_sizes_partitions():
     assert small["spark.sql.shuffle.partitions"] == "128"       # two waves of the cores
     mid = cluster_conf(10 * 10**12, 4000)
     assert mid["spark.sql.shuffle.partitions"] == str(-(-10 * 10**12 // (256 * 1024 * 1024)))
+
+
+def test_batch_job_writes_each_question(tmp_path):
+    """``python -m tillwise`` runs questions in its own session and writes one folder each."""
+    import subprocess
+    import sys
+    out = tmp_path / "answers"
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS="--conf spark.ui.enabled=false "
+               f"--conf spark.checkpoint.dir={tmp_path / 'ckpt'} pyspark-shell")
+    subprocess.run([sys.executable, "-m", "tillwise", "--tables", "/root/testdata/sf0.001",
+                    "--out", str(out), "revenue_by_period", "kpi_summary"],
+                   check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                   env=env, timeout=600, capture_output=True)
+    assert sorted(p.name for p in out.iterdir()) == ["kpi_summary", "revenue_by_period"]
+    assert any(p.suffix == ".parquet" for p in (out / "kpi_summary").iterdir())
