@@ -1,7 +1,7 @@
 """Run questions as a batch job and write each result.
 
-    spark-submit --py-files tillwise.zip -m tillwise --tables /data/sales --out /data/answers \\
-        revenue_by_period customer_ltv
+    spark-submit --py-files tillwise.zip tillwise/__main__.py --tables /data/sales \\
+        --out /data/answers revenue_by_period customer_ltv
     python -m tillwise --tables /root/testdata/sf0.01 --out /tmp/answers --all
 
 ``--tables`` is a folder of ``<table>.parquet`` or, with ``--catalog``, a database name.  The
