@@ -96,3 +96,17 @@ def test_global_order_with_empty_and_single_slices(spark, sf001_tables, slices):
     assert sorted((r.n_nationkey, r.position, r.running_v) for r in ours) == sorted(
         map(tuple, plain))
     assert {(r.n_rows, r.total_v) for r in ours} == {(25, 0)}
+
+
+def test_ntile_of_equals_spark_ntile(spark):
+    """Tile from position and count equals Spark's ntile for every N in 1..40, tiles in 1..9."""
+    from tillwise.plans.ordering import ntile_of
+    grid = (spark.range(1, 41).withColumnRenamed("id", "n")
+            .select("n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("pos")))
+    w = Window.partitionBy("n").orderBy("pos")
+    for tiles in range(1, 10):
+        bad = grid.select(
+            F.ntile(tiles).over(w).alias("spark"),
+            ntile_of(F.col("pos"), F.col("n"), tiles).alias("ours")).where(
+            F.col("spark") != F.col("ours")).count()
+        assert bad == 0, tiles
