@@ -214,13 +214,16 @@ WITH pr AS (
   SELECT p_partkey, p_name, p_type AS category,
          CAST(COALESCE(SUM({REV}), 0) AS DECIMAL(28,4)) AS revenue
   FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey, p_name, p_type),
-ca AS (SELECT category, SUM(revenue) AS cat_revenue, COUNT(*) AS cat_products
-       FROM pr GROUP BY category)
+x AS (
+  SELECT p.*,
+         (SELECT SUM(q.revenue) FROM pr q WHERE q.category = p.category) AS cat_revenue,
+         (SELECT COUNT(*) FROM pr q WHERE q.category = p.category) AS cat_products
+  FROM pr p)
 SELECT p_partkey, p_name, category, revenue,
        CAST(cat_revenue AS DOUBLE) / CAST(cat_products AS DOUBLE) AS category_avg_revenue,
        {div('revenue', 'CAST(cat_revenue AS DOUBLE) / CAST(cat_products AS DOUBLE)')}
          AS revenue_to_avg
-FROM pr JOIN ca USING (category)
+FROM x
 WHERE revenue * cat_products < cat_revenue * 0.5"""
 
 SQL["unsold_products"] = f"""
