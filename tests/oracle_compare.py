@@ -94,7 +94,7 @@ def main(argv: list[str]) -> int:
         spark.conf.set("spark.tillwise.maxBroadcastRows", os.environ["TILLWISE_MAX_BROADCAST_ROWS"])
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
-    bad = 0
+    bad = good = unchecked = 0
     for name in names or list(qs):
         t0 = time.time()
         try:
@@ -103,7 +103,10 @@ def main(argv: list[str]) -> int:
         except Exception as exc:  # report and continue with the next question
             res = {"ok": False, "error": f"{type(exc).__name__}: {str(exc)[:600]}"}
         bad += res.get("ok") is False
+        good += res.get("ok") is True
+        unchecked += res.get("ok") is None
         print(f"{name:28s} {time.time() - t0:6.2f}s {res}", flush=True)
+    print(f"summary: {good} ok, {bad} failed, {unchecked} without oracle ({sf_dir})", flush=True)
     return 1 if bad else 0
 
 
