@@ -91,9 +91,12 @@ def _moving_average(series: DataFrame, date_col: str, n: int) -> DataFrame:
 
 
 def moving_avg_month(t: Tables, n: int = 3) -> DataFrame:
+    """Trailing ``n``-month mean revenue; ``is_complete`` is false for a month the data end
+    inside of (its revenue, and so its average, covers part of the month)."""
     series = calendar_spine(monthly_revenue(t).select("month", "revenue"), "month", "month",
                             order_months(t))
-    return _moving_average(series, "month", n)
+    return _moving_average(series, "month", n).withColumn(
+        "is_complete", F.last_day("month") <= latest_order_date(t))
 
 
 def daily_revenue(t: Tables) -> DataFrame:
@@ -114,7 +117,7 @@ def _costed_orders(t: Tables, keys: tuple[str, ...], cost_ratio: Decimal) -> Dat
 
 def margin_trend(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
     """Monthly units, revenue, cost, profit and margin, with the margin's change on the month
-    before (on a gap-free calendar)."""
+    before (on a gap-free calendar) and whether the month is complete."""
     monthly = _costed_orders(t, (), cost_ratio).groupBy(
         month_start("order_date").alias("month")).agg(
         F.sum("qty").cast("decimal(28,2)").alias("qty"),
@@ -126,7 +129,8 @@ def margin_trend(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFra
     by_month = Window.orderBy("month")
     return series.select(
         "month", "qty", "revenue", "cost", profit.alias("profit"), margin.alias("margin"),
-        (margin - F.lag(margin, 1).over(by_month)).alias("margin_change"))
+        (margin - F.lag(margin, 1).over(by_month)).alias("margin_change"),
+        (F.last_day("month") <= latest_order_date(t)).alias("is_complete"))
 
 
 def margin_volume_corr(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:

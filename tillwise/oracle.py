@@ -300,7 +300,7 @@ WITH m AS ({MONTHLY_REV}),
 x AS (SELECT s.month, CAST(COALESCE(m.revenue, 0) AS DECIMAL(28,4)) AS revenue
       FROM {spine('month', 'MONTH')} s LEFT JOIN m ON m.month = s.month)
 SELECT month, revenue, {div('SUM(revenue) OVER f', 'COUNT(*) OVER f')} AS moving_avg,
-       COUNT(*) OVER f AS frame_rows
+       COUNT(*) OVER f AS frame_rows, last_day(month) <= {LATEST} AS is_complete
 FROM x WINDOW f AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""
 
 SQL["moving_avg_day"] = f"""
@@ -326,7 +326,8 @@ x AS (SELECT s.month, qty, revenue, cost, CAST(revenue - cost AS DECIMAL(28,4))
              {div('CAST(revenue - cost AS DECIMAL(28,4))', 'revenue')} AS margin
       FROM {spine('month', 'MONTH')} s LEFT JOIN m ON m.month = s.month)
 SELECT month, qty, revenue, cost, profit, margin,
-       margin - LAG(margin) OVER (ORDER BY month) AS margin_change
+       margin - LAG(margin) OVER (ORDER BY month) AS margin_change,
+       last_day(month) <= {LATEST} AS is_complete
 FROM x"""
 
 SQL["margin_volume_corr"] = f"""
