@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import op10_decontaminate
+from tillwise.llm import op07_warc, op10_decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_warc": op07_warc.op7_warc,
     "op10_decontaminate": op10_decontaminate.op10_decontaminate,
 }
 
 SQL: dict[str, str] = {
+    "op7_warc": op07_warc.SQL,
     "op10_decontaminate": op10_decontaminate.SQL,
 }
