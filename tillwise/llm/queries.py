@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import op05_token_ids, op07_warc, op09_mix, op10_decontaminate
+from tillwise.llm import op05_token_ids, op06_toxicity, op07_warc, op09_mix, op10_decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_ids": op05_token_ids.op5_token_ids,
+    "op6_toxicity": op06_toxicity.op6_toxicity,
     "op7_warc": op07_warc.op7_warc,
     "op9_mix": op09_mix.op9_mix,
     "op10_decontaminate": op10_decontaminate.op10_decontaminate,
