@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import op05_token_ids, op06_toxicity, op07_warc, op09_mix, op10_decontaminate
+from tillwise.llm import op03_pii, op05_token_ids, op06_toxicity, op07_warc, op09_mix, op10_decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pii": op03_pii.op3_pii,
     "op5_token_ids": op05_token_ids.op5_token_ids,
     "op6_toxicity": op06_toxicity.op6_toxicity,
     "op7_warc": op07_warc.op7_warc,
