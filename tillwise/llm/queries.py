@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import op03_pii, op05_token_ids, op06_toxicity, op07_warc, op09_mix, op10_decontaminate
+from tillwise.llm import op03_pii, op04_imatch, op05_token_ids, op06_toxicity, op07_warc, op09_mix, op10_decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op03_pii.op3_pii,
+    "op4_imatch": op04_imatch.op4_imatch,
     "op5_token_ids": op05_token_ids.op5_token_ids,
     "op6_toxicity": op06_toxicity.op6_toxicity,
     "op7_warc": op07_warc.op7_warc,
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_imatch": op04_imatch.SQL,
     "op7_warc": op07_warc.SQL,
     "op10_decontaminate": op10_decontaminate.SQL,
 }
