@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import op03_pii, op04_imatch, op05_token_ids, op06_toxicity, op07_warc, op09_mix, op10_decontaminate
+from tillwise.llm import op03_pii, op04_imatch, op05_token_ids, op06_toxicity, op07_warc, op08_line_dedup, op09_mix, op10_decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op03_pii.op3_pii,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_ids": op05_token_ids.op5_token_ids,
     "op6_toxicity": op06_toxicity.op6_toxicity,
     "op7_warc": op07_warc.op7_warc,
+    "op8_line_dedup": op08_line_dedup.op8_line_dedup,
     "op9_mix": op09_mix.op9_mix,
     "op10_decontaminate": op10_decontaminate.op10_decontaminate,
 }
