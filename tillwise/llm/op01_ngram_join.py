@@ -125,29 +125,13 @@ def candidate_blocks(found: DataFrame) -> DataFrame:
     return found.select("node", "n").join(roots, found.node == roots.id).select("node", "n", F.col("root").alias("block"))
 
 
-class Forest:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
-def merge_skip(lists: list[np.ndarray], least: int) -> dict[int, int]:
+def merge_skip(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids on at least ``least`` of the ascending lists, with how many; a heap of the lists' heads, from
     which lists that cannot reach ``least`` together jump to the next possible id."""
     heads = [(int(x[0]), i, 0) for i, x in enumerate(lists)]
     heapq.heapify(heads)
     found = {}
-    while len(heads) >= least:
+    while len(heads) >= least:  # ids come out in ascending order
         top, same = heads[0][0], []
         while heads and heads[0][0] == top:
             same.append(heapq.heappop(heads))
@@ -165,92 +149,93 @@ def merge_skip(lists: list[np.ndarray], least: int) -> dict[int, int]:
             at += int(np.searchsorted(lists[i][at:], goal))
             if at < len(lists[i]):
                 heapq.heappush(heads, (int(lists[i][at]), i, at))
-    return found
+    return np.array(list(found), np.int64), np.array(list(found.values()), np.int64)
 
 
-def merge_count(lists: list[np.ndarray], least: int, low: int, high: int) -> dict[int, int]:
+def merge_count(lists: list[np.ndarray], least: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
     """The same by one counter per id, for lists that hold many times more entries than ids."""
     counts = np.bincount(np.concatenate(lists) - low, minlength=high - low)
     ids = np.flatnonzero(counts >= least)
-    return dict(zip((ids + low).tolist(), counts[ids].tolist()))
+    return ids + low, counts[ids]
 
 
-def divide_skip(lists: list[np.ndarray], least: int, low: int, high: int, skip) -> Iterator[tuple[int, int]]:
-    """(id, number of lists it stands on) for ids on at least ``least`` of the lists; ids for which
-    ``skip(id)`` holds are left out."""
+def divide_skip(lists: list[np.ndarray], least: int, low: int, high: int, keep) -> tuple[np.ndarray, np.ndarray]:
+    """Ids in [low, high) on at least ``least`` of the ascending lists, with how many; only ids for
+    which the mask ``keep(ids)`` holds."""
+    none = np.zeros(0, np.int64)
     if len(lists) < least:
-        return
+        return none, none
     lists = sorted(lists, key=len)
     long = min(least - 1, int(least / (0.01 * math.log2(len(lists[-1]) + 1) + 1)))
     short, rest = lists[:len(lists) - long], lists[len(lists) - long:]
-    entries = sum(map(len, short))
-    merged = merge_skip(short, least - long) if entries <= 2_000 else merge_count(short, least - long, low, high)
-    for i, count in merged.items():
-        if skip(i):
-            continue
+    ids, counts = (merge_skip(short, least - long) if sum(map(len, short)) <= 2_000
+                   else merge_count(short, least - long, low, high))
+    wanted = keep(ids)
+    ids, counts = ids[wanted], counts[wanted]
+    if len(ids) * len(rest) * 8 > sum(map(len, rest)):
+        counts += np.bincount(np.concatenate(rest) - low, minlength=high - low)[ids - low] if rest else 0
+    else:
         for k, x in enumerate(rest):
-            at = int(np.searchsorted(x, i))
-            count += at < len(x) and x[at] == i
-            if count + len(rest) - k - 1 < least:
+            at = np.minimum(np.searchsorted(x, ids), len(x) - 1)
+            counts += x[at] == ids
+            possible = counts + (len(rest) - k - 1) >= least
+            ids, counts = ids[possible], counts[possible]
+            if not len(ids):
                 break
-        if count >= least:
-            yield i, count
+    return ids[counts >= least], counts[counts >= least]
 
 
 def links_in_block(sets: list[np.ndarray], sides: list[int] | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links among the sets (by position); with ``sides``, of the links
     between sets of different sides."""
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    count = len(order)
     sizes = np.array([len(sets[i]) for i in order])
     _, tokens = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
-    owner = np.repeat(np.arange(len(order)), sizes)
-    by_token = np.argsort(tokens, kind="stable")
-    bounds = np.searchsorted(tokens[by_token], np.arange(tokens.max() + 2))
-    index = owner[by_token]  # ids ascending within each token
     cuts = np.concatenate([[0], np.cumsum(sizes)])
-    frequent = (bounds[1:] - bounds[:-1]) > 1
-    forest, out = Forest(len(order)), []
+    # The inverted index: (token, id) pairs in order, so one binary search finds a part of a list.
+    flat = np.sort(tokens.astype(np.int64) * count + np.repeat(np.arange(count), sizes))
+    index = flat % count
+    label, out = np.arange(count), []  # label: component so far
+    side = None if sides is None else np.array([sides[i] for i in order])
 
     def link(a: int, b: int) -> None:
-        if forest.join(a, b):
+        if label[a] != label[b]:
+            label[label == label[b]] = label[a]
             out.append((order[a], order[b]))
 
     def lists_of(i: int, low: int, high: int) -> list[np.ndarray]:
-        held = []
-        for t in tokens[cuts[i]:cuts[i + 1]]:
-            if frequent[t]:
-                x = index[bounds[t]:bounds[t + 1]]
-                x = x[np.searchsorted(x, low):np.searchsorted(x, high)]
-                if len(x):
-                    held.append(x)
-        return held
+        own = tokens[cuts[i]:cuts[i + 1]].astype(np.int64) * count
+        starts, ends = np.searchsorted(flat, own + low), np.searchsorted(flat, own + high)
+        return [index[a:b] for a, b in zip(starts.tolist(), ends.tolist()) if b > a]
 
-    side = None if sides is None else np.array([sides[i] for i in order])
-    if len(order) > 64 and side is None:
+    if count > 64 and side is None:
         # Large groups first: one document's full counts link all its partners at once.
-        alone = np.ones(len(order), bool)
+        alone = np.ones(count, bool)
         while alone.sum() > 64:
             open_ids = np.flatnonzero(alone)
             i = int(open_ids[len(open_ids) // 2])
-            common = np.bincount(np.concatenate(lists_of(i, 0, len(order)) or [np.array([i])]), minlength=len(order))
-            near = np.flatnonzero((100 * common >= 80 * (sizes + sizes[i] - common)) & (np.arange(len(order)) != i))
+            common = np.bincount(np.concatenate(lists_of(i, 0, count)), minlength=count)
+            near = np.flatnonzero((100 * common >= 80 * (sizes + sizes[i] - common)) & (np.arange(count) != i))
             for j in near.tolist():
                 link(i, j)
             alone[near] = alone[i] = False
             if len(near) < 16:
                 break
-    for i in range(1, len(order)):
-        low = int(np.searchsorted(sizes, least_overlap(int(sizes[i]))))
-        if low == i:
-            continue
-        mine = forest.root(i)
-        if side is None and all(forest.root(j) == mine for j in range(low, i)):
-            continue
+    for i in range(1, count):
         least = least_overlap(int(sizes[i]))
-        skip = lambda j: forest.root(j) == forest.root(i) or (side is not None and side[i] == side[j])
-        for j, common in divide_skip(lists_of(i, low, i), least, low, i, skip):
-            if linked(common, int(sizes[i]), int(sizes[j])) and not skip(j):
-                link(i, j)
+        low = int(np.searchsorted(sizes, least))
+
+        def keep(ids: np.ndarray) -> np.ndarray:
+            fresh = label[ids] != label[i]
+            return fresh if side is None else fresh & (side[ids] != side[i])
+
+        if not keep(np.arange(low, i)).any():
+            continue
+        ids, common = divide_skip(lists_of(i, low, i), least, low, i, keep)
+        near = 100 * common >= 80 * (sizes[ids] + sizes[i] - common)
+        for j in ids[near].tolist():
+            link(i, j)
     return out
 
 
