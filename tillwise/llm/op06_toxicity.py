@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.llm.common import materialize, table
 
@@ -275,8 +276,9 @@ def _score(model: Model):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(row: struct of all columns of ``docs``, score, n_matches) per row."""
     given = docs.select(F.struct("*").alias("row"), F.col("text").alias("_text"))
-    kind = given.schema["row"].dataType.simpleString()
-    return given.mapInArrow(_score(model), f"row {kind}, score double, n_matches long")
+    schema = T.StructType([given.schema["row"], T.StructField("score", T.DoubleType()),
+                           T.StructField("n_matches", T.LongType())])
+    return given.mapInArrow(_score(model), schema)
 
 
 def find_matches(text: str | None, model: Model) -> list[tuple[int, int, str, float]]:

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import op01_ngram_join, op03_pii, op04_imatch, op05_token_ids, op06_toxicity, op07_warc, op08_line_dedup, op09_mix, op10_decontaminate
+from tillwise.llm import op01_ngram_join, op02_pitman_yor, op03_pii, op04_imatch, op05_token_ids, op06_toxicity, op07_warc, op08_line_dedup, op09_mix, op10_decontaminate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op01_ngram_join.op1_ngram_join,
+    "op2_pitman_yor": op02_pitman_yor.op2_pitman_yor,
     "op3_pii": op03_pii.op3_pii,
     "op4_imatch": op04_imatch.op4_imatch,
     "op5_token_ids": op05_token_ids.op5_token_ids,
