@@ -2,10 +2,8 @@
 
     BENCH_SF_DIR   table folder (default /root/testdata/sf0.1)
     BENCH_CPUS     local worker threads (default 8)
-    BENCH_MAX_BROADCAST_ROWS  optional: proven-broadcast row limit (spark.tillwise.maxBroadcastRows)
-    BENCH_NO_BROADCAST        optional, "1": Spark's static and adaptive broadcast thresholds off;
-                   with a small row limit (e.g. 25) this runs the plans meant for full-size data
-                   (pre-aggregate + sort-merge joins, sliced global orders)
+    BENCH_NO_BROADCAST        optional, "1": Spark's static and adaptive broadcast thresholds off,
+                   so every join is a sort-merge join, as when no table is small
     BENCH_REPEAT   timed runs per question, the fastest is reported (default 2: the host
                    shares its CPUs, so single runs vary by tens of percent)
 
@@ -40,9 +38,6 @@ def main() -> None:
         extra={"spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
                "spark.local.dir": os.path.join(scratch, "local"),
                "spark.driver.memory": "8g"})
-    limit = os.environ.get("BENCH_MAX_BROADCAST_ROWS")
-    if limit:
-        spark.conf.set("spark.tillwise.maxBroadcastRows", limit)
     if os.environ.get("BENCH_NO_BROADCAST") == "1":
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
@@ -70,7 +65,6 @@ def main() -> None:
         "n_queries": len(timings),
         "repeat": repeat,
         "stat": "min",
-        **({"max_broadcast_rows": int(limit)} if limit else {}),
         **({"no_broadcast": True} if os.environ.get("BENCH_NO_BROADCAST") == "1" else {}),
     }))
 

@@ -88,10 +88,7 @@ def main(argv: list[str]) -> int:
     sys.path.insert(0, ".")
     import __spark_entry__ as entry
     from tillwise.session import build_session
-    import os
     spark = build_session()
-    if os.environ.get("TILLWISE_MAX_BROADCAST_ROWS"):
-        spark.conf.set("spark.tillwise.maxBroadcastRows", os.environ["TILLWISE_MAX_BROADCAST_ROWS"])
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = good = unchecked = 0

@@ -37,6 +37,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "unsold_products": g.unsold_products,
     "avg_purchase_gap": g.avg_purchase_gap,
     "purchase_gaps": g.purchase_gaps,
+    "purchase_gap_summary": g.purchase_gap_summary,
     # advanced: strategic
     "customer_ltv": s.customer_ltv,
     "pareto_products": s.pareto_products,

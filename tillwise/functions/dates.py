@@ -34,6 +34,12 @@ def day_diff(end: Column | str, start: Column | str) -> Column:
     return F.datediff(_c(end), _c(start)).cast("bigint")
 
 
+def first_complete_year(earliest_date: Column) -> Column:
+    """The first calendar year that data beginning at ``earliest_date`` cover from its January on
+    (a year counts by its months, so sales need not begin on the first of January)."""
+    return (F.year(earliest_date) + F.when(F.month(earliest_date) == 1, 0).otherwise(1)).cast("bigint")
+
+
 def last_complete_year(latest_date: Column) -> Column:
-    """The last calendar year fully covered by data ending at ``latest_date``."""
-    return (F.year(F.date_add(latest_date, 1)) - 1).cast("bigint")
+    """The last calendar year that data ending at ``latest_date`` cover into its December."""
+    return (F.year(latest_date) - F.when(F.month(latest_date) == 12, 0).otherwise(1)).cast("bigint")

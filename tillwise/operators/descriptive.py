@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import as_date, month_part, month_start, quarter_part, year_part
-from tillwise.functions.measures import MONEY, QTY, line_qty, returned
+from tillwise.functions.measures import MONEY, QTY, UNITS, line_qty, returned
 from tillwise.functions.ratios import ratio
-from tillwise.plans.facts import category_lines, dated_lines, line_measures, product_totals
+from tillwise.plans.facts import (
+    dated_lines, line_measures, per_product, product_categories, product_totals,
+)
 from tillwise.plans.ordering import rank_family
 from tillwise.plans.regions import orders_with_region
 from tillwise.sources.tables import Tables
@@ -50,19 +52,29 @@ def revenue_rollup(t: Tables) -> DataFrame:
         F.grouping_id().cast("bigint").alias("grouping_id"))
 
 
-def top_products(t: Tables, k: int = 10) -> DataFrame:
-    """Products by revenue, ``rank() <= k`` so ties at the cut are all kept.
+def top_rank(totals: DataFrame, value: str, k: int, name: str) -> DataFrame:
+    """Rows of ``totals`` with ``rank() <= k`` by ``value`` descending, all ties kept, and the rank.
+
+    The k-th value comes from a sort limited to k rows; rows at or above it hold at most k distinct
+    values, whose ranks are running counts over that small table.  However many rows tie, they stay
+    where they are: no task ranks them one by one.  Null values have no rank."""
+    kth = totals.where(F.col(value).isNotNull()).orderBy(F.desc(value)).limit(k).select(F.min(value)).scalar()
+    top = totals.where(F.col(value) >= kth)
+    before = Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = top.groupBy(value).agg(F.count(F.lit(1)).alias("_rows")).select(
+        value, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) + 1).cast("bigint").alias(name))
+    return top.join(F.broadcast(ranks), value)  # at most k rows
 
-    The rank limit runs per partition before the single-partition step (window group limit),
-    and the product table is joined to the at most k-plus-ties survivors only."""
+
+def top_products(t: Tables, k: int = 10) -> DataFrame:
+    """Products by revenue, ``rank() <= k`` so ties at the cut are all kept; the product table is
+    joined to the survivors only."""
     totals = line_measures(t).groupBy("l_partkey").agg(
         F.sum("revenue").cast(MONEY).alias("revenue"))
-    ranked = (totals.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("revenue"))))
-              .where(F.col("revenue_rank") <= k))
+    ranked = top_rank(totals, "revenue", k, "revenue_rank")
     products = t.part.select("p_partkey", "p_name", F.col("p_type").alias("category"))
     return ranked.join(products, ranked.l_partkey == products.p_partkey).select(
-        "p_partkey", "p_name", "category", "revenue",
-        F.col("revenue_rank").cast("bigint").alias("revenue_rank"))
+        "p_partkey", "p_name", "category", "revenue", "revenue_rank")
 
 
 def quantity_per_product(t: Tables) -> DataFrame:
@@ -72,18 +84,17 @@ def quantity_per_product(t: Tables) -> DataFrame:
     joined = products.join(totals, products.p_partkey == totals.l_partkey, "left")
     return joined.select(
         "p_partkey", "p_name", "category",
-        F.coalesce(F.col("qty"), F.lit(0).cast("decimal(28,2)")).alias("total_qty"),
+        F.coalesce(F.col("qty"), F.lit(0).cast(UNITS)).alias("total_qty"),
         F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint").alias("n_lines"))
 
 
 def top_customers_by_orders(t: Tables, k: int = 10) -> DataFrame:
     """Customers with the most orders (rows of ``orders``), ``rank() <= k`` with ties."""
     counts = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
-    ranked = (counts.withColumn("order_rank", F.rank().over(Window.orderBy(F.desc("n_orders"))))
-              .where(F.col("order_rank") <= k))
+    ranked = top_rank(counts, "n_orders", k, "order_rank")
     customers = t.customer.select("c_custkey", "c_name")
     return ranked.join(customers, ranked.o_custkey == customers.c_custkey).select(
-        "c_custkey", "c_name", "n_orders", F.col("order_rank").cast("bigint").alias("order_rank"))
+        "c_custkey", "c_name", "n_orders", "order_rank")
 
 
 def stock_movement_monthly(t: Tables) -> DataFrame:
@@ -98,26 +109,30 @@ def stock_movement_monthly(t: Tables) -> DataFrame:
         month_start(as_date("l_shipdate")).alias("month"),
         line_qty("l_quantity").alias("q"), returned().alias("r"))
     monthly = moves.groupBy("p_partkey", "month").agg(
-        F.sum("q").cast("decimal(28,2)").alias("qty_out"),
+        F.sum("q").cast(UNITS).alias("qty_out"),
         F.sum(F.when(F.col("r"), F.col("q")).otherwise(F.lit(0).cast(QTY)))
-         .cast("decimal(28,2)").alias("qty_returned"))
-    net = (F.col("qty_returned") - F.col("qty_out")).cast("decimal(28,2)")
+         .cast(UNITS).alias("qty_returned"))
+    net = (F.col("qty_returned") - F.col("qty_out")).cast(UNITS)
     upto = (Window.partitionBy("p_partkey").orderBy("month")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return monthly.select(
         "p_partkey", "month", "qty_out", "qty_returned", net.alias("net_qty"),
-        F.sum(net).over(upto).cast("decimal(28,2)").alias("balance"))
+        F.sum(net).over(upto).cast(UNITS).alias("balance"))
 
 
 def revenue_cube(t: Tables) -> DataFrame:
     """Revenue by customer region x product category with all subtotals (``cube``).
 
-    Lines get their category, then their order's region (orders are tagged with the customer's
-    region first, an orders-sized join, so the lines are joined once more, not twice); only
-    then is the cube expanded, over at most regions x categories rows."""
-    dated = dated_lines(t, category_lines(t), ["revenue"], carry=("category",),
-                        orders=orders_with_region(t))
-    by_region = dated.groupBy("region", "category").agg(F.sum("revenue").alias("revenue"))
+    Orders are tagged with the customer's region, lines meet them by order key and are summed per
+    product and region; the product table and the cube see only those sums.  Lines of unknown
+    products and orders of unknown customers stay, under a null category or region, so the grand
+    total is all revenue."""
+    tagged = orders_with_region(t).select("o_orderkey", "region")
+    lines = dated_lines(t, line_measures(t), ["revenue"], carry=("l_partkey",), orders=tagged)
+    sums = per_product(lines, ["region"], ["revenue"])
+    products = product_categories(t)
+    by_region = (sums.join(products, sums.l_partkey == products.p_partkey, "left")
+                 .groupBy("region", "category").agg(F.sum("revenue").alias("revenue")))
     return by_region.cube("region", "category").agg(
         F.sum("revenue").cast(MONEY).alias("revenue"),
         F.grouping("region").cast("bigint").alias("g_region"),
@@ -126,14 +141,12 @@ def revenue_cube(t: Tables) -> DataFrame:
 
 def customer_rank_family(t: Tables, tiles: int = 4) -> DataFrame:
     """All six ranking functions on the number of orders of every customer (customers without
-    orders count zero and rank last).  One row per row of ``customer``, so the customer table
-    bounds the ordering: a one-task window when it is proven small, the sliced plan of
-    :mod:`tillwise.plans.ordering` beyond."""
+    orders count zero and rank last), by the sliced order of :mod:`tillwise.plans.ordering`."""
     counts = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     customers = t.customer.select("c_custkey")
     every = customers.join(counts, customers.c_custkey == counts.o_custkey, "left").select(
         "c_custkey", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n_orders"))
-    fam = rank_family(every, "n_orders", "c_custkey", tiles=tiles, bound=t.customer)
+    fam = rank_family(every, "n_orders", "c_custkey", tiles=tiles)
     return fam.select("c_custkey", "n_orders",
                       F.col("row_number").alias("row_num"), F.col("rank").alias("rank_num"),
                       F.col("dense_rank").alias("dense_rank_num"), F.col("ntile").alias("ntile_num"),

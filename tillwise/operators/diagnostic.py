@@ -9,12 +9,14 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.dates import as_date, day_diff, last_complete_year, month_start, year_part
-from tillwise.functions.measures import MONEY
+from tillwise.functions.dates import (
+    as_date, day_diff, first_complete_year, last_complete_year, month_start, year_part,
+)
+from tillwise.functions.measures import MONEY, UNITS
 from tillwise.functions.ratios import growth, ratio
 from tillwise.operators.descriptive import monthly_revenue
 from tillwise.plans.facts import (
-    category_lines, dated_lines, line_measures, order_dates, product_totals,
+    dated_lines, line_measures, order_dates, per_product, product_categories, product_totals,
 )
 from tillwise.plans.ordering import global_order, ntile_of
 from tillwise.plans.regions import orders_with_region, supplier_regions, to_regions
@@ -32,6 +34,11 @@ def latest_order_date(t: Tables) -> Column:
     return t.orders.select(F.max(as_date("o_orderdate"))).scalar()
 
 
+def earliest_order_date(t: Tables) -> Column:
+    """The first sale date in the data, as a scalar subquery."""
+    return t.orders.select(F.min(as_date("o_orderdate"))).scalar()
+
+
 def revenue_growth(t: Tables) -> DataFrame:
     """Month-over-month and year-over-year revenue growth on a gap-free month calendar.
 
@@ -57,60 +64,47 @@ GROWTH_DIMS = ("category", "region")
 def growth_ranking(t: Tables, dims: Sequence[str], side: str = "customer") -> DataFrame:
     """Revenue growth between the last two complete calendar years by category, region or
     both, ranked fastest first.  The region is the customer's, or with ``side="supplier"``
-    (region alone) the supplying supplier's.
+    (region alone) the supplying supplier's.  A year is complete if the data begin by its January and
+    reach into its December; without two such years there is no row.
 
-    Both years are summed in one pass with conditional sums; each large dimension is attached
-    by the broadcast-or-pre-aggregate rule (:func:`tillwise.plans.facts.attach`)."""
+    Both years are summed in one pass with conditional sums.  Lines meet the orders of those years
+    first and are reduced per product (and region) before the product table is joined; rows of
+    unknown products, customers or suppliers stay under a null category or region."""
     dims = [d for d in GROWTH_DIMS if d in dims]
-    if side == "supplier":
-        if dims != ["region"]:
-            raise ValueError("supplier side supports the region dimension alone")
-        return _supplier_region_growth(t)
+    if side == "supplier" and dims != ["region"]:
+        raise ValueError("supplier side supports the region dimension alone")
     prev, cur = _years(t)
     orders = (order_dates(t).withColumn("year", year_part("order_date"))
-              .where(F.col("year").between(prev, cur)).drop("order_date"))
-    keys = ("category",) if "category" in dims else ()
-    lines = category_lines(t) if keys else line_measures(t)
-    # Category and region: tag the orders with their region, so the lines are joined once.
-    # Region alone: order totals roll up per customer before the customer join instead.
-    tag_orders = "region" in dims and bool(keys)
-    if tag_orders:
+              .where(F.col("year").between(prev, cur) & (prev >= first_complete_year(earliest_order_date(t))))
+              .select("o_orderkey", "o_custkey", "year"))
+    tagged = "region" in dims and "category" in dims
+    if tagged:  # the lines then meet the region with their order, not with another join
         orders = orders_with_region(t, orders)
-    dated = dated_lines(t, lines, ["revenue"], carry=keys, orders=orders)
+    carry = ("l_suppkey",) if side == "supplier" else ("l_partkey",) if "category" in dims else ()
+    dated = dated_lines(t, line_measures(t), ["revenue"], carry=carry, orders=orders)
     zero = F.lit(0).cast(MONEY)
     split = dated.select(
-        "o_custkey", *(["region"] if tag_orders else []), *keys,
+        "o_custkey", *carry, *(["region"] if tagged else []),
         F.when(F.col("year") == prev, F.col("revenue")).otherwise(zero).alias("revenue_prev"),
         F.when(F.col("year") == cur, F.col("revenue")).otherwise(zero).alias("revenue_cur"))
     measures = ["revenue_prev", "revenue_cur"]
-    if "region" in dims and not tag_orders:
-        totals = to_regions(split, t, measures)
+    if side == "supplier":
+        totals = supplier_regions(split, t, measures)
+    elif "category" in dims:
+        sums = per_product(split, ["region"] if tagged else [], measures)
+        products = product_categories(t)
+        totals = (sums.join(products, sums.l_partkey == products.p_partkey, "left")
+                  .groupBy(*dims).agg(*[F.sum(m).alias(m) for m in measures]))
     else:
-        totals = split.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in measures])
+        totals = to_regions(split, t, measures)
     return _rank_growth(totals, dims, prev, cur)
 
 
-def _years(t: Tables):
+def _years(t: Tables) -> tuple[Column, Column]:
     cur = last_complete_year(latest_order_date(t))
     return cur - 1, cur
 
 
-def _supplier_region_growth(t: Tables) -> DataFrame:
-    """Growth by the supplier's region: lines carry their supplier through the orders join
-    (which supplies the year), then meet the supplier table by supplier key."""
-    prev, cur = _years(t)
-    orders = (order_dates(t).withColumn("year", year_part("order_date"))
-              .where(F.col("year").between(prev, cur)).select("o_orderkey", "year"))
-    dated = dated_lines(t, line_measures(t), ["revenue"], carry=("l_suppkey",), orders=orders)
-    zero = F.lit(0).cast(MONEY)
-    split = dated.select(
-        "l_suppkey",
-        F.when(F.col("year") == prev, F.col("revenue")).otherwise(zero).alias("revenue_prev"),
-        F.when(F.col("year") == cur, F.col("revenue")).otherwise(zero).alias("revenue_cur"))
-    totals = supplier_regions(split, t, ["revenue_prev", "revenue_cur"])
-    return _rank_growth(totals, ["region"], prev, cur)
-
-
 def _rank_growth(totals: DataFrame, dims: Sequence[str], prev: Column, cur: Column) -> DataFrame:
     rp = F.coalesce(F.col("revenue_prev"), F.lit(0)).cast(MONEY)
     rc = F.coalesce(F.col("revenue_cur"), F.lit(0)).cast(MONEY)
@@ -146,15 +140,13 @@ def slow_movers(t: Tables, days: int = 90, tiles: int = 4) -> DataFrame:
     """Every product with units sold in the recent window and its ``ntile`` (ascending units,
     then key); ``is_slow`` marks the lowest tile.  Unsold products count with zero units.
 
-    The tile comes from an exact global position (:func:`global_order`): a one-task window only
-    when the product table is proven small, else the sliced plan."""
+    The tile comes from an exact global position (:func:`global_order`)."""
     totals = product_totals(t, recent_orders(t, days))
     products = t.part.select("p_partkey", "p_name", F.col("p_type").alias("category"))
     joined = products.join(totals, products.p_partkey == totals.l_partkey, "left").select(
         "p_partkey", "p_name", "category",
-        F.coalesce(F.col("qty"), F.lit(0).cast("decimal(28,2)")).alias("recent_qty"))
-    ordered = global_order(joined, [F.col("recent_qty").asc(), F.col("p_partkey").asc()],
-                           bound=t.part)
+        F.coalesce(F.col("qty"), F.lit(0).cast(UNITS)).alias("recent_qty"))
+    ordered = global_order(joined, [F.col("recent_qty").asc(), F.col("p_partkey").asc()])
     tile = ntile_of(F.col("position"), F.col("n_rows"), tiles)
     return ordered.select("p_partkey", "p_name", "category", "recent_qty",
                           tile.alias("quartile"), (tile == 1).alias("is_slow"))
@@ -215,13 +207,40 @@ def purchase_gaps(t: Tables) -> DataFrame:
 
     Instead of a window over each customer's orders (one task per customer, unbounded for a hot
     customer), orders are reduced to distinct (customer, day) rows; the window runs over those,
-    bounded by the calendar, and each order is joined back to its day."""
+    bounded by the calendar, and each order is joined back to its day.  Orders without a customer
+    are one group, as in a window partitioned by customer."""
     orders = order_dates(t)
     days = orders.groupBy("o_custkey", "order_date").agg(F.min("o_orderkey").alias("first_key"))
     by_day = Window.partitionBy("o_custkey").orderBy("order_date")
     days = days.withColumn("prev_day", F.lag("order_date").over(by_day))
-    joined = orders.join(days, ["o_custkey", "order_date"])
+    days = days.select(F.col("o_custkey").alias("d_custkey"), F.col("order_date").alias("d_date"),
+                       "first_key", "prev_day")
+    joined = orders.join(days, orders.o_custkey.eqNullSafe(days.d_custkey)
+                         & orders.order_date.eqNullSafe(days.d_date))
     prev = F.when(F.col("o_orderkey") == F.col("first_key"), F.col("prev_day")).otherwise(
         F.col("order_date"))
     return joined.select("o_orderkey", "o_custkey", "order_date", prev.alias("prev_order_date"),
                          day_diff("order_date", prev).alias("gap_days"))
+
+
+def purchase_gap_summary(t: Tables) -> DataFrame:
+    """Time between consecutive purchases of a customer, over all customers (scope ``all``) and per
+    region (scope ``region``): number of gaps, their total days, mean and exact median.
+
+    A gap is a number of days bounded by the calendar, so the gaps reduce to counts per (customer,
+    gap), then per (region, gap); the median is read off the running counts of that small table.
+    Orders without a customer have no gaps here; customers of unknown region have a null region."""
+    gaps = purchase_gaps(t).where(F.col("o_custkey").isNotNull() & F.col("gap_days").isNotNull())
+    counts = to_regions(gaps.select("o_custkey", "gap_days", F.lit(1).cast("bigint").alias("n")), t, ["n"], ["gap_days"])
+    every = counts.groupBy("gap_days").agg(F.sum("n").alias("n")).select(
+        F.lit("all").alias("scope"), F.lit(None).cast("string").alias("region"), "gap_days", "n")
+    both = every.union(counts.select(F.lit("region").alias("scope"), "region", "gap_days", "n"))
+    scope = Window.partitionBy("scope", "region")
+    upto = scope.orderBy("gap_days").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = both.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(scope))
+    at = lambda place: F.min(F.when(F.col("upto") >= F.floor(place), F.col("gap_days")))
+    return placed.groupBy("scope", "region").agg(
+        F.sum("n").cast("bigint").alias("n_gaps"),
+        F.sum(F.col("n") * F.col("gap_days")).cast("bigint").alias("total_gap_days"),
+        ratio(F.sum(F.col("n") * F.col("gap_days")), F.sum("n")).alias("avg_gap_days"),
+        ((at((F.col("total") + 1) / 2) + at((F.col("total") + 2) / 2)) / F.lit(2.0)).cast("double").alias("median_gap_days"))

@@ -2,18 +2,19 @@
 
 Written directly against the raw tables (joins first, one aggregate), so it shares no plan
 shape with the Spark side.  Types are cast to the Spark result types: money DECIMAL(28,4),
-units DECIMAL(28,2), counts and ranks BIGINT, ratios DOUBLE computed from exact decimals.
+units DECIMAL(28,4), counts and ranks BIGINT, ratios DOUBLE computed from exact decimals.
 """
 
 from __future__ import annotations
 
 REV = "CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))"
-UNIT_COST = "CAST(p_retailprice * CAST(0.6 AS DOUBLE) AS DECIMAL(18,4))"
-QTY = "CAST(l_quantity AS DECIMAL(8,2))"
+UNIT_COST = "CAST(p_retailprice * CAST(0.6 AS DOUBLE) AS DECIMAL(13,4))"
+QTY = "CAST(l_quantity AS DECIMAL(18,4))"
 LINE_COST = f"({QTY} * {UNIT_COST})"
 ODATE = "CAST(o_orderdate AS DATE)"
 OMONTH = f"CAST(date_trunc('month', {ODATE}) AS DATE)"
 LATEST = f"(SELECT MAX({ODATE}) FROM orders)"
+UNCOSTED = "CAST(SUM(CASE WHEN p_partkey IS NULL THEN 1 ELSE 0 END) AS BIGINT)"
 
 
 def div(num: str, den: str) -> str:
@@ -62,7 +63,7 @@ WHERE revenue_rank <= 10"""
 
 SQL["quantity_per_product"] = f"""
 SELECT p_partkey, p_name, p_type AS category,
-       CAST(COALESCE(SUM({QTY}), 0) AS DECIMAL(28,2)) AS total_qty,
+       CAST(COALESCE(SUM({QTY}), 0) AS DECIMAL(28,4)) AS total_qty,
        COUNT(l_partkey) AS n_lines
 FROM part LEFT JOIN lineitem ON l_partkey = p_partkey
 GROUP BY p_partkey, p_name, p_type"""
@@ -80,11 +81,11 @@ WITH m AS (
          SUM({QTY}) AS qty_out,
          SUM(CASE WHEN l_returnflag = 'R' THEN {QTY} ELSE 0 END) AS qty_returned
   FROM lineitem GROUP BY 1, 2)
-SELECT p_partkey, month, CAST(qty_out AS DECIMAL(28,2)) AS qty_out,
-       CAST(qty_returned AS DECIMAL(28,2)) AS qty_returned,
-       CAST(qty_returned - qty_out AS DECIMAL(28,2)) AS net_qty,
+SELECT p_partkey, month, CAST(qty_out AS DECIMAL(28,4)) AS qty_out,
+       CAST(qty_returned AS DECIMAL(28,4)) AS qty_returned,
+       CAST(qty_returned - qty_out AS DECIMAL(28,4)) AS net_qty,
        CAST(SUM(qty_returned - qty_out) OVER (PARTITION BY p_partkey ORDER BY month
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS balance
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(28,4)) AS balance
 FROM m"""
 
 SQL["returns_by_month"] = f"""
@@ -110,10 +111,10 @@ SQL["revenue_cube"] = f"""
 WITH f AS (
   SELECT r_name AS region, p_type AS category, {REV} AS revenue
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN part ON p_partkey = l_partkey
-  JOIN customer ON c_custkey = o_custkey
-  JOIN nation ON n_nationkey = c_nationkey
-  JOIN region ON r_regionkey = n_regionkey)
+  LEFT JOIN part ON p_partkey = l_partkey
+  LEFT JOIN customer ON c_custkey = o_custkey
+  LEFT JOIN nation ON n_nationkey = c_nationkey
+  LEFT JOIN region ON r_regionkey = n_regionkey)
 SELECT region, category, CAST(SUM(revenue) AS DECIMAL(28,4)) AS revenue,
        CAST(GROUPING(region) AS BIGINT) AS g_region,
        CAST(GROUPING(category) AS BIGINT) AS g_category
@@ -147,18 +148,22 @@ FROM y"""
 
 def _growth_sql(dims: list[str], side: str = "customer") -> str:
     cols = {"category": "p_type AS category", "region": "r_name AS region"}
-    joins = {"category": "JOIN part ON p_partkey = l_partkey",
-             "region": ("JOIN customer ON c_custkey = o_custkey "
-                        "JOIN nation ON n_nationkey = c_nationkey "
-                        "JOIN region ON r_regionkey = n_regionkey")}
+    joins = {"category": "LEFT JOIN part ON p_partkey = l_partkey",
+             "region": ("LEFT JOIN customer ON c_custkey = o_custkey "
+                        "LEFT JOIN nation ON n_nationkey = c_nationkey "
+                        "LEFT JOIN region ON r_regionkey = n_regionkey")}
     if side == "supplier":
-        joins["region"] = ("JOIN supplier ON s_suppkey = l_suppkey "
-                           "JOIN nation ON n_nationkey = s_nationkey "
-                           "JOIN region ON r_regionkey = n_regionkey")
+        joins["region"] = ("LEFT JOIN supplier ON s_suppkey = l_suppkey "
+                           "LEFT JOIN nation ON n_nationkey = s_nationkey "
+                           "LEFT JOIN region ON r_regionkey = n_regionkey")
     sel = ", ".join(cols[d] for d in dims)
     names = ", ".join(dims)
     return f"""
-WITH lim AS (SELECT CAST(year(MAX({ODATE}) + 1) AS BIGINT) - 1 AS cur FROM orders),
+WITH ends AS (SELECT year(d) AS y, bool_or(month(d) = 1) AS has_first, bool_or(month(d) = 12) AS has_last
+  FROM (SELECT {ODATE} AS d FROM orders) GROUP BY 1),
+span AS (SELECT MIN(y) AS y0, MAX(y) AS y1, arg_min(has_first, y) AS first_whole, arg_max(has_last, y) AS last_whole FROM ends),
+lim AS (SELECT CAST(CASE WHEN last_whole THEN y1 ELSE y1 - 1 END AS BIGINT) AS cur,
+               CASE WHEN first_whole THEN y0 ELSE y0 + 1 END AS low FROM span),
 f AS (
   SELECT {sel}, year({ODATE}) AS yr, {REV} AS revenue
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey {' '.join(joins[d] for d in dims)}),
@@ -166,7 +171,7 @@ g AS (
   SELECT {names}, lim.cur - 1 AS prev_year, lim.cur AS cur_year,
          CAST(COALESCE(SUM(CASE WHEN yr = lim.cur - 1 THEN revenue END), 0) AS DECIMAL(28,4)) AS revenue_prev,
          CAST(COALESCE(SUM(CASE WHEN yr = lim.cur THEN revenue END), 0) AS DECIMAL(28,4)) AS revenue_cur
-  FROM f, lim WHERE yr BETWEEN lim.cur - 1 AND lim.cur
+  FROM f, lim WHERE yr BETWEEN lim.cur - 1 AND lim.cur AND lim.cur - 1 >= lim.low
   GROUP BY {names}, lim.cur)
 SELECT {names}, prev_year, cur_year, revenue_prev, revenue_cur,
        {div('revenue_cur - revenue_prev', 'revenue_prev')} AS growth,
@@ -186,8 +191,8 @@ def _repeat_sql(min_orders: int) -> str:
 WITH pc AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey),
 r AS (SELECT r_name AS region, COUNT(*) AS buyers,
              SUM(CASE WHEN n >= {min_orders} THEN 1 ELSE 0 END) AS repeat_buyers
-      FROM pc JOIN customer ON c_custkey = o_custkey
-      JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+      FROM pc LEFT JOIN customer ON c_custkey = o_custkey
+      LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
       GROUP BY r_name)
 SELECT region, CAST({min_orders} AS BIGINT) AS min_orders, CAST(buyers AS BIGINT) AS buyers,
        CAST(repeat_buyers AS BIGINT) AS repeat_buyers,
@@ -204,7 +209,7 @@ WITH q AS (
   WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE {ODATE} > {LATEST} - 90)
   GROUP BY l_partkey),
 x AS (SELECT p_partkey, p_name, p_type AS category,
-             CAST(COALESCE(qty, 0) AS DECIMAL(28,2)) AS recent_qty
+             CAST(COALESCE(qty, 0) AS DECIMAL(28,4)) AS recent_qty
       FROM part LEFT JOIN q ON l_partkey = p_partkey),
 y AS (SELECT *, NTILE(4) OVER (ORDER BY recent_qty, p_partkey) AS quartile FROM x)
 SELECT p_partkey, p_name, category, recent_qty, quartile, quartile = 1 AS is_slow FROM y"""
@@ -249,14 +254,26 @@ SELECT o_orderkey, o_custkey, {ODATE} AS order_date,
 FROM orders
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"""
 
+SQL["purchase_gap_summary"] = f"""
+WITH g AS (SELECT o_custkey, date_diff('day', LAG({ODATE}) OVER w, {ODATE}) AS gap
+           FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+r AS (SELECT r_name AS region, gap FROM g LEFT JOIN customer ON c_custkey = o_custkey
+      LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
+      WHERE gap IS NOT NULL AND o_custkey IS NOT NULL),
+a AS (SELECT 'all' AS scope, NULL AS region, gap FROM r UNION ALL SELECT 'region', region, gap FROM r)
+SELECT scope, region, COUNT(*) AS n_gaps, CAST(SUM(gap) AS BIGINT) AS total_gap_days,
+       {div('SUM(gap)', 'COUNT(*)')} AS avg_gap_days, CAST(MEDIAN(gap) AS DOUBLE) AS median_gap_days
+FROM a GROUP BY scope, region"""
+
 CUSTOMER_MONEY = f"""
   SELECT o_custkey, COUNT(*) AS n_orders,
          CAST(COALESCE(SUM(revenue), 0) AS DECIMAL(28,4)) AS revenue,
          CAST(COALESCE(SUM(cost), 0) AS DECIMAL(28,4)) AS cost,
+         CAST(COALESCE(SUM(uncosted), 0) AS BIGINT) AS uncosted_lines,
          MIN({ODATE}) AS first_order_date
   FROM orders LEFT JOIN (
-    SELECT l_orderkey, SUM({REV}) AS revenue, SUM({LINE_COST}) AS cost
-    FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey) po
+    SELECT l_orderkey, SUM({REV}) AS revenue, SUM({LINE_COST}) AS cost, {UNCOSTED} AS uncosted
+    FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey) po
   ON l_orderkey = o_orderkey
   GROUP BY o_custkey"""
 
@@ -264,7 +281,7 @@ SQL["customer_ltv"] = f"""
 WITH cu AS ({CUSTOMER_MONEY}),
 x AS (SELECT *, CAST(revenue - cost AS DECIMAL(28,4)) AS profit,
              date_diff('day', first_order_date, {LATEST}) AS tenure_days FROM cu)
-SELECT o_custkey, n_orders, revenue, cost, profit,
+SELECT o_custkey, n_orders, revenue, cost, uncosted_lines, profit,
        {div('revenue', 'n_orders')} AS aov, {div('profit', 'revenue')} AS margin,
        first_order_date, tenure_days,
        CASE WHEN tenure_days >= 365 THEN {div('profit', 'tenure_days')}
@@ -291,8 +308,8 @@ SQL["pareto_products"] = _pareto_sql(f"""
 SQL["pareto_customers"] = _pareto_sql(f"""
   SELECT c_custkey, CAST(COALESCE(cp.profit, 0) AS DECIMAL(28,4)) AS profit
   FROM customer LEFT JOIN (
-    SELECT o_custkey, SUM({REV}) - SUM({LINE_COST}) AS profit
-    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
+    SELECT o_custkey, SUM({REV}) - COALESCE(SUM({LINE_COST}), 0) AS profit
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey
     GROUP BY o_custkey) cp ON cp.o_custkey = c_custkey""", "c_custkey")
 
 SQL["moving_avg_month"] = f"""
@@ -314,18 +331,20 @@ FROM x WINDOW f AS (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW
 
 COSTED = f"""
   SELECT {OMONTH} AS month, p_type AS category, {QTY} AS qty, {REV} AS revenue,
-         {LINE_COST} AS cost
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"""
+         {LINE_COST} AS cost, p_partkey
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey"""
 
 SQL["margin_trend"] = f"""
-WITH m AS (SELECT month, CAST(SUM(qty) AS DECIMAL(28,2)) AS qty,
-                  CAST(SUM(revenue) AS DECIMAL(28,4)) AS revenue,
-                  CAST(SUM(cost) AS DECIMAL(28,4)) AS cost
+WITH m AS (SELECT month, SUM(qty) AS qty, SUM(revenue) AS revenue, SUM(cost) AS cost, {UNCOSTED} AS uncosted
            FROM ({COSTED}) c GROUP BY month),
-x AS (SELECT s.month, qty, revenue, cost, CAST(revenue - cost AS DECIMAL(28,4)) AS profit,
-             {div('CAST(revenue - cost AS DECIMAL(28,4))', 'revenue')} AS margin
-      FROM {spine('month', 'MONTH')} s LEFT JOIN m ON m.month = s.month)
-SELECT month, qty, revenue, cost, profit, margin,
+z AS (SELECT s.month, CAST(COALESCE(qty, 0) AS DECIMAL(28,4)) AS qty,
+             CAST(COALESCE(revenue, 0) AS DECIMAL(28,4)) AS revenue,
+             CAST(COALESCE(cost, 0) AS DECIMAL(28,4)) AS cost,
+             CAST(COALESCE(uncosted, 0) AS BIGINT) AS uncosted_lines
+      FROM {spine('month', 'MONTH')} s LEFT JOIN m ON m.month = s.month),
+x AS (SELECT *, CAST(revenue - cost AS DECIMAL(28,4)) AS profit,
+             {div('CAST(revenue - cost AS DECIMAL(28,4))', 'revenue')} AS margin FROM z)
+SELECT month, qty, revenue, cost, uncosted_lines, profit, margin,
        margin - LAG(margin) OVER (ORDER BY month) AS margin_change,
        last_day(month) <= {LATEST} AS is_complete
 FROM x"""
@@ -335,12 +354,12 @@ WITH m AS (SELECT category, month, SUM(qty) AS qty, SUM(revenue) AS revenue, SUM
            FROM ({COSTED}) c GROUP BY category, month)
 SELECT category, COUNT(*) AS n_months,
        ROUND(CORR(CAST(qty AS DOUBLE), {div('revenue - cost', 'revenue')}), 6) AS corr_qty_margin
-FROM m GROUP BY category"""
+FROM m WHERE category IS NOT NULL GROUP BY category"""
 
 SQL["contribution_margin"] = f"""
 WITH pt AS (
   SELECT p_partkey, p_name, p_type AS category,
-         CAST(COALESCE(SUM({QTY}), 0) AS DECIMAL(28,2)) AS qty,
+         CAST(COALESCE(SUM({QTY}), 0) AS DECIMAL(28,4)) AS qty,
          CAST(COALESCE(SUM({REV}), 0) AS DECIMAL(28,4)) AS revenue,
          CAST(COALESCE(SUM({LINE_COST}), 0) AS DECIMAL(28,4)) AS variable_cost
   FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey, p_name, p_type)
@@ -353,12 +372,13 @@ FROM pt"""
 SQL["kpi_summary"] = f"""
 WITH lc AS (
   SELECT CAST(SUM({REV}) AS DECIMAL(28,4)) AS revenue,
-         CAST(SUM({LINE_COST}) AS DECIMAL(28,4)) AS cost, COUNT(*) AS n_lines,
+         CAST(COALESCE(SUM({LINE_COST}), 0) AS DECIMAL(28,4)) AS cost, COUNT(*) AS n_lines,
+         {UNCOSTED} AS uncosted_lines,
          SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned_lines
-  FROM lineitem JOIN part ON p_partkey = l_partkey),
+  FROM lineitem LEFT JOIN part ON p_partkey = l_partkey),
 oc AS (SELECT COUNT(*) AS n_orders, COUNT(DISTINCT o_custkey) AS n_buyers FROM orders)
 SELECT revenue, cost, CAST(revenue - cost AS DECIMAL(28,4)) AS profit,
        {div('CAST(revenue - cost AS DECIMAL(28,4))', 'revenue')} AS margin,
-       n_orders, n_buyers, {div('revenue', 'n_orders')} AS aov, n_lines,
+       n_orders, n_buyers, {div('revenue', 'n_orders')} AS aov, n_lines, uncosted_lines,
        {div('returned_lines', 'n_lines')} AS return_rate
 FROM lc, oc"""

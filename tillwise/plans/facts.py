@@ -14,39 +14,24 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.dates import as_date
 from tillwise.functions.measures import (
-    AMOUNT, DEFAULT_COST_RATIO, MONEY, line_cost, line_qty, net_revenue, returned, unit_cost,
+    AMOUNT, DEFAULT_COST_RATIO, FACTOR_UNITS, MONEY, UNITS, exact, line_cost, line_qty, net_revenue,
+    returned, unit_cost,
 )
-from tillwise.plans.lookups import broadcast_row_limit, rows_at_most
 from tillwise.sources.tables import Tables
 
 
 def attach(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           measures: Sequence[str], carry: Sequence[str] = (),
-           base: DataFrame | None = None) -> DataFrame:
-    """Join dimension ``dim`` to an additive ``fact`` on ``fact_key = dim_key``.
-
-    Returns ``carry`` + ``measures`` + the dimension's columns, at the fact's grain or coarser;
-    callers finish with a ``groupBy(...).agg(sum(...))`` over the measures, so every plan below
-    gives the same totals:
-
-    * dimension proven small (``base``, default ``dim``, within the broadcast row limit):
-      broadcast hash join per fact row, and the fact is never shuffled for it;
-    * otherwise, with nothing to ``carry``, the fact is first summed to ``fact_key``.  Map-side
-      partial aggregation shrinks the large exchange to about one row per key per task (a hot
-      key collapses before it is shuffled), and the aggregate's partitioning on the key is the
-      one the sort-merge join needs, so only the dimension side is exchanged for the join;
-    * otherwise (carried keys such as a category) the fact is sort-merge joined as it is:
-      grouping by key and category hardly reduces line data, and its partitioning on both
-      would force a second exchange before the join.  AQE splits a hot key's partition.
-    """
-    base = dim if base is None else base
-    cond = F.col(fact_key) == F.col(dim_key)
-    fact = fact.select(fact_key, *carry, *measures)
-    if rows_at_most(base, broadcast_row_limit(dim)):
-        return fact.join(F.broadcast(dim), cond).drop(dim_key)
-    if not carry:
-        fact = fact.groupBy(fact_key).agg(*[F.sum(m).alias(m) for m in measures])
-    return fact.join(dim, cond).drop(dim_key)
+           measures: Sequence[str], carry: Sequence[str] = (), how: str = "left") -> DataFrame:
+    """Join dimension ``dim`` to an additive ``fact`` on ``fact_key = dim_key``, one plan at every
+    size: the fact is first summed to ``fact_key`` and ``carry``, then joined.
+
+    Map-side partial aggregation shrinks the exchange to about one row per key per task, so a hot
+    key collapses before it is shuffled; whether the dimension is broadcast is left to statistics
+    and AQE.  Returns ``carry`` + ``measures`` + the dimension's columns for callers that finish
+    with a ``groupBy(...).agg(sum(...))``; with ``how="left"`` facts without a match keep null
+    dimension columns."""
+    summed = fact.groupBy(fact_key, *carry).agg(*[F.sum(m).alias(m) for m in measures])
+    return summed.join(dim, F.col(fact_key) == F.col(dim_key), how).drop(dim_key)
 
 
 def order_dates(t: Tables) -> DataFrame:
@@ -71,9 +56,16 @@ def line_measures(t: Tables) -> DataFrame:
 def dated_lines(t: Tables, lines: DataFrame, measures: Sequence[str],
                 carry: Sequence[str] = (), orders: DataFrame | None = None) -> DataFrame:
     """Line measures with their order's customer and sale date (``orders`` may be a filtered
-    :func:`order_dates`; lines of other orders drop out)."""
-    return attach(lines, order_dates(t) if orders is None else orders, "l_orderkey",
-                  "o_orderkey", measures, carry, base=t.orders)
+    :func:`order_dates`; lines of other orders drop out).
+
+    Without ``carry`` lines are summed per order first.  With it (a product or supplier key) they
+    are joined as they are, since few lines of an order share one; that join needs no exchange
+    when both tables are bucketed by order key, and callers reduce its result before any other."""
+    orders = order_dates(t) if orders is None else orders
+    if not carry:
+        return attach(lines, orders, "l_orderkey", "o_orderkey", measures, how="inner")
+    lines = lines.select("l_orderkey", *carry, *measures)
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).drop("o_orderkey")
 
 
 def product_costs(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
@@ -82,23 +74,30 @@ def product_costs(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFr
                          unit_cost(cost_ratio=cost_ratio).alias("unit_cost"))
 
 
-def category_lines(t: Tables) -> DataFrame:
-    """Lines with their product category.  A plain join: the order key travels with each line,
-    so there is nothing to sum first; the planner broadcasts the product side when its
-    statistics prove it small and otherwise sort-merge joins it."""
-    lines = line_measures(t)
-    products = t.part.select("p_partkey", F.col("p_type").alias("category"))
-    return lines.join(products, lines.l_partkey == products.p_partkey).drop("p_partkey")
-
+def costed(totals: DataFrame, t: Tables, keys: Sequence[str], measures: Sequence[str],
+           cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
+    """Totals per ``keys`` (category among them if named) of ``totals``, a frame already summed per
+    product (``l_partkey``) and the other keys: measures, ``cost`` and ``uncosted_lines``.
 
-def costed_lines(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
-    """Lines with category and variable cost (units times the product's unit cost, exact: no
-    rounding per line, so summed cost equals summed units times unit cost)."""
+    Products unknown to the product table stay: their category is null and their lines, whose
+    cost cannot be known, are counted in ``uncosted_lines``."""
     products = product_costs(t, cost_ratio).select("p_partkey", "category", "unit_cost")
-    lines = line_measures(t)
-    return (lines.join(products, lines.l_partkey == products.p_partkey)
-            .withColumn("cost", line_cost())
-            .drop("p_partkey", "unit_cost"))
+    joined = totals.join(products, totals.l_partkey == products.p_partkey, "left")
+    return joined.groupBy(*keys).agg(
+        *[F.sum(m).alias(m) for m in measures],
+        F.coalesce(F.sum(line_cost()), F.lit(0)).cast(MONEY).alias("cost"),
+        F.sum(F.when(F.col("unit_cost").isNull(), F.col("n_lines")).otherwise(0)).cast("bigint")
+         .alias("uncosted_lines"))
+
+
+def per_product(lines: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """``lines`` summed per product and ``keys``: the reduction before the product join, so a hot
+    product is one row per key and task when it is shuffled."""
+    return lines.groupBy("l_partkey", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def product_categories(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", F.col("p_type").alias("category"))
 
 
 def product_totals(t: Tables, orders: DataFrame | None = None) -> DataFrame:
@@ -109,7 +108,7 @@ def product_totals(t: Tables, orders: DataFrame | None = None) -> DataFrame:
         lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey")),
                            "l_orderkey", "left_semi")
     return lines.groupBy("l_partkey").agg(
-        F.sum("qty").cast("decimal(28,2)").alias("qty"),
+        F.sum("qty").cast(UNITS).alias("qty"),
         F.sum("revenue").cast(MONEY).alias("revenue"),
         F.sum("n_lines").alias("n_lines"),
     )
@@ -123,9 +122,9 @@ def product_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataF
     totals = product_totals(t)
     products = product_costs(t, cost_ratio)
     joined = products.join(totals, products.p_partkey == totals.l_partkey, "left")
-    qty = F.coalesce(F.col("qty"), F.lit(0).cast("decimal(28,2)"))
+    qty = F.coalesce(F.col("qty"), F.lit(0).cast(UNITS))
     revenue = F.coalesce(F.col("revenue"), F.lit(0).cast(MONEY))
-    cost = (qty * F.col("unit_cost")).cast(MONEY)   # total units: not narrowed to a line's type
+    cost = F.coalesce(exact(qty, FACTOR_UNITS) * F.col("unit_cost"), F.lit(0)).cast(MONEY)
     return joined.select(
         "p_partkey", "p_name", "category",
         qty.alias("qty"), revenue.alias("revenue"), cost.alias("cost"),
@@ -134,20 +133,25 @@ def product_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataF
     )
 
 
-def customer_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO) -> DataFrame:
-    """Per customer with orders: number of orders (all rows of ``orders``, with or without
-    lines), revenue, cost and first order date.
-
-    Orders without lines must still count, so the grain is the order: costed lines are
-    totalled per order (map-side first), orders are left-joined to those totals (the totals
-    are already partitioned by order key), and one aggregate per customer gives counts, dates
-    and money in a single pass over ``orders``."""
-    lines = costed_lines(t, cost_ratio)
-    money = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost"))
-    every_order = order_dates(t).join(money, "o_orderkey", "left")
-    return every_order.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.coalesce(F.sum("revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
-        F.coalesce(F.sum("cost"), F.lit(0)).cast(MONEY).alias("cost"),
-        F.min("order_date").alias("first_order_date"))
+def customer_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO,
+                    dates: bool = True) -> DataFrame:
+    """Per customer with orders: revenue, cost, lines without a known cost and, with ``dates``, the
+    number of orders (all rows of ``orders``, with or without lines) and the first order date.
+
+    Lines meet their orders, are reduced to (product, customer) and only then meet the product
+    table; order counts and dates come from ``orders`` alone.  Orders without a customer are one
+    group with a null key."""
+    customers = t.orders.select("o_orderkey", "o_custkey")
+    lines = dated_lines(t, line_measures(t), ["qty", "revenue", "n_lines"], carry=("l_partkey",),
+                        orders=customers)
+    totals = per_product(lines, ["o_custkey"], ["qty", "revenue", "n_lines"])
+    money = costed(totals, t, ["o_custkey"], ["revenue"], cost_ratio)
+    if not dates:
+        return money.select("o_custkey", F.col("revenue").cast(MONEY).alias("revenue"), "cost", "uncosted_lines")
+    counts = order_dates(t).groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.min("order_date").alias("first_order_date"))
+    money = money.withColumnRenamed("o_custkey", "m_custkey")
+    return counts.join(money, counts.o_custkey.eqNullSafe(money.m_custkey), "left").select(
+        "o_custkey", "n_orders", F.coalesce(F.col("revenue"), F.lit(0)).cast(MONEY).alias("revenue"),
+        F.coalesce(F.col("cost"), F.lit(0)).cast(MONEY).alias("cost"),
+        F.coalesce(F.col("uncosted_lines"), F.lit(0)).cast("bigint").alias("uncosted_lines"), "first_order_date")

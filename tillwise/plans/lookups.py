@@ -1,4 +1,4 @@
-"""Size proofs behind every explicit broadcast, and the small dimension lookups."""
+"""Small dimension lookups.  Nothing here is hinted: size statistics and AQE choose the join."""
 
 from __future__ import annotations
 
@@ -7,46 +7,16 @@ from pyspark.sql import functions as F
 
 from tillwise.sources.tables import Tables
 
-# A dimension proven to hold at most this many rows may be broadcast.  Override per session
-# with ``spark.tillwise.maxBroadcastRows``.  Every executor receives its own copy, so the
-# cluster-wide cost grows with the executor count: 100,000 rows of a few keys and a date are a
-# few megabytes per copy, in line with Spark's own 10 MB statistics threshold.
-MAX_BROADCAST_ROWS = 100_000
-
-_proofs: dict[tuple[int, int], bool] = {}
-
-
-def broadcast_row_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.tillwise.maxBroadcastRows",
-                                        str(MAX_BROADCAST_ROWS)))
-
-
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Prove ``df`` has at most ``max_rows`` rows.
-
-    Skips ``max_rows`` rows of an empty projection and asks for one more.  The limit is
-    collected incrementally (one partition first, more only if needed), so on a table of any
-    size it reads about ``max_rows`` rows of no columns; only that one row, if any, reaches the
-    driver.  Remembered per plan and bound."""
-    key = (df.semanticHash(), max_rows)
-    if key not in _proofs:
-        _proofs[key] = not df.select(F.lit(1)).offset(max_rows).take(1)
-    return _proofs[key]
-
-
-def bounded_broadcast(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if ``base`` (default ``df``; the unprojected table ``df`` is
-    drawn from) is proven within the row limit, else unchanged, for a sort-merge join."""
-    base = df if base is None else base
-    return F.broadcast(df) if rows_at_most(base, broadcast_row_limit(df)) else df
-
 
 def nation_regions(t: Tables) -> DataFrame:
-    """``n_nationkey -> region`` (region name), broadcast behind the row bound."""
-    lookup = (t.nation.join(t.region, t.nation.n_regionkey == t.region.r_regionkey)
-              .select("n_nationkey", F.col("r_name").alias("region")))
-    return bounded_broadcast(lookup, t.nation)
+    """``n_nationkey -> region`` (region name)."""
+    return (t.nation.join(t.region, t.nation.n_regionkey == t.region.r_regionkey)
+            .select("n_nationkey", F.col("r_name").alias("region")))
 
 
-def customer_nations(t: Tables) -> DataFrame:
-    return t.customer.select("c_custkey", "c_nationkey")
+def customer_regions(t: Tables) -> DataFrame:
+    """``c_custkey -> region``; the region is null where the nation is unknown."""
+    regions = nation_regions(t)
+    customers = t.customer.select("c_custkey", "c_nationkey")
+    return (customers.join(regions, customers.c_nationkey == regions.n_nationkey, "left")
+            .select("c_custkey", "region"))

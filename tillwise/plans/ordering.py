@@ -5,7 +5,9 @@ rows are range-partitioned on the full sort key instead (the sampled bounds incl
 tie-breaking key, so even a value shared by a third of all rows is split across slices), each
 slice is numbered and totalled locally, and per-slice offsets (one row per slice, a bounded
 table) are broadcast back.  The slice assignment comes from sampling, so it is frozen with a
-reliable checkpoint before the two branches read it.
+reliable checkpoint before the two branches read it; Spark deletes those files when the result is
+no longer referenced if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, as
+:mod:`tillwise.session` does.
 """
 
 from __future__ import annotations
@@ -15,49 +17,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.plans.lookups import broadcast_row_limit, rows_at_most
 from tillwise.session import ensure_checkpoint_dir
 
 
-def global_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str] = (),
-                 slices: int | None = None, bound: DataFrame | None = None) -> DataFrame:
-    """Add ``position`` (1-based, in ``order``, which must be total), ``n_rows`` and, for each
-    column ``c`` in ``sums``, ``running_c`` (inclusive) and ``total_c``.
-
-    ``bound`` is a table with at least as many rows as ``df`` (e.g. the dimension ``df`` was
-    left-joined from).  When it is proven within the broadcast row limit, ``df`` is small enough
-    for one task and a plain window is used; otherwise the sliced plan below."""
-    if bound is not None and rows_at_most(bound, broadcast_row_limit(df)):
-        return _single_task_order(df, order, sums)
-    return _sliced_order(df, order, sums, slices)
-
-
-def _single_task_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str]) -> DataFrame:
-    ordered = Window.orderBy(*order)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cols = [F.row_number().over(ordered).cast("bigint").alias("position"),
-            F.count(F.lit(1)).over(every).cast("bigint").alias("n_rows")]
-    for c in sums:
-        cols.append(F.sum(c).over(upto).alias(f"running_{c}"))
-        cols.append(F.sum(c).over(every).alias(f"total_{c}"))
-    return df.select("*", *cols)
+def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int | None = None) -> DataFrame:
+    """``df`` range-partitioned on the full sort key into contiguous slices, numbered ``_slice`` in
+    sort order, and checkpointed so the sampled assignment is fixed for every later reader.
 
+    Without ``slices`` AQE merges neighbouring small slices up to the advisory partition size, so the
+    number of checkpoint files follows the data and not the shuffle partition setting."""
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
 
-def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int | None = None) -> DataFrame:
-    """``df`` range-partitioned on the full sort key into ``slices`` (default: the shuffle
-    partition count) contiguous slices, numbered ``_slice`` in sort order, and checkpointed so
-    the sampled assignment is fixed for every later reader."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    slices = slices or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return (df.repartitionByRange(slices, *order)
-            .withColumn("_slice", F.spark_partition_id())
-            .checkpoint(eager=True))
-
-
-def _sliced_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str],
-                  slices: int | None) -> DataFrame:
+
+def global_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str] = (),
+                 slices: int | None = None, keep_slice: bool = False) -> DataFrame:
+    """Add ``position`` (1-based, in ``order``, which must be total), ``n_rows`` and, for each
+    column ``c`` in ``sums``, ``running_c`` (inclusive) and ``total_c``.  Runs the query behind
+    ``df`` when it is called (see :func:`ordered_slices`)."""
     ranged = ordered_slices(df, order, slices)
 
     within = Window.partitionBy("_slice").orderBy(*order)
@@ -83,7 +61,7 @@ def _sliced_order(df: DataFrame, order: Sequence[Column], sums: Sequence[str],
     out = out.withColumn("position", (F.col("_pos") + F.col("_pos_off")).cast("bigint"))
     for c in sums:
         out = out.withColumn(f"running_{c}", F.col(f"_run_{c}") + F.col(f"_off_{c}"))
-    drop = ["_slice", "_pos", "_pos_off"] + [f"_run_{c}" for c in sums] + [f"_off_{c}" for c in sums]
+    drop = ([] if keep_slice else ["_slice"]) + ["_pos", "_pos_off"] + [f"_run_{c}" for c in sums] + [f"_off_{c}" for c in sums]
     return out.drop(*drop)
 
 
@@ -99,20 +77,21 @@ def ntile_of(position: Column, n_rows: Column, tiles: int) -> Column:
 
 
 def rank_family(df: DataFrame, value: str, key: str, tiles: int = 4,
-                descending: bool = True, bound: DataFrame | None = None) -> DataFrame:
+                descending: bool = True) -> DataFrame:
     """``row_number``, ``rank``, ``dense_rank``, ``ntile``, ``percent_rank`` and ``cume_dist`` of
     ``value`` over the whole frame (ties broken by ``key`` where a position is needed).
 
-    Peers are found by aggregating on the value (one row per distinct value) and joining back;
-    dense rank is the position of the value in the ordered table of distinct values.  ``bound``
-    as in :func:`global_order` (it bounds the distinct values too)."""
+    Peers are found by aggregating on (slice, value), then on the value; dense rank is the position
+    of the value in the ordered table of distinct values.  Ranks come back to the rows by slice and
+    value, so a value held by a third of all rows stays spread over the slices it fills."""
     v = F.col(value).desc() if descending else F.col(value).asc()
-    ordered = global_order(df, [v, F.col(key).asc()], bound=bound)
-    peers = ordered.groupBy(value).agg(F.min("position").alias("rank"),
-                                       F.count(F.lit(1)).alias("_peers"))
-    dense = global_order(peers, [v], bound=bound).select(value, "rank", "_peers",
-                                                         F.col("position").alias("dense_rank"))
-    out = ordered.join(dense, value)
+    ordered = global_order(df, [v, F.col(key).asc()], keep_slice=True)
+    per_slice = ordered.groupBy("_slice", value).agg(F.min("position").alias("_first"),
+                                                     F.count(F.lit(1)).alias("_rows"))
+    peers = per_slice.groupBy(value).agg(F.min("_first").alias("rank"), F.sum("_rows").alias("_peers"))
+    dense = global_order(peers, [v]).select(value, "rank", "_peers", F.col("position").alias("dense_rank"))
+    ranks = per_slice.select("_slice", value).join(dense, value)
+    out = ordered.join(ranks, ["_slice", value])
     n = F.col("n_rows")
     return out.select(
         *[c for c in df.columns],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +22,8 @@ DEFAULT_CONF = {
     # larger is sort-merge joined (and may still become a broadcast at runtime through AQE).
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    # Checkpoint files go when the result that reads them is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -47,13 +50,13 @@ def cluster_conf(input_bytes: int, total_cores: int,
     Scan splits and post-shuffle partitions target ``partition_bytes`` each, small enough to
     sort and aggregate in executor memory without heavy spilling.  The shuffle partition count
     is an upper bound for AQE, which coalesces it down to what each exchange actually carries;
-    it is at least two waves of the cores and at most 100,000 (map-status bookkeeping grows
-    with it).  A partition more than four times the advisory size and over 1 GB counts as
+    it is at least two waves of the cores.  A partition more than four times the advisory size and over 1 GB counts as
     skewed and is split by AQE's skew join.
     """
     wanted = -(-input_bytes // partition_bytes)
-    shuffle_partitions = min(100_000, max(2 * total_cores, wanted))
+    shuffle_partitions = max(2 * total_cores, wanted)
     return {
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -82,7 +85,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     folder = tempfile.mkdtemp(prefix="tillwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)

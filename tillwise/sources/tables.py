@@ -95,8 +95,8 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, partition_column:
                     properties: dict[str, str] | None = None) -> DataFrame:
     """Read a database table as ``num_partitions`` parallel range scans on a numeric key.
 
-    The reference's data lives in a relational database; a partitioned JDBC read is how such a
-    table enters Spark without funnelling it through one connection.  Needs the database's JDBC
+    Sales data often live in a relational database; a partitioned JDBC read is how such a table
+    enters Spark without funnelling it through one connection.  Needs the database's JDBC
     driver on the classpath.
     """
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
