@@ -163,6 +163,7 @@ def test_x7_real_null_region_is_not_a_subtotal(spark):
 
 def test_x8_incomplete_last_year(spark):
     b = Builder().customer(1).part(1, ptype="PROMO").part(2, ptype="SMALL")
+    b.order(0, 1, "1998-01-05")                            # 1998 is there from its January on
     b.order(1, 1, "1998-03-01").line(1, 1, 1, 100.0).line(1, 2, 1, 100.0)
     b.order(2, 1, "1999-03-01").line(2, 1, 1, 150.0).line(2, 2, 1, 50.0)
     b.order(3, 1, "2000-02-01").line(3, 1, 1, 999.0)      # 2000 is incomplete: ignored
@@ -178,15 +179,189 @@ def test_x8_incomplete_last_year(spark):
 
 
 @pytest.mark.parametrize("name", ["pareto_products", "slow_movers", "pareto_customers"])
-def test_ties_match_oracle_on_sliced_path(spark, ties, name):
-    """Ties, zero and negative profits through the sliced global order (3 slices for 7 rows, so
-    tie groups straddle slice borders)."""
+def test_ties_match_oracle_on_many_slices(spark, ties, name):
+    """Ties, zero and negative profits with slices of a row or two (AQE must not merge them), so tie
+    groups straddle slice borders."""
     tables, con = ties
-    spark.conf.set("spark.tillwise.maxBroadcastRows", "0")
-    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    settings = {"spark.sql.shuffle.partitions": "3", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         res = compare(QUERIES[name](tables), con, entry.oracle_sql()[name])
     finally:
-        spark.conf.unset("spark.tillwise.maxBroadcastRows")
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        for k, v in before.items():
+            spark.conf.set(k, v)
     assert res.get("ok"), res
+
+
+UNIT_QUERIES = ["quantity_per_product", "stock_movement_monthly", "slow_movers", "contribution_margin",
+                "pareto_products", "kpi_summary", "margin_trend", "customer_ltv"]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_and_fractional_units_are_exact(spark, ansi):
+    b = Builder().customer(1).part(1).part(2, price=3.0)
+    b.order(1, 1, "2000-01-10").line(1, 1, 1_000_000, 100.0).line(1, 2, 2.125, 10.0)
+    folder, tables = b.write(spark)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        qty = rows_by(descriptive.quantity_per_product(tables), "p_partkey")
+        assert qty[1]["total_qty"] == 1_000_000 and qty[2]["total_qty"] == Decimal("2.1250")
+        con = duck_on(folder)
+        for name in UNIT_QUERIES:
+            res = compare(QUERIES[name](tables), con, entry.oracle_sql()[name])
+            assert res.get("ok"), (name, res)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_units_that_do_not_fit_fail(spark, ansi):
+    b = Builder().customer(1).part(1).order(1, 1, "2000-01-10").line(1, 1, 1e15, 100.0)
+    _, tables = b.write(spark)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="does not fit"):
+            descriptive.quantity_per_product(tables).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_orders_without_customer_keep_their_gaps(spark):
+    b = Builder().customer(1)
+    b.order(1, 1, "2000-01-01").order(2, 1, "2000-01-11").order(3, None, "2000-01-05").order(4, None, "2000-01-06")
+    folder, tables = b.write(spark)
+    con = duck_on(folder)
+    assert diagnostic.purchase_gaps(tables).count() == 4
+    for name in ("purchase_gaps", "purchase_gap_summary"):
+        res = compare(QUERIES[name](tables), con, entry.oracle_sql()[name])
+        assert res.get("ok"), (name, res)
+    every = [r for r in diagnostic.purchase_gap_summary(tables).collect() if r.scope == "all"]
+    assert [(r.n_gaps, r.avg_gap_days, r.median_gap_days) for r in every] == [(1, 10.0, 10.0)]
+
+
+def test_gap_median_of_even_counts_and_regions(spark):
+    b = Builder().customer(1, nation=0).customer(2, nation=5).customer(3, nation=99)
+    for i, day in enumerate(["01", "02", "05", "15", "16"]):
+        b.order(10 + i, 1, f"2000-01-{day}")
+    b.order(20, 2, "2000-02-01").order(21, 2, "2000-02-01").order(30, 3, "2000-02-01").order(31, 3, "2000-02-08")
+    folder, tables = b.write(spark)
+    res = compare(QUERIES["purchase_gap_summary"](tables), duck_on(folder), entry.oracle_sql()["purchase_gap_summary"])
+    assert res.get("ok"), res
+    got = {(r.scope, r.region): r.median_gap_days for r in diagnostic.purchase_gap_summary(tables).collect()}
+    assert got == {("all", None): 2.0, ("region", "AFRICA"): 2.0, ("region", "AMERICA"): 0.0, ("region", None): 7.0}
+
+
+GROWTH = ("category_growth", "region_growth", "category_region_growth", "supplier_region_growth")
+
+
+@pytest.mark.parametrize("dates, years", [
+    (["1999-12-01", "2000-03-01", "2000-12-31"], None),                 # one complete year only
+    (["1999-02-01", "2000-03-01", "2001-12-01"], (2000, 2001)),         # partial first year
+    (["1999-01-20", "1999-06-01", "2000-12-30"], (1999, 2000)),         # ends on 30 December
+    (["1998-01-01", "1999-05-01", "2000-11-30"], (1998, 1999)),         # last year without December
+])
+def test_growth_compares_complete_years_only(spark, dates, years):
+    b = Builder().customer(1).part(1)
+    for i, date in enumerate(dates):
+        b.order(i, 1, date).line(i, 1, 1, 100.0 + i)
+    folder, tables = b.write(spark)
+    con = duck_on(folder)
+    for name in GROWTH:
+        rows = QUERIES[name](tables).collect()
+        assert {(r.prev_year, r.cur_year) for r in rows} == ({years} if years else set()), name
+        res = compare(QUERIES[name](tables), con, entry.oracle_sql()[name])
+        assert res.get("ok"), (name, res)
+
+
+def test_orphan_and_null_products_stay_in_totals(spark):
+    b = Builder().customer(1, nation=0).part(1)
+    b.order(1, 1, "2000-01-10").line(1, 1, 1, 100.0).line(1, 77, 2, 100.0).line(1, None, 1, 50.0)
+    b.order(2, 9, "2001-01-10").line(2, 77, 1, 10.0)                    # customer 9 is unknown too
+    folder, tables = b.write(spark)
+    con = duck_on(folder)
+    for name in ("kpi_summary", "revenue_cube", "category_growth", "category_region_growth", "margin_trend",
+                 "margin_volume_corr", "customer_ltv", "pareto_customers", "revenue_by_period", "region_growth"):
+        res = compare(QUERIES[name](tables), con, entry.oracle_sql()[name])
+        assert res.get("ok"), (name, res)
+    kpi = strategic.kpi_summary(tables).first()
+    years = [r.revenue for r in descriptive.revenue_by_period(tables).collect() if r.grain == "year"]
+    grand = [r.revenue for r in descriptive.revenue_cube(tables).collect() if r.g_region and r.g_category]
+    customers = [r.revenue for r in strategic.customer_ltv(tables).collect()]
+    assert kpi.revenue == sum(years) == grand[0] == sum(customers) == Decimal("260.0000")
+    assert (kpi.n_lines, kpi.uncosted_lines, kpi.cost) == (4, 3, Decimal("60.0000"))
+
+
+def test_gap_month_agrees_between_margin_and_growth(shop):
+    tables, _ = shop
+    margin = rows_by(strategic.margin_trend(tables), "month")[dt.date(2000, 3, 1)]
+    growth = rows_by(diagnostic.revenue_growth(tables), "month")[dt.date(2000, 3, 1)]
+    assert margin["revenue"] == growth["revenue"] == 0 and margin["qty"] == 0 and margin["margin"] is None
+
+
+def test_hot_product(spark):
+    """A product with a third of the lines gives the oracle's results on the reduced joins."""
+    b = Builder().customer(1, nation=0).customer(2, nation=7)
+    for p in range(1, 9):
+        b.part(p, price=10.0 * p, ptype="PROMO" if p % 2 else "SMALL")
+    for o in range(60):
+        b.order(o, 1 + o % 2, f"{1999 + o % 2}-{1 + o % 12:02d}-05").line(o, 1, 1 + o % 3, 20.0).line(
+            o, 2 + o % 7, 1, 30.0).line(o, 2 + (o + 3) % 7, 2, 15.0)
+    folder, tables = b.write(spark)
+    con = duck_on(folder)
+    for name in ("margin_trend", "margin_volume_corr", "category_growth", "category_region_growth",
+                 "revenue_cube", "customer_ltv", "pareto_customers", "pareto_products"):
+        res = compare(QUERIES[name](tables), con, entry.oracle_sql()[name])
+        assert res.get("ok"), (name, res)
+
+
+def test_a_wide_tie_is_whole_and_spread(spark):
+    """200,000 customers with one order each, one with two: all ties come back, and the rows of the
+    result lie in several partitions."""
+    from pyspark.sql import functions as F
+    counts = spark.range(200_000).select(F.col("id").alias("key"), F.lit(1).cast("bigint").alias("n"))
+    counts = counts.union(spark.createDataFrame([(-1, 2)], "key bigint, n bigint")).repartition(8)
+    top = descriptive.top_rank(counts, "n", 10, "r")
+    by_rank = {r["r"]: r["count"] for r in top.groupBy("r").count().collect()}
+    assert by_rank == {1: 1, 2: 200_000}
+    sizes = [r["count"] for r in top.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 100_000
+
+
+def test_sliced_order_files_follow_the_data(spark):
+    """2,000 rows at 500 shuffle partitions: a few checkpoint files, positions in order."""
+    from pyspark.sql import functions as F
+    from tillwise.plans.ordering import global_order, ordered_slices
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        df = spark.range(2000).select("id", (F.col("id") * 7919 % 97).alias("v"))
+        order = [F.col("v").desc(), F.col("id").asc()]
+        assert ordered_slices(df, order).rdd.getNumPartitions() <= 8
+        rows = global_order(df, order).collect()
+        assert [r.position for r in sorted(rows, key=lambda r: (-r.v, r.id))] == list(range(1, 2001))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_rank_family_with_a_hot_value(spark):
+    """A value held by most rows, over several slices, against Spark's own window functions."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from tillwise.plans.ordering import rank_family
+    df = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, F.col("id") % 11).otherwise(5).alias("v"))
+    settings = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        ours = {tuple(r) for r in rank_family(df, "v", "k").select("k", "v", "row_number", "rank", "dense_rank", "ntile").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    by, place = Window.orderBy(F.desc("v")), Window.orderBy(F.desc("v"), "k")
+    plain = df.select("k", "v", F.row_number().over(place), F.rank().over(by), F.dense_rank().over(by), F.ntile(4).over(place))
+    assert ours == {tuple(r) for r in plain.collect()}

@@ -37,16 +37,23 @@ def test_no_nested_loop_or_cartesian_join(sf001_tables, name):
     assert "CartesianProduct" not in text
 
 
+@pytest.fixture
+def sort_merge(spark):
+    """Spark's broadcast thresholds off: every join of tables is a sort-merge join."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("fn", [strategic.pareto_products, strategic.pareto_customers,
                                 diagnostic.slow_movers, descriptive.customer_rank_family])
-def test_entity_windows_are_sliced(spark, sf001_tables, fn):
-    """Beyond the proven-small bound, windows over one row per product or customer partition
-    by slice, never by nothing."""
-    spark.conf.set("spark.tillwise.maxBroadcastRows", "0")
-    try:
-        text = plan(fn(sf001_tables))
-    finally:
-        spark.conf.unset("spark.tillwise.maxBroadcastRows")
+def test_entity_windows_are_sliced(sf001_tables, fn):
+    """Windows over one row per product or customer partition by slice, never by nothing."""
+    text = plan(fn(sf001_tables))
     assert "Window" in text and "_slice" in text
     for line in text.splitlines():
         if line.strip().startswith("Arguments:") and "windowspecdefinition(" in line:
@@ -55,25 +62,37 @@ def test_entity_windows_are_sliced(spark, sf001_tables, fn):
                 assert "_cnt" in line or "_tot_" in line, line
 
 
-def test_top_k_uses_group_limit(sf001_tables):
-    text = plan(descriptive.top_products(sf001_tables))
-    assert "WindowGroupLimit" in text
+@pytest.mark.parametrize("fn", [descriptive.top_products, descriptive.top_customers_by_orders])
+def test_top_k_windows_run_over_distinct_values(sf001_tables, fn):
+    """No window over entities: the only one numbers the at most k distinct values at the top, and
+    the k-th value comes from a limited sort."""
+    text = plan(fn(sf001_tables))
+    assert "TakeOrderedAndProject" in text
+    windows = [line for line in text.splitlines() if "windowspecdefinition(" in line]
+    assert windows and all("_rows" in line for line in windows)
 
 
-def test_large_dimension_path_pre_aggregates(spark, sf001_tables):
-    spark.conf.set("spark.tillwise.maxBroadcastRows", "0")
-    try:
-        text = plan(descriptive.revenue_by_period(sf001_tables))
-    finally:
-        spark.conf.unset("spark.tillwise.maxBroadcastRows")
-    assert "SortMergeJoin" in text or "BroadcastHashJoin" in text   # AQE may still convert
+def test_lines_are_summed_per_order_before_the_join(sf001_tables, sort_merge):
+    text = plan(descriptive.revenue_by_period(sf001_tables))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
     assert "partial_sum" in text and "Keys [1]: [l_orderkey" in text
 
 
-def test_small_dimension_path_broadcasts(sf001_tables):
-    text = plan(descriptive.revenue_by_period(sf001_tables))
-    assert "BroadcastHashJoin" in text
-    assert "Keys [1]: [l_orderkey" not in text
+@pytest.mark.parametrize("name", ["margin_trend", "margin_volume_corr", "category_growth",
+                                  "category_region_growth", "revenue_cube", "customer_ltv"])
+def test_products_meet_reduced_lines(sf001_tables, sort_merge, name):
+    """The product table is never joined to raw lines: the join's other side is an aggregate per
+    product."""
+    import re
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        QUERIES[name](sf001_tables).explain()
+    lines = buf.getvalue().splitlines()
+    joins = [i for i, x in enumerate(lines) if re.search(r"SortMergeJoin \[l_partkey", x)]
+    assert joins
+    for i in joins:
+        below = [x for x in lines[i + 1:] if not re.search(r"Sort |Project|Exchange|InputAdapter|WholeStage", x)]
+        assert "HashAggregate(keys=[l_partkey" in below[0], below[0]
 
 
 @pytest.mark.parametrize("fn, keys", [

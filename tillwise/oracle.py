@@ -353,7 +353,8 @@ SQL["margin_volume_corr"] = f"""
 WITH m AS (SELECT category, month, SUM(qty) AS qty, SUM(revenue) AS revenue, SUM(cost) AS cost
            FROM ({COSTED}) c GROUP BY category, month)
 SELECT category, COUNT(*) AS n_months,
-       ROUND(CORR(CAST(qty AS DOUBLE), {div('revenue - cost', 'revenue')}), 6) AS corr_qty_margin
+       ROUND(NULLIF(CORR(CAST(qty AS DOUBLE), {div('revenue - cost', 'revenue')}),
+             CAST('nan' AS DOUBLE)), 6) AS corr_qty_margin
 FROM m WHERE category IS NOT NULL GROUP BY category"""
 
 SQL["contribution_margin"] = f"""
