@@ -71,14 +71,32 @@ def _draw(term: Column, subset: int) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{subset}:"), term)), 1, 8), 16, 10).cast("long")
 
 
-def fingerprint(terms: Column, whole: Column) -> Column:
-    """From the sorted lexicon terms (structs of term, subsets) of a text and the hash of all of it."""
-    def part(i: int) -> Column:
-        kept = F.filter(terms, lambda t: t["subsets"].bitwiseAND(F.lit(1 << i).cast("long")) != 0)
-        return F.when(F.size(kept) == 0, F.lit("-")).otherwise(
-            F.substring(F.md5(F.array_join(F.transform(kept, lambda t: t["term"]), " ")), 1, 8))
-
-    parts = F.array_join(F.array(*[part(i) for i in range(len(SUBSETS))]), ".")
+# Subsets are looked up in layers: each holds the terms that some subset of it or a sparser one keeps.
+LAYERS = [(0, 8), (8, 16), (16, len(SUBSETS))]
+
+
+def _bits(low: int, high: int) -> Column:
+    return F.lit((1 << high) - (1 << low)).cast("long")
+
+
+def layered(df: DataFrame, terms: str) -> DataFrame:
+    """Add the layers of the column ``terms`` as columns ``terms_1``, ``terms_2``."""
+    for n, (low, _) in enumerate(LAYERS[1:], 1):
+        above = terms if n == 1 else f"{terms}_{n - 1}"
+        df = df.withColumn(f"{terms}_{n}", F.filter(above, lambda t: t["subsets"].bitwiseAND(_bits(low, len(SUBSETS))) != 0))
+    return df
+
+
+def fingerprint(terms: str, whole: Column) -> Column:
+    """From the sorted lexicon terms (structs of term, subsets) of a text, with their layers, and the
+    hash of all of it."""
+    def joined(layer: str, i: int) -> Column:
+        kept = F.filter(layer, lambda t: t["subsets"].bitwiseAND(F.lit(1 << i).cast("long")) != 0)
+        return F.array_join(F.transform(kept, lambda t: t["term"]), " ")
+
+    names = [terms] + [f"{terms}_{n}" for n in range(1, len(LAYERS))]
+    subsets = F.array(*[joined(name, i) for name, (low, high) in zip(names, LAYERS) for i in range(low, high)])
+    parts = F.array_join(F.transform(subsets, lambda x: F.when(x == "", "-").otherwise(F.substring(F.md5(x), 1, 8))), ".")
     alone = F.concat(F.substring(whole, 1, 8), F.lit(".-" * (len(SUBSETS) - 1)))
     return F.when(F.size(terms) == 0, alone).otherwise(parts)
 
@@ -120,10 +138,10 @@ def fingerprint_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
     found = (met.groupBy("range", "place").agg(F.max("about").alias("a"), F.array_sort(F.collect_list(
         F.when(F.col("subsets").isNotNull(), F.struct("term", "subsets", "of")))).alias("terms")))
     of = lambda n: F.filter("terms", lambda t: t["of"] == n)
-    done = (found.select("a", of(0).alias("t0"), of(1).alias("t1"))
-            .select("a.doc_id", "a.tie", "a.n_chars", "a.edited_sha256",
-                    fingerprint(F.col("t0"), F.col("a.whole")).alias("fingerprint"),
-                    fingerprint(F.col("t1"), F.col("a.edit_whole")).alias("edited_fingerprint")))
+    found = layered(layered(found.select("a", of(0).alias("t0"), of(1).alias("t1")), "t0"), "t1")
+    done = found.select("a.doc_id", "a.tie", "a.n_chars", "a.edited_sha256",
+                        fingerprint("t0", F.col("a.whole")).alias("fingerprint"),
+                        fingerprint("t1", F.col("a.edit_whole")).alias("edited_fingerprint"))
     done = materialize(done, "imatch")
     return with_next(done, "fingerprint", bounds).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
