@@ -41,7 +41,7 @@ from tillwise.llm.common import broadcast_if_small, components, materialize, tab
 from tillwise.llm.shingles import set_hash, shingle_set
 
 WORDS = 5
-BLOCK = 4_000_000  # shingles that one task indexes at most
+BLOCK = 1_000_000  # shingles that one task indexes at most
 SEEN = 200_000  # sets that a task remembers, so that it sends the postings of copies once
 
 
