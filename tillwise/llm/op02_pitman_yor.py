@@ -273,20 +273,22 @@ class Model:
     rare_customers: np.ndarray
     rare_tables: np.ndarray
 
+    def samples(self) -> list[tuple[Level, Level]]:
+        """Each sample: the state its dishes were seated under, and the state after that seating."""
+        return list(zip(self.levels, self.levels[1:]))
+
     def unseen(self, pairs: np.ndarray) -> np.ndarray:
         """Averaged probability of a pair that was never seen."""
         u, w = _split(pairs)
-        return sum((THETA + self.d * s.tables[u]) / (THETA + self.customers[u]) * s.root[w] for s in self.levels) / len(self.levels)
+        found = [(THETA + self.d * s.tables[u]) / (THETA + self.customers[u]) * s.root[w] for _, s in self.samples()]
+        return sum(found) / len(found)
 
     def seen(self, pairs: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Averaged probability of pairs with their counts; seats them as the sweeps did."""
         u, w = _split(pairs)
-        total = np.zeros(len(pairs))
-        for s in self.levels:
-            strength = (THETA + self.d * s.tables[u]) * s.root[w]
-            t = seat(c, strength, self.d, pairs, s.sweep)
-            total += (c - self.d * t + strength) / (THETA + self.customers[u])
-        return total / len(self.levels)
+        own = [seat(c, (THETA + self.d * before.tables[u]) * before.root[w], self.d, pairs, before.sweep)
+               for before, _ in self.samples()]
+        return self.unseen(pairs) + (c - self.d * sum(own) / len(own)) / (THETA + self.customers[u])
 
     def rare_new(self, classes: np.ndarray) -> np.ndarray:
         return (THETA + self.d_rare * self.rare_tables[classes]) / (THETA + self.rare_customers[classes]) * NEW
@@ -324,7 +326,7 @@ def learn(pairs: DataFrame, rare: DataFrame, vocabulary: Vocabulary, burn: int =
     rare_customers, rare_tables = np.zeros(RARE), np.zeros(RARE)
     for r in rare.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("t")).collect():
         rare_customers[r["class"]], rare_tables[r["class"]] = r.c, r.t
-    return Model(vocabulary, d, customers, levels[-samples:], _discount(rare), rare_customers, rare_tables)
+    return Model(vocabulary, d, customers, levels[-samples - 1:], _discount(rare), rare_customers, rare_tables)
 
 
 def _pair_scores(model: Model):
