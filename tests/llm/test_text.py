@@ -15,6 +15,7 @@ from tests.llm.odd import odd
 from tillwise.llm import op02_pitman_yor as lm
 from tillwise.llm import op03_pii as pii
 from tillwise.llm import op06_toxicity as toxicity
+from tillwise.llm.common import scratch
 
 
 def tokens(text):
@@ -78,11 +79,10 @@ def test_model_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame([(i, "a b a c b a b" if i % 2 else "c a b d d") for i in range(30)], "doc_id bigint, text string")
     training = docs.withColumn("held", F.lit(False))
     vocabulary, rare = lm.learn_words(training, 1 / 20)
-    units = training.mapInArrow(lm._pack(vocabulary), lm.UNITS)
-    pairs = units.select(F.explode(F.arrays_zip("pairs", "counts")).alias("x")).select(
-        F.col("x.pairs").alias("pair"), F.col("x.counts").cast("long").alias("c")).groupBy("pair").agg(F.sum("c").alias("c"))
+    asked = lm.ask_documents(training, vocabulary, scratch(spark, "test-units"))
+    pairs = lm.total_by_part(asked.where(F.col("kind") == lm.PAIR))
     model = lm.learn(pairs, rare, vocabulary)
-    seen = {r.pair: r.c for r in pairs.collect()}
+    seen = {k: c for r in pairs.collect() for k, c in zip(r["keys"], r["values"])}
     for context in {p >> 32 for p in seen}:
         every = np.array([context << 32 | w for w in range(vocabulary.size + 1)])
         p = model.unseen(every)

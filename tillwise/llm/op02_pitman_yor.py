@@ -16,9 +16,11 @@ which are at most two numbers per type; random numbers are hashes of (pair, swee
 or a retried task seats alike.  After ``burn`` sweeps, predictive probabilities are averaged over
 ``samples`` sweeps.
 
-Scoring.  Documents are packed, once, into units of about ``UNIT`` tokens with the unit's distinct
-pairs and rare words; these requests meet the model in equi-joins and their answers go back to the unit.
-No table that grows with the corpus is broadcast, and a unit bounds what a task holds.
+Scoring.  Documents are packed, once, into units of about ``UNIT`` tokens: a file on the shared folder
+with each token as an index into the unit's distinct pairs and rare words.  Only these keys travel, as
+arrays by hash part: to be counted, to be answered from the model's part, and the answers back to
+the unit.  No table that grows with the corpus is broadcast; a unit and a part bound what a task holds,
+and the number of parts follows the number of training tokens.
 
 Defined results: null and empty texts hold only the end; a null doc_id has remainder null and counts as
 training; repeated rows are learned from and scored each; with no training token every known count is
@@ -27,6 +29,7 @@ training; repeated rows are learned from and scored each; with no training token
 
 from __future__ import annotations
 
+import io
 import math
 import uuid
 from collections import Counter
@@ -39,12 +42,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import materialize, table
+from tillwise.llm.common import materialize, scratch, table
+from tillwise.llm.files import AtomicFile, filesystem
 from tillwise.llm.shingles import mix
 
 WORD_SHARE = 1 / 20_000
 RARE = 256
 UNIT = 2_000_000
+PART = 2_000_000  # training tokens for which there is one part of the keys
 NEW = 0.9
 THETA = 1.0
 END = b""
@@ -129,16 +134,25 @@ def learn_words(training: DataFrame, word_share: float = WORD_SHARE) -> tuple[Vo
     return Vocabulary(types, counts, n, v), materialize(rare, "lm-rare")
 
 
-UNITS = ("unit string, pairs array<long>, counts array<int>, rare array<long>, classes array<int>, docs array<long>, "
-         "held array<boolean>, sizes array<int>, at binary, rare_at binary, base array<double>, known array<int>")
+ASKED = "unit string, kind int, part int, keys array<long>, counts array<long>"
+ASKED_ARROW = pa.schema([("unit", pa.string()), ("kind", pa.int32()), ("part", pa.int32()),
+                         ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+PAIR, RARE_WORD = 0, 1
 
 
-def _pack(vocabulary: Vocabulary):
-    fields = [x.split(" ", 1) for x in UNITS.split(", ")]
-    kinds = {"string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
-             "array<int>": pa.list_(pa.int32()), "array<boolean>": pa.list_(pa.bool_()), "array<double>": pa.list_(pa.float64())}
-    schema = pa.schema([(n, kinds[k]) for n, k in fields])
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(keys.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
 
+
+def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the keys by (part, key), and where each part begins and the last ends."""
+    part = part_of(keys, parts)
+    order = np.lexsort((keys, part))
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _pack(vocabulary: Vocabulary, parts: int, folder: str):
+    """Write each unit to a file; rows (unit, kind, part, keys, counts) of what it asks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types, end, size = vocabulary.types, vocabulary.end, vocabulary.size
         type_base, n_types = vocabulary.base(vocabulary.counts), len(vocabulary.types)
@@ -156,7 +170,7 @@ def _pack(vocabulary: Vocabulary):
                     rare_words.append(word)
                 ids[i] = kind
             rare = np.array([word_hash(w) for w in rare_words], np.int64)
-            classes = [rare_class(w) for w in rare_words]
+            classes = np.array([rare_class(w) for w in rare_words], np.int16)
             sizes = np.array([len(t) + 1 for t in texts])
             follow = np.full(int(sizes.sum()), end, np.int64)
             words = np.concatenate(texts) if len(texts) else np.zeros(0, np.int64)
@@ -166,8 +180,7 @@ def _pack(vocabulary: Vocabulary):
             follow[inner] = ids[words]
             lead = np.concatenate([[size], follow[:-1]])  # ``size`` stands for the start
             lead[ends[:-1] + 1] = size
-            keys = lead << 32 | follow
-            pairs, at = np.unique(keys, return_inverse=True)
+            pairs, at = np.unique(lead << 32 | follow, return_inverse=True)
             train = np.repeat(~np.array(held, bool), sizes)
             counts = np.bincount(at[train], minlength=len(pairs))
             owner = np.repeat(np.arange(len(texts)), sizes - 1)
@@ -175,11 +188,27 @@ def _pack(vocabulary: Vocabulary):
             plain = number < 0
             base = np.bincount(owner[plain], type_base[ids[words[plain]]], len(texts)) + type_base[-1]
             known = np.bincount(owner[plain], minlength=len(texts)) + end_known
-            rare_sizes = np.bincount(owner[~plain], minlength=len(texts))
-            rare_at = np.concatenate([rare_sizes, number[~plain]]).astype(np.uint32).tobytes()
-            row = [uuid.uuid4().hex, pairs, counts.astype(np.int32), rare, classes, docs, held, sizes.astype(np.int32),
-                   at.astype(np.uint32).tobytes(), rare_at, base, known.astype(np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema)], schema=schema)
+
+            unit, rows, saved = uuid.uuid4().hex, [], {}
+            for kind, keys, count, index in ((PAIR, pairs, counts, at), (RARE_WORD, rare, None, number[~plain])):
+                order, cuts = _by_part(keys, parts)
+                place = np.empty(len(keys), np.uint32)
+                place[order] = np.arange(len(keys))
+                saved |= {f"keys{kind}": keys[order], f"cuts{kind}": cuts, f"at{kind}": place[index]}
+                for q in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+                    mine = order[cuts[q]:cuts[q + 1]]
+                    rows.append((unit, kind, q, keys[mine], None if count is None else count[mine]))
+                if kind == RARE_WORD:
+                    saved["classes"] = classes[order]
+            saved |= {"sizes": sizes, "rare_sizes": np.bincount(owner[~plain], minlength=len(texts)), "base": base,
+                      "known": known, "held": np.array(held, bool), "null": np.array([d is None for d in docs]),
+                      "docs": np.array([d or 0 for d in docs], np.int64)}
+            data = io.BytesIO()
+            np.savez(data, **saved)
+            out = AtomicFile(folder, unit)
+            out.write(_zstd(data.getvalue()))
+            out.commit()
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ASKED_ARROW)], schema=ASKED_ARROW)
 
         for batch in batches:
             for doc_id, out, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "held", "text")]):
@@ -197,6 +226,108 @@ def _pack(vocabulary: Vocabulary):
     return run
 
 
+def _zstd(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _load(fs, path: str) -> dict:
+    with fs.open_input_stream(path, compression=None) as stream:
+        data = stream.read()
+    whole = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.load(io.BytesIO(whole))
+
+
+PARTS = "part int, keys array<long>, values array<double>"
+PARTS_ARROW = pa.schema([("part", pa.int32()), ("keys", pa.list_(pa.int64())), ("values", pa.list_(pa.float64()))])
+
+
+def _parts_batch(part: int, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([keys], pa.list_(pa.int64())),
+                                       pa.array([values.astype(float)], pa.list_(pa.float64()))], schema=PARTS_ARROW)
+
+
+def _lists(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
+    column = batch.column(name)
+    return [column[i].values.to_numpy(zero_copy_only=False) for i in range(len(column))]
+
+
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums per key of rows (part, keys, counts) that come part by part; keys without a count go."""
+    part, keys, counts = None, [], []
+
+    def done() -> pa.RecordBatch:
+        found, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, np.concatenate(counts), len(found))
+        return _parts_batch(part, found[total > 0], total[total > 0])
+
+    for batch in batches:
+        for q, k, c in zip(batch.column("part").to_pylist(), _lists(batch, "keys"), _lists(batch, "counts")):
+            if q != part and keys:
+                yield done()
+                keys, counts = [], []
+            part = q
+            keys.append(k)
+            counts.append(c)
+    if keys:
+        yield done()
+
+
+def total_by_part(asked: DataFrame) -> DataFrame:
+    return (asked.select("part", "keys", "counts").repartition("part").sortWithinPartitions("part")
+            .mapInArrow(_total, PARTS))
+
+
+def _split_rows(parts: int):
+    """Rows (h, c) as rows (part, keys, counts)."""
+    schema = pa.schema([ASKED_ARROW.field(n) for n in ("part", "keys", "counts")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, counts = batch.column("h").to_numpy(), batch.column("c").to_numpy()
+            order, cuts = _by_part(keys, parts)
+            rows = [(q, keys[order[a:b]], counts[order[a:b]]) for q, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return run
+
+
+ANSWERS = "unit string, kind int, part int, values array<double>"
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Values of the asked keys, NaN where the model has none; a part's model rows come first."""
+    schema = pa.schema([("unit", pa.string()), ("kind", pa.int32()), ("part", pa.int32()), ("values", pa.list_(pa.float64()))])
+    none = np.zeros(0, np.int64), np.zeros(0)
+    now, keys, values = None, *none
+    for batch in batches:
+        rows = []
+        for unit, kind, part, k, v in zip(*[batch.column(c).to_pylist() for c in ("unit", "kind", "part")],
+                                          _lists(batch, "keys"), _lists(batch, "values")):
+            if (kind, part) != now:
+                now, (keys, values) = (kind, part), none
+            if unit is None:
+                keys, values = k, v
+                continue
+            found = np.full(len(k), np.nan)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+                same = keys[at] == k
+                found[same] = values[at[same]]
+            rows.append((unit, kind, part, found))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def answer(asked: DataFrame, model: DataFrame) -> DataFrame:
+    """(unit, kind, part, values) for rows (unit, kind, part, keys) from rows (kind, part, keys, values)."""
+    empty = F.array().cast("array<double>")
+    rows = model.select(F.lit(None).cast("string").alias("unit"), "kind", "part", "keys", "values").union(
+        asked.select("unit", "kind", "part", "keys", empty.alias("values")))
+    return (rows.repartition("kind", "part").sortWithinPartitions("kind", "part", F.col("unit").asc_nulls_first())
+            .mapInArrow(_answer, ANSWERS))
+
+
 def seat(c: np.ndarray, strength: np.ndarray, d: float, key: np.ndarray, sweep: int) -> np.ndarray:
     """Tables of c customers of one dish each, by thinning; ``strength`` is (theta + d T) p."""
     t, n = np.minimum(c, 1), np.ones(len(c))
@@ -240,11 +371,11 @@ def _sweep(level: Level, d: float, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_context, by_dish = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
         for batch in batches:
-            pairs, c = batch.column("pair").to_numpy(), batch.column("c").to_numpy()
-            u, w = _split(pairs)
-            t = seat(c, (THETA + d * level.tables[u]) * level.root[w], d, pairs, level.sweep)
-            by_context += np.bincount(u, t, size + 1).astype(np.int64)
-            by_dish += np.bincount(w, t, size + 1).astype(np.int64)
+            for pairs, c in zip(_lists(batch, "keys"), _lists(batch, "values")):
+                u, w = _split(pairs)
+                t = seat(c, (THETA + d * level.tables[u]) * level.root[w], d, pairs, level.sweep)
+                by_context += np.bincount(u, t, size + 1).astype(np.int64)
+                by_dish += np.bincount(w, t, size + 1).astype(np.int64)
         for side, sums in enumerate((by_context, by_dish)):
             ids = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), side), pa.int32()), pa.array(ids),
@@ -253,6 +384,30 @@ def _sweep(level: Level, d: float, size: int):
     return run
 
 
+def _first(size: int):
+    """Partial sums of the pairs' counts: customers (0) and pairs (1) by context, pairs by dish (2), and
+    the pairs that occur once and twice (3)."""
+    schema = pa.schema([("side", pa.int32()), ("id", pa.int64()), ("t", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros(max(size + 1, 3), np.int64) for _ in range(4)]
+        for batch in batches:
+            for pairs, c in zip(_lists(batch, "keys"), _lists(batch, "values")):
+                u, w = _split(pairs)
+                n = len(sums[0])
+                sums[0] += np.bincount(u, c, n).astype(np.int64)
+                sums[1] += np.bincount(u, minlength=n)
+                sums[2] += np.bincount(w, minlength=n)
+                sums[3][1] += int((c == 1).sum())
+                sums[3][2] += int((c == 2).sum())
+        for side, found in enumerate(sums):
+            ids = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), side), pa.int32()), pa.array(ids),
+                                              pa.array(found[ids])], schema=schema)
+
+    return run
+
+
 def _root(customers: np.ndarray, d: float, sweep: int, size: int) -> np.ndarray:
     """The root's predictive probabilities over its seated customers; its base is uniform."""
     base = np.full(size + 1, 1.0 / (size + 1))
@@ -300,21 +455,20 @@ class Model:
         return (c - self.d_rare) / (THETA + self.rare_customers[classes]) + share * own
 
 
-def _discount(counts: DataFrame) -> float:
-    once = counts.agg(F.count(F.when(F.col("c") == 1, 1)).alias("n1"), F.count(F.when(F.col("c") == 2, 1)).alias("n2")).first()
-    return min(0.95, max(0.1, once.n1 / (once.n1 + 2 * once.n2))) if once.n1 else 0.5
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
 
 def learn(pairs: DataFrame, rare: DataFrame, vocabulary: Vocabulary, burn: int = 2, samples: int = 3) -> Model:
-    """Gibbs sweeps over (pair, c); the driver keeps one number per context and per dish."""
-    size, d = vocabulary.size, _discount(pairs)
-    sums = pairs.groupBy(F.shiftright("pair", 32).alias("u")).agg(F.sum("c").alias("c"), F.count("*").alias("t")).collect()
-    customers, tables = np.zeros(size + 1), np.zeros(size + 1)
-    for r in sums:
-        customers[r.u], tables[r.u] = r.c, r.t
-    dishes = np.zeros(size + 1, np.int64)
-    for r in pairs.groupBy(F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("w")).agg(F.count("*").alias("t")).collect():
-        dishes[r.w] = r.t
+    """Gibbs sweeps over rows (part, keys, values): pairs and their counts; the driver keeps one number
+    per context and per dish."""
+    size = vocabulary.size
+    sums = np.zeros((4, max(size + 1, 3)), np.int64)
+    for r in (pairs.mapInArrow(_first(size), "side int, id long, t long").groupBy("side", "id")
+              .agg(F.sum("t").alias("t")).collect()):
+        sums[r.side, r.id] = r.t
+    customers, tables, dishes = sums[0, :size + 1].astype(float), sums[1, :size + 1].astype(float), sums[2, :size + 1]
+    d = _discount(int(sums[3, 1]), int(sums[3, 2]))
     levels = [Level(tables, _root(dishes, d, 0, size), 0)]
     for sweep in range(1, burn + samples + 1):
         state = (pairs.mapInArrow(_sweep(levels[-1], d, size), "side int, id long, t long")
@@ -326,14 +480,15 @@ def learn(pairs: DataFrame, rare: DataFrame, vocabulary: Vocabulary, burn: int =
     rare_customers, rare_tables = np.zeros(RARE), np.zeros(RARE)
     for r in rare.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("t")).collect():
         rare_customers[r["class"]], rare_tables[r["class"]] = r.c, r.t
-    return Model(vocabulary, d, customers, levels[-samples - 1:], _discount(rare), rare_customers, rare_tables)
+    n = rare.agg(F.count(F.when(F.col("c") == 1, 1)).alias("once"), F.count(F.when(F.col("c") == 2, 1)).alias("twice")).first()
+    return Model(vocabulary, d, customers, levels[-samples - 1:], _discount(n.once, n.twice), rare_customers, rare_tables)
 
 
 def _pair_scores(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = model.seen(batch.column("pair").to_numpy(), batch.column("c").to_numpy())
-            yield pa.RecordBatch.from_arrays([batch.column("pair"), pa.array(np.log10(p))], names=["pair", "lp"])
+            for part, pairs, c in zip(batch.column("part").to_pylist(), _lists(batch, "keys"), _lists(batch, "values")):
+                yield _parts_batch(part, pairs, np.log10(model.seen(pairs, c)))
 
     return run
 
@@ -342,61 +497,75 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
           "score double")
 
 
-def _score(model: Model):
+def _score(model: Model, folder: str):
+    """Scores of the documents of each unit, from its file and its answers, which follow each other."""
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = filesystem(folder)
         vocabulary = model.vocabulary
+
+        def done(unit: str, answers: dict) -> pa.RecordBatch:
+            held = _load(fs, f"{path}/{unit}")
+            found = []
+            for kind in (PAIR, RARE_WORD):
+                cuts, values = held[f"cuts{kind}"], np.full(len(held[f"keys{kind}"]), np.nan)
+                for (k, part), v in answers.items():
+                    if k == kind:
+                        values[cuts[part]:cuts[part + 1]] = v
+                found.append(values)
+            pairs, lp = held["keys0"], found[PAIR]
+            new = np.isnan(lp)
+            lp[new] = np.log10(model.unseen(pairs[new]))
+            classes, count = held["classes"].astype(np.int64), np.nan_to_num(found[RARE_WORD])
+            rare_lp = np.log10(np.where(count > 0, model.rare_seen(classes, count), model.rare_new(classes)))
+            sizes, n = held["sizes"], len(held["sizes"])
+            score = np.bincount(np.repeat(np.arange(n), sizes), lp[held["at0"]], n)
+            owner, number = np.repeat(np.arange(n), held["rare_sizes"]), held["at1"]
+            score += np.bincount(owner, rare_lp[number], n)
+            base = held["base"] + np.bincount(owner, vocabulary.base(count)[number], n)
+            known = held["known"] + np.bincount(owner, (count > 0)[number], n).astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(held["docs"], mask=held["null"]), pa.array(held["held"]), pa.array(sizes.astype(np.int64)),
+                 pa.array(known.astype(np.int64)), pa.array(np.full(n, vocabulary.tokens, np.int64)), pa.array(base),
+                 pa.array(score)], schema=schema)
+
+        unit, answers = None, {}
         for batch in batches:
-            for i in range(len(batch)):
-                get = lambda name: batch.column(name)[i]
-                pairs = get("pairs").values.to_numpy(zero_copy_only=False)
-                lp = np.log10(model.unseen(pairs))
-                if get("answers").is_valid:
-                    found = get("answers").values
-                    lp[np.searchsorted(pairs, found.field("pair").to_numpy())] = found.field("lp").to_numpy()
-                rare = get("rare").values.to_numpy(zero_copy_only=False)
-                classes = get("classes").values.to_numpy(zero_copy_only=False)
-                count, rare_lp = np.zeros(len(rare), np.int64), np.log10(model.rare_new(classes))
-                if get("rare_answers").is_valid:
-                    found, order = get("rare_answers").values, np.argsort(rare)
-                    at = order[np.searchsorted(rare[order], found.field("h").to_numpy())]
-                    count[at] = found.field("c").to_numpy()
-                    rare_lp[at] = np.log10(model.rare_seen(classes[at], count[at]))
-                sizes = get("sizes").values.to_numpy(zero_copy_only=False)
-                n = len(sizes)
-                owner = np.repeat(np.arange(n), sizes)
-                score = np.bincount(owner, lp[np.frombuffer(get("at").as_py(), np.uint32)], n)
-                numbers = np.frombuffer(get("rare_at").as_py(), np.uint32)
-                rare_owner, number = np.repeat(np.arange(n), numbers[:n]), numbers[n:]
-                score += np.bincount(rare_owner, rare_lp[number], n)
-                base = get("base").values.to_numpy(zero_copy_only=False) + np.bincount(rare_owner, vocabulary.base(count)[number], n)
-                known = get("known").values.to_numpy(zero_copy_only=False) + np.bincount(rare_owner, (count > 0)[number], n)
-                yield pa.RecordBatch.from_arrays(
-                    [get("docs").values, get("held").values, pa.array(sizes.astype(np.int64)), pa.array(known.astype(np.int64)),
-                     pa.array(np.full(n, vocabulary.tokens)), pa.array(base), pa.array(score)], schema=schema)
+            for u, kind, part, v in zip(*[batch.column(c).to_pylist() for c in ("unit", "kind", "part")], _lists(batch, "values")):
+                if u != unit and unit is not None:
+                    yield done(unit, answers)
+                    answers = {}
+                unit = u
+                answers[kind, part] = v
+        if unit is not None:
+            yield done(unit, answers)
 
     return run
 
 
+def ask_documents(docs: DataFrame, vocabulary: Vocabulary, folder: str) -> DataFrame:
+    """Pack ``docs`` (doc_id, held, text) into units in ``folder``; rows of what the units ask."""
+    parts = max(32, -(-vocabulary.tokens // PART))
+    return materialize(docs.mapInArrow(_pack(vocabulary, parts, folder), ASKED), "lm-asked")
+
+
 def score_documents(docs: DataFrame, word_share: float = WORD_SHARE, burn: int = 2, samples: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs`` (doc_id,
     text); learns from the rows that :func:`held_out` leaves."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held"), "text")
     vocabulary, rare = learn_words(docs.where("NOT held"), word_share)
-    units = materialize(docs.mapInArrow(_pack(vocabulary), UNITS), "lm-units")
-    pairs = materialize(units.select(F.explode(F.arrays_zip("pairs", "counts")).alias("x"))
-                        .select(F.col("x.pairs").alias("pair"), F.col("x.counts").cast("long").alias("c")).where("c > 0")
-                        .groupBy("pair").agg(F.sum("c").alias("c")), "lm-pairs")
+    folder = scratch(docs.sparkSession, "lm-units")
+    asked = ask_documents(docs, vocabulary, folder)
+    pairs = materialize(total_by_part(asked.where(F.col("kind") == PAIR)), "lm-pairs")
     model = learn(pairs, rare, vocabulary, burn, samples)
-    scored = pairs.mapInArrow(_pair_scores(model), "pair long, lp double")
-    answers = (units.select("unit", F.explode("pairs").alias("pair")).join(scored, "pair")
-               .groupBy("unit").agg(F.collect_list(F.struct("pair", "lp")).alias("answers")))
-    rare_answers = (units.select("unit", F.explode("rare").alias("h")).join(rare, "h")
-                    .groupBy("unit").agg(F.collect_list(F.struct("h", "c")).alias("rare_answers")))
-    asked = units.drop("counts").join(answers, "unit", "left").join(rare_answers, "unit", "left")
-    return asked.mapInArrow(_score(model), SCORES)
+    parts = max(32, -(-vocabulary.tokens // PART))
+    known = total_by_part(rare.select("h", "c").mapInArrow(_split_rows(parts), "part int, keys array<long>, counts array<long>"))
+    scored = pairs.mapInArrow(_pair_scores(model), PARTS)
+    values = scored.select(F.lit(PAIR).alias("kind"), "*").union(known.select(F.lit(RARE_WORD).alias("kind"), "*"))
+    return (answer(asked, values).repartition("unit").sortWithinPartitions("unit")
+            .mapInArrow(_score(model, folder), SCORES))
 
 
 def perplexity(scores: DataFrame, column: str = "score") -> DataFrame:
