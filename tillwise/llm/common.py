@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,13 @@ def row_key(*cols: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in cols])
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Small views of the batches, so that a task turns few texts at a time into Python objects."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder path under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import broadcast_if_small, components, materialize, table
+from tillwise.llm.common import broadcast_if_small, components, materialize, slices, table
 from tillwise.llm.shingles import set_hash, shingle_set
 
 WORDS = 5
@@ -64,7 +64,7 @@ def linked(common: int, n: int, m: int) -> bool:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sets = [shingle_set(t, WORDS) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -74,25 +74,24 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _postings(with_node: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                tokens, nodes, sizes = [], [], []
-                for text in batch.column("text").slice(at, 500).to_pylist():
-                    s = shingle_set(text, WORDS)
-                    node = set_hash(s)
-                    if not len(s) or node in seen:
-                        continue
-                    if len(seen) < SEEN:
-                        seen.add(node)
-                    prefix = min(len(s), len(s) - least_overlap(len(s)) + extra(len(s)))
-                    tokens.append(s[:prefix].view(np.int64))
-                    nodes.append(np.full(prefix, node, np.int64))
-                    sizes.append(np.full(prefix, len(s), np.int32))
-                if tokens:
-                    columns = [pa.array(np.concatenate(tokens))]
-                    if with_node:
-                        columns += [pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "n"][:len(columns)])
+        for batch in slices(batches):
+            tokens, nodes, sizes = [], [], []
+            for text in batch.column("text").to_pylist():
+                s = shingle_set(text, WORDS)
+                node = set_hash(s)
+                if not len(s) or node in seen:
+                    continue
+                if len(seen) < SEEN:
+                    seen.add(node)
+                prefix = min(len(s), len(s) - least_overlap(len(s)) + extra(len(s)))
+                tokens.append(s[:prefix].view(np.int64))
+                nodes.append(np.full(prefix, node, np.int64))
+                sizes.append(np.full(prefix, len(s), np.int32))
+            if tokens:
+                columns = [pa.array(np.concatenate(tokens))]
+                if with_node:
+                    columns += [pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))]
+                yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "n"][:len(columns)])
 
     return run
 
@@ -243,7 +242,7 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per block (or pair of parts) that a set is searched in."""
     schema = pa.schema([("block", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()),
                         ("node", pa.int64()), ("shingles", pa.binary())])
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for block, parts, node, text in zip(*[batch.column(c).to_pylist() for c in ("block", "parts", "node", "text")]):
             data, own = shingle_set(text, WORDS).tobytes(), node % parts

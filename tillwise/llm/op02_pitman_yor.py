@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import materialize, scratch, table
+from tillwise.llm.common import materialize, scratch, slices, table
 from tillwise.llm.files import AtomicFile, filesystem
 from tillwise.llm.shingles import mix
 
@@ -80,7 +80,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts.clear()
         return out
 
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch.column("text").to_pylist():
             counts.update(words_of(text))
             counts[END] += 1
@@ -210,7 +210,7 @@ def _pack(vocabulary: Vocabulary, parts: int, folder: str):
             out.commit()
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ASKED_ARROW)], schema=ASKED_ARROW)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, out, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "held", "text")]):
                 found = [local.setdefault(w, len(local)) for w in words_of(text)]
                 docs.append(doc_id)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import table
+from tillwise.llm.common import slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -305,7 +305,7 @@ def _windows_of(text: str) -> list[tuple[int, int]]:
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for text in batch.column("text").to_pylist():
             base = [s for s in base_spans(text) if s[0] != "email"]
@@ -365,7 +365,7 @@ def _find(w: np.ndarray):
                         ("base_sha256", pa.string()), ("spans", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 base, spans = find_spans(text or "", w)

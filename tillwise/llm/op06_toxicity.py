@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import materialize, table
+from tillwise.llm.common import materialize, slices, table
 
 # Look-alike letters by Latin letter, and signs that stand for a letter inside a word.
 LOOKALIKES = {
@@ -155,7 +155,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         clean.clear()
         return out
 
-    for batch in batches:
+    for batch in slices(batches):
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             (toxic if label else clean).update(features(fold(text)))
             if len(toxic) + len(clean) > 300_000:
@@ -169,7 +169,7 @@ def _evidence(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 found = matcher.find(text)
@@ -257,25 +257,26 @@ def _calibrate(rows: DataFrame, model: Model, rate: float) -> Model:
 
 
 def _score(model: Model):
+    """Scores of rows (row,) with a field text, or of rows (doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for batch in batches:
+        for batch in slices(batches):
+            first = batch.column(0)
+            texts = first.field("text") if pa.types.is_struct(first.type) else batch.column("text")
             scores, counts = [], []
-            for text in batch.column("_text").to_pylist():
+            for text in texts.to_pylist():
                 found = matcher.find(text or "")
                 scores.append(model.score(max(0.0, sum(m[3] for m in found)), len((text or "").split())))
                 counts.append(len(found))
-            columns = [c for n, c in zip(batch.schema.names, batch.columns) if n != "_text"]
-            names = [n for n in batch.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64()), pa.array(counts, pa.int64())],
-                                             names=[*names, "score", "n_matches"])
+            yield pa.RecordBatch.from_arrays([first, pa.array(scores, pa.float64()), pa.array(counts, pa.int64())],
+                                             names=[batch.schema.names[0], "score", "n_matches"])
 
     return run
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(row: struct of all columns of ``docs``, score, n_matches) per row."""
-    given = docs.select(F.struct("*").alias("row"), F.col("text").alias("_text"))
+    given = docs.select(F.struct("*").alias("row"))
     schema = T.StructType([given.schema["row"], T.StructField("score", T.DoubleType()),
                            T.StructField("n_matches", T.LongType())])
     return given.mapInArrow(_score(model), schema)
@@ -289,7 +290,7 @@ def find_matches(text: str | None, model: Model) -> list[tuple[int, int, str, fl
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    slim = docs.select("doc_id", F.col("text").alias("_text")).mapInArrow(
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _score(model), "doc_id long, score double, n_matches long")
     return slim.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_matches")
