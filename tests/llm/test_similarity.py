@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -192,6 +193,31 @@ def test_line_links_of_a_family_equal_brute_force(spark, threshold):
     assert got == {tuple(sorted((name(a), name(b)))) for a, b in combinations(found, 2) if distance(a, b) <= threshold}
 
 
+def test_line_links_grow_with_the_length_and_equal_brute_force(spark):
+    """Lines of 5 to 400 characters and copies with edits around what their length allows; more copies of
+    one line than a key may hold, and one passage in lines of every length."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8)))
+    found = set()
+    for n in [*range(5, 70), *range(70, 400, 15)]:
+        base = " ".join(word() for _ in range(n))[:n].strip()
+        found |= {base, *(edited(rng, base, rng.randint(1, lines.allowed(n) + 2)).strip() for _ in range(4))}
+    family = " ".join(word() for _ in range(40))[:120]
+    found |= {edited(rng, family, rng.randint(1, 5)).strip() for _ in range(90)}
+    passage = " ".join(word() for _ in range(8))
+    found |= {" ".join([*(word() for _ in range(rng.randint(0, 9))), passage, word()]) for _ in range(60)}
+    found = sorted(found)
+    got = {tuple(sorted(r)) for r in lines.line_links(spark.createDataFrame([(x,) for x in found], "line string")).collect()}
+    name = lambda x: hashlib.md5(x.encode()).hexdigest()
+    want, far = set(), 0
+    for a, b in combinations(found, 2):
+        k = lines.allowed(max(len(a), len(b)))
+        if abs(len(a) - len(b)) <= k and (sum((Counter(a) - Counter(b)).values()) <= k) and (d := distance(a, b)) <= k:
+            want.add(tuple(sorted((name(a), name(b)))))
+            far += d > 1
+    assert got == want and far > 500 and any(len(x) < 20 for x in found)
+
+
 def test_line_dedup_of_odd_documents(spark):
     docs = odd(spark)
     kept = {}
