@@ -91,6 +91,19 @@ def test_model_probabilities_sum_to_one(spark):
         assert abs(p.sum() - 1) < 1e-9
 
 
+def test_every_training_word_has_a_context_and_a_dish(spark):
+    """Rare words that end alike are told apart: each one's own follower is likelier than another's."""
+    rare = [f"r{i}xx" for i in range(40)]
+    train = [i for i in range(400) if not is_held(i, 7, 2)]
+    texts = [(i, f"{rare[n % 40]} f{n % 40}yy " + "a b c " * 40) for n, i in enumerate(train)]
+    out = [i for i in range(1000, 2000) if is_held(i, 7, 2)][:2]
+    docs = spark.createDataFrame([*texts, (out[0], "r3xx f3yy"), (out[1], "r3xx f4yy")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in lm.score_documents(docs).where("held_out").collect()}
+    assert got[out[0]].score - got[out[1]].score > 1 and got[out[0]].n_known == 3
+    vocabulary, words = lm.learn_words(docs)
+    assert sorted(r.id for r in words.collect()) == list(range(vocabulary.size + 1)) and vocabulary.size == 40 + 40 + 3 + 1
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 

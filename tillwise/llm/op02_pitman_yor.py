@@ -1,26 +1,26 @@
 """LM scoring: a hierarchical Pitman-Yor bigram model, sampled by Gibbs, averaged over samples.
 
-Tokens are words and one end per text.  A word whose share of the training tokens reaches
-``word_share`` is a type of its own (at most 1 / word_share of them, whatever the corpus); a rarer word
-belongs to one of ``RARE`` classes by its last letters, and is drawn inside its class.  For every
-preceding type there is a context restaurant whose customers are the following types; all share the
-root restaurant as parent, whose base is uniform.  Each class has a restaurant of its own words, whose
-base gives ``NEW`` of its mass to the one unknown word.
+Tokens are words and one end per text.  Every word of the training texts, found by a 64-bit hash, is a
+dish and, for the words that follow it, a context restaurant; the start of a text is a context too.  All
+contexts share the root restaurant as parent, whose base is uniform over the words and one unknown word.
+A context that was never seen gives the root's probabilities.
+
+Words are numbered by the order of their hashes; a pair is one number.  Nothing that grows with the
+vocabulary is kept by the driver: the state of the words is a table, and meets the pairs in joins.
 
 Seating.  Given the parent's probabilities and the tables of each restaurant from the sweep before, the
 customers of a dish are reseated one after another: the n-th opens a table with odds (theta + d T) p
 against n - d t.  Openings are drawn by thinning, so a dish with a million customers costs about as
-many steps as it has tables.  Dishes are then independent rows: a context with a third of all tokens is
-spread over all tasks.  A sweep is one Spark job that returns the tables per context and per dish,
-which are at most two numbers per type; random numbers are hashes of (pair, sweep, step), so a rerun
-or a retried task seats alike.  After ``burn`` sweeps, predictive probabilities are averaged over
-``samples`` sweeps.
+many steps as it has tables.  Dishes are then independent rows.  A dish with one customer has one table
+in every sweep, so only pairs that occur again are joined and seated; the others are counted once.
+Random numbers are hashes of (pair, sweep, step), so a rerun or a retried task seats alike.  After
+``burn`` sweeps, predictive probabilities are averaged over ``samples`` sweeps.
 
 Scoring.  Documents are packed, once, into units of about ``UNIT`` tokens: a file on the shared folder
-with each token as an index into the unit's distinct pairs and rare words.  Only these keys travel, as
-arrays by hash part: to be counted, to be answered from the model's part, and the answers back to
-the unit.  No table that grows with the corpus is broadcast; a unit and a part bound what a task holds,
-and the number of parts follows the number of training tokens.
+with each token as an index into the unit's distinct words.  Only these words and, once they have
+numbers, the unit's distinct pairs travel, as arrays by hash part: to be counted, to be answered from the
+model's part, and the answers back to the unit.  A unit and a part bound what a task holds, and the
+number of parts follows the number of training tokens.
 
 Defined results: null and empty texts hold only the end; a null doc_id has remainder null and counts as
 training; repeated rows are learned from and scored each; with no training token every known count is
@@ -30,7 +30,6 @@ training; repeated rows are learned from and scored each; with no training token
 from __future__ import annotations
 
 import io
-import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -39,20 +38,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import materialize, scratch, slices, table
+from tillwise.llm.common import broadcast_if_small, materialize, scratch, slices, table
 from tillwise.llm.files import AtomicFile, filesystem
 from tillwise.llm.shingles import mix
 
-WORD_SHARE = 1 / 20_000
-RARE = 256
 UNIT = 2_000_000
 PART = 2_000_000  # training tokens for which there is one part of the keys
-NEW = 0.9
 THETA = 1.0
-END = b""
+END, START = b"", b" "
 
 
 def held_out(doc_id: Column) -> Column:
@@ -67,10 +63,6 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
-def rare_class(word: bytes) -> int:
-    return xxhash.xxh32_intdigest(word[-2:]) % RARE
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
 
@@ -92,52 +84,60 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = batch.column("word").to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([word_hash(w) for w in words], pa.int64()), pa.array([rare_class(w) for w in words], pa.int32()),
-             batch.column("c")], names=["h", "class", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in words], pa.int64()), batch.column("c")], names=["h", "c"])
 
 
 @dataclass
 class Vocabulary:
-    """What the tasks know of the words: frequent types and their counts; N and V."""
+    """The numbers of training tokens and words, and the words: rows (h, id, c).  The start has the number
+    ``size``, which as a dish stands for the unknown word, so that every key has a row."""
 
-    types: dict[bytes, int]
-    counts: np.ndarray  # of the types, the end last
     tokens: int
     distinct: int
+    words: DataFrame
 
     @property
-    def end(self) -> int:
-        return len(self.types) + RARE
+    def size(self) -> int:
+        return self.distinct
 
     @property
-    def size(self) -> int:  # types, rare classes, the end
-        return len(self.types) + RARE + 1
+    def parts(self) -> int:
+        return max(32, -(-self.tokens // PART))
+
 
-    def base(self, c) -> np.ndarray:
-        return np.log10((np.asarray(c) + 1.0) / (self.tokens + 1 * (self.distinct + 1)))
+def base_score(c, tokens: int, distinct: int) -> np.ndarray:
+    return np.log10((np.asarray(c) + 1.0) / (tokens + 1 * (distinct + 1)))
 
 
-def learn_words(training: DataFrame, word_share: float = WORD_SHARE) -> tuple[Vocabulary, DataFrame]:
-    """The vocabulary and (h, class, c) of all its words that are no type of their own."""
-    words = materialize(training.select("text").mapInArrow(_count_words, "word binary, c long")
-                        .groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
-    total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+def learn_words(training: DataFrame, word_share: float | None = None) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary and its words (h, id, c); every word counts, whatever its share (``word_share`` is
+    taken for older callers)."""
+    found = materialize(training.select("text").mapInArrow(_count_words, "word binary, c long")
+                        .groupBy("word").agg(F.sum("c").alias("c")).mapInArrow(_hash_words, "h long, c long")
+                        .groupBy("h").agg(F.sum("c").alias("c")), "lm-words")
+    total = found.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = total.n or 0, total.v
-    least = max(2, math.ceil(n * word_share))
-    frequent = (F.col("c") >= least) & (F.col("word") != F.lit(END))
-    top = words.where(frequent).orderBy("word").collect()  # at most 1 / word_share rows
-    end = words.where(F.col("word") == F.lit(END)).first()
-    types = {bytes(r.word): i for i, r in enumerate(top)}
-    counts = np.array([r.c for r in top] + [end.c if end else 0], np.int64)
-    rare = words.where(~frequent & (F.col("word") != F.lit(END))).mapInArrow(_hash_words, "h long, class int, c long")
-    return Vocabulary(types, counts, n, v), materialize(rare, "lm-rare")
+    # Numbers in the order of the hashes: slices of equal width, and the place in the slice.
+    bits = max(5, (v // 500_000).bit_length())
+    cut = F.shiftright("h", 64 - bits)
+    sizes = sorted((r.q, r.n) for r in found.groupBy(cut.alias("q")).agg(F.count("*").alias("n")).collect())
+    offsets, at = {}, 0
+    for q, size in sizes:
+        offsets[q], at = at, at + size
+    spark = training.sparkSession
+    known = spark.createDataFrame(sorted(offsets.items()), "q long, offset long")
+    place = F.row_number().over(Window.partitionBy("q").orderBy("h")) - 1
+    ids = (found.withColumn("q", cut.cast("long")).join(F.broadcast(known), "q")
+           .select("h", (F.col("offset") + place).alias("id"), "c"))
+    start = spark.createDataFrame([(word_hash(START), v, 0)], "h long, id long, c long")
+    words = materialize(ids.union(start), "lm-numbered")
+    return Vocabulary(n, v, words), words
 
 
 ASKED = "unit string, kind int, part int, keys array<long>, counts array<long>"
 ASKED_ARROW = pa.schema([("unit", pa.string()), ("kind", pa.int32()), ("part", pa.int32()),
                          ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
-PAIR, RARE_WORD = 0, 1
+PAIR, WORD = 0, 1
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -151,64 +151,40 @@ def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(part[order], np.arange(parts + 1))
 
 
-def _pack(vocabulary: Vocabulary, parts: int, folder: str):
-    """Write each unit to a file; rows (unit, kind, part, keys, counts) of what it asks."""
+def _asked(unit: str, kind: int, keys: np.ndarray, counts: np.ndarray | None, order: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+    rows = []
+    for q in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        mine = order[cuts[q]:cuts[q + 1]]
+        rows.append((unit, kind, q, keys[mine], None if counts is None else counts[mine]))
+    columns = list(zip(*rows)) or [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ASKED_ARROW)], schema=ASKED_ARROW)
+
+
+def _pack(parts: int, folder: str):
+    """Write each unit to a file; rows (unit, kind, part, keys, counts) of the words it asks for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types, end, size = vocabulary.types, vocabulary.end, vocabulary.size
-        type_base, n_types = vocabulary.base(vocabulary.counts), len(vocabulary.types)
-        end_known = int(vocabulary.counts[-1] > 0)
-        local: dict[bytes, int] = {}
+        local: dict[bytes, int] = {END: 0, START: 1}
         docs, held, texts, tokens = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.empty(len(local), np.int64)  # type or class of each word of the unit
-            rare_words, rare_no = [], np.full(len(local), -1, np.int64)
-            for word, i in local.items():
-                kind = types.get(word)
-                if kind is None:
-                    kind, rare_no[i] = n_types + rare_class(word), len(rare_words)
-                    rare_words.append(word)
-                ids[i] = kind
-            rare = np.array([word_hash(w) for w in rare_words], np.int64)
-            classes = np.array([rare_class(w) for w in rare_words], np.int16)
+            keys = np.array([word_hash(w) for w in local], np.int64)
+            order, cuts = _by_part(keys, parts)
+            place = np.empty(len(keys), np.uint32)
+            place[order] = np.arange(len(keys))
             sizes = np.array([len(t) + 1 for t in texts])
-            follow = np.full(int(sizes.sum()), end, np.int64)
-            words = np.concatenate(texts) if len(texts) else np.zeros(0, np.int64)
-            ends = np.cumsum(sizes) - 1
+            follow = np.zeros(int(sizes.sum()), np.int64)
             inner = np.ones(len(follow), bool)
-            inner[ends] = False
-            follow[inner] = ids[words]
-            lead = np.concatenate([[size], follow[:-1]])  # ``size`` stands for the start
-            lead[ends[:-1] + 1] = size
-            pairs, at = np.unique(lead << 32 | follow, return_inverse=True)
-            train = np.repeat(~np.array(held, bool), sizes)
-            counts = np.bincount(at[train], minlength=len(pairs))
-            owner = np.repeat(np.arange(len(texts)), sizes - 1)
-            number = rare_no[words]
-            plain = number < 0
-            base = np.bincount(owner[plain], type_base[ids[words[plain]]], len(texts)) + type_base[-1]
-            known = np.bincount(owner[plain], minlength=len(texts)) + end_known
-
-            unit, rows, saved = uuid.uuid4().hex, [], {}
-            for kind, keys, count, index in ((PAIR, pairs, counts, at), (RARE_WORD, rare, None, number[~plain])):
-                order, cuts = _by_part(keys, parts)
-                place = np.empty(len(keys), np.uint32)
-                place[order] = np.arange(len(keys))
-                saved |= {f"keys{kind}": keys[order], f"cuts{kind}": cuts, f"at{kind}": place[index]}
-                for q in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-                    mine = order[cuts[q]:cuts[q + 1]]
-                    rows.append((unit, kind, q, keys[mine], None if count is None else count[mine]))
-                if kind == RARE_WORD:
-                    saved["classes"] = classes[order]
-            saved |= {"sizes": sizes, "rare_sizes": np.bincount(owner[~plain], minlength=len(texts)), "base": base,
-                      "known": known, "held": np.array(held, bool), "null": np.array([d is None for d in docs]),
-                      "docs": np.array([d or 0 for d in docs], np.int64)}
+            inner[np.cumsum(sizes) - 1] = False
+            follow[inner] = np.concatenate(texts)
+            unit = uuid.uuid4().hex
             data = io.BytesIO()
-            np.savez(data, **saved)
+            np.savez(data, keys=keys[order], cuts=cuts, follow=place[follow], ends=place[:2], sizes=sizes,
+                     held=np.array(held, bool), null=np.array([d is None for d in docs]),
+                     docs=np.array([d or 0 for d in docs], np.int64))
             out = AtomicFile(folder, unit)
             out.write(_zstd(data.getvalue()))
             out.commit()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ASKED_ARROW)], schema=ASKED_ARROW)
+            return _asked(unit, WORD, keys, None, order, cuts)
 
         for batch in slices(batches):
             for doc_id, out, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "held", "text")]):
@@ -219,13 +195,62 @@ def _pack(vocabulary: Vocabulary, parts: int, folder: str):
                 tokens += len(found) + 1
                 if tokens >= UNIT:
                     yield flush()
-                    local, docs, held, texts, tokens = {}, [], [], [], 0
+                    local, docs, held, texts, tokens = {END: 0, START: 1}, [], [], [], 0
         if docs:
             yield flush()
 
     return run
 
 
+def _unit_pairs(held: dict, ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a unit, the pair of each token, and the words (unit's index) of each pair;
+    ``ids`` are the words' numbers, NaN for unknown ones."""
+    new = np.isnan(ids)
+    as_dish = np.where(new, size, ids).astype(np.int64)
+    as_context = np.where(new, size + 1, ids).astype(np.int64)
+    follow = held["follow"].astype(np.int64)
+    lead = np.concatenate([[0], follow[:-1]])
+    lead[np.cumsum(held["sizes"]) - held["sizes"]] = held["ends"][1]
+    # All unknown words are one dish and, as contexts, alike: their pairs need no more than that.
+    pairs, first, at = np.unique(as_context[lead] << 32 | as_dish[follow], return_index=True, return_inverse=True)
+    return pairs, at, lead[first], follow[first]
+
+
+def _answers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict]]:
+    """(unit, {(kind, part): values}) of answers that come unit by unit."""
+    unit, answers = None, {}
+    for batch in batches:
+        for u, kind, part, v in zip(*[batch.column(c).to_pylist() for c in ("unit", "kind", "part")], _lists(batch, "values")):
+            if u != unit and unit is not None:
+                yield unit, answers
+                answers = {}
+            unit = u
+            answers[kind, part] = v
+    if unit is not None:
+        yield unit, answers
+
+
+def _in_order(answers: dict, kind: int, cuts: np.ndarray, width: int) -> np.ndarray:
+    values = np.full((int(cuts[-1]), width), np.nan)
+    for (k, part), v in answers.items():
+        if k == kind:
+            values[cuts[part]:cuts[part + 1]] = v.reshape(-1, width)
+    return values
+
+
+def _ask_pairs(parts: int, folder: str, size: int):
+    """Rows (unit, kind, part, keys, counts) of the pairs of each unit, from the numbers of its words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = filesystem(folder)
+        for unit, answers in _answers_of(batches):
+            held = _load(fs, f"{path}/{unit}")
+            pairs, at, _, _ = _unit_pairs(held, _in_order(answers, WORD, held["cuts"], 1)[:, 0], size)
+            train = np.repeat(~held["held"], held["sizes"])
+            yield _asked(unit, PAIR, pairs, np.bincount(at[train], minlength=len(pairs)), *_by_part(pairs, parts))
+
+    return run
+
+
 def _zstd(data: bytes) -> bytes:
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
@@ -234,7 +259,7 @@ def _load(fs, path: str) -> dict:
     with fs.open_input_stream(path, compression=None) as stream:
         data = stream.read()
     whole = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    return np.load(io.BytesIO(whole))
+    return dict(np.load(io.BytesIO(whole)))
 
 
 PARTS = "part int, keys array<long>, values array<double>"
@@ -277,17 +302,16 @@ def total_by_part(asked: DataFrame) -> DataFrame:
             .mapInArrow(_total, PARTS))
 
 
-def _split_rows(parts: int):
-    """Rows (h, c) as rows (part, keys, counts)."""
-    schema = pa.schema([ASKED_ARROW.field(n) for n in ("part", "keys", "counts")])
-
+def _split_rows(parts: int, key: str, columns: list[str]):
+    """Rows (key, columns) as rows (part, keys, values), the values of a key one after another."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, counts = batch.column("h").to_numpy(), batch.column("c").to_numpy()
+            keys = batch.column(key).to_numpy()
+            values = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in columns], 1)
             order, cuts = _by_part(keys, parts)
-            rows = [(q, keys[order[a:b]], counts[order[a:b]]) for q, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            for q in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+                mine = order[cuts[q]:cuts[q + 1]]
+                yield _parts_batch(q, keys[mine], values[mine].ravel())
 
     return run
 
@@ -295,37 +319,45 @@ def _split_rows(parts: int):
 ANSWERS = "unit string, kind int, part int, values array<double>"
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Values of the asked keys, NaN where the model has none; a part's model rows come first."""
+def _answer(width: int):
+    """``width`` values of each asked key, NaN where the model has none; a part's model rows come first."""
     schema = pa.schema([("unit", pa.string()), ("kind", pa.int32()), ("part", pa.int32()), ("values", pa.list_(pa.float64()))])
-    none = np.zeros(0, np.int64), np.zeros(0)
-    now, keys, values = None, *none
-    for batch in batches:
-        rows = []
-        for unit, kind, part, k, v in zip(*[batch.column(c).to_pylist() for c in ("unit", "kind", "part")],
-                                          _lists(batch, "keys"), _lists(batch, "values")):
-            if (kind, part) != now:
-                now, (keys, values) = (kind, part), none
-            if unit is None:
-                keys, values = k, v
-                continue
-            found = np.full(len(k), np.nan)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                same = keys[at] == k
-                found[same] = values[at[same]]
-            rows.append((unit, kind, part, found))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-
-def answer(asked: DataFrame, model: DataFrame) -> DataFrame:
-    """(unit, kind, part, values) for rows (unit, kind, part, keys) from rows (kind, part, keys, values)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, values, more = None, np.zeros(0, np.int64), np.zeros((0, width)), []
+        for batch in batches:
+            rows = []
+            for unit, kind, part, k, v in zip(*[batch.column(c).to_pylist() for c in ("unit", "kind", "part")],
+                                              _lists(batch, "keys"), _lists(batch, "values")):
+                if part != now:
+                    now, keys, values, more = part, np.zeros(0, np.int64), np.zeros((0, width)), []
+                if unit is None:
+                    more.append((k, v.reshape(-1, width)))
+                    continue
+                if more:
+                    keys = np.concatenate([m[0] for m in more])
+                    order = np.argsort(keys, kind="stable")
+                    keys, values, more = keys[order], np.concatenate([m[1] for m in more])[order], []
+                found = np.full((len(k), width), np.nan)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+                    same = keys[at] == k
+                    found[same] = values[at[same]]
+                rows.append((unit, kind, part, found.ravel()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return run
+
+
+def answer(asked: DataFrame, model: DataFrame, width: int) -> DataFrame:
+    """(unit, kind, part, values) for rows (unit, kind, part, keys) of one kind from rows (part, keys,
+    values) with ``width`` values a key."""
     empty = F.array().cast("array<double>")
-    rows = model.select(F.lit(None).cast("string").alias("unit"), "kind", "part", "keys", "values").union(
+    rows = model.select(F.lit(None).cast("string").alias("unit"), F.lit(None).cast("int").alias("kind"), "part", "keys", "values").union(
         asked.select("unit", "kind", "part", "keys", empty.alias("values")))
-    return (rows.repartition("kind", "part").sortWithinPartitions("kind", "part", F.col("unit").asc_nulls_first())
-            .mapInArrow(_answer, ANSWERS))
+    return (rows.repartition("part").sortWithinPartitions("part", F.col("unit").asc_nulls_first())
+            .mapInArrow(_answer(width), ANSWERS))
 
 
 def seat(c: np.ndarray, strength: np.ndarray, d: float, key: np.ndarray, sweep: int) -> np.ndarray:
@@ -351,221 +383,210 @@ def _uniform(start: np.ndarray, step: int) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
 
 
-@dataclass
-class Level:
-    """One sweep's state above the context restaurants: tables per context, the root's probabilities."""
+def _split(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return pairs >> 32, pairs & 0xFFFFFFFF
 
-    tables: np.ndarray
-    root: np.ndarray
-    sweep: int
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial sums of the pairs by word: customers, pairs and pairs that occur once as a context, the
+    same two as a dish; pairs that occur twice as a context."""
+    names = ["id", "n", "pairs", "once", "dishes", "dishes_once", "twice"]
+    for batch in batches:
+        for pairs, c in zip(_lists(batch, "keys"), _lists(batch, "values")):
+            u, w = _split(pairs)
+            ids, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+            u, w, k = at[:len(u)], at[len(u):], len(ids)
+            sums = [np.bincount(u, c, k), np.bincount(u, minlength=k), np.bincount(u, c == 1, k), np.bincount(w, minlength=k),
+                    np.bincount(w, c == 1, k), np.bincount(u, c == 2, k)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(x.astype(np.int64)) for x in sums)], names=names)
 
-def _split(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return pairs >> 32, pairs & 0xFFFFFFFF
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for pairs, c in zip(_lists(batch, "keys"), _lists(batch, "values")):
+            more = c > 1
+            u, w = _split(pairs[more])
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[more]), pa.array(u), pa.array(w), pa.array(c[more].astype(np.int64))],
+                                             names=["key", "u", "w", "c"])
 
-def _sweep(level: Level, d: float, size: int):
-    """Partial sums of tables by context and by dish, of the seating under ``level``."""
-    schema = pa.schema([("side", pa.int32()), ("id", pa.int64()), ("t", pa.int64())])
 
+def _once(d: float):
+    """What pairs that occur once add to their own probability, before the division."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_context, by_dish = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
         for batch in batches:
-            for pairs, c in zip(_lists(batch, "keys"), _lists(batch, "values")):
-                u, w = _split(pairs)
-                t = seat(c, (THETA + d * level.tables[u]) * level.root[w], d, pairs, level.sweep)
-                by_context += np.bincount(u, t, size + 1).astype(np.int64)
-                by_dish += np.bincount(w, t, size + 1).astype(np.int64)
-        for side, sums in enumerate((by_context, by_dish)):
-            ids = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), side), pa.int32()), pa.array(ids),
-                                              pa.array(sums[ids])], schema=schema)
+            for part, pairs, c in zip(batch.column("part").to_pylist(), _lists(batch, "keys"), _lists(batch, "values")):
+                yield _parts_batch(part, pairs[c == 1], np.full(int((c == 1).sum()), 1 - d))
 
     return run
 
 
-def _first(size: int):
-    """Partial sums of the pairs' counts: customers (0) and pairs (1) by context, pairs by dish (2), and
-    the pairs that occur once and twice (3)."""
-    schema = pa.schema([("side", pa.int32()), ("id", pa.int64()), ("t", pa.int64())])
+def _seat_pairs(d: float, sweep: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, c, tables, p = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("key", "c", "tables", "p"))
+            t = seat(c, (THETA + d * tables) * p, d, key, sweep) if len(key) else c
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(t.astype(np.int64))], names=["key", "t"])
+
+    return run
 
+
+def _seat_root(d: float, strength: float, sweep: int):
+    """Adds the root's tables of each dish."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [np.zeros(max(size + 1, 3), np.int64) for _ in range(4)]
         for batch in batches:
-            for pairs, c in zip(_lists(batch, "keys"), _lists(batch, "values")):
-                u, w = _split(pairs)
-                n = len(sums[0])
-                sums[0] += np.bincount(u, c, n).astype(np.int64)
-                sums[1] += np.bincount(u, minlength=n)
-                sums[2] += np.bincount(w, minlength=n)
-                sums[3][1] += int((c == 1).sum())
-                sums[3][2] += int((c == 2).sum())
-        for side, found in enumerate(sums):
-            ids = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), side), pa.int32()), pa.array(ids),
-                                              pa.array(found[ids])], schema=schema)
+            ids, m = batch.column("id").to_numpy(), batch.column("m").to_numpy()
+            s = seat(m, np.full(len(m), strength), d, ids, 1000 + sweep) if len(m) else m
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s.astype(np.int64))], names=["id", "tables", "m", "s"])
 
     return run
 
 
-def _root(customers: np.ndarray, d: float, sweep: int, size: int) -> np.ndarray:
-    """The root's predictive probabilities over its seated customers; its base is uniform."""
-    base = np.full(size + 1, 1.0 / (size + 1))
-    tables = (customers > 0).astype(np.int64)
-    for again in range(2):
-        tables = seat(customers, (THETA + d * tables.sum()) * base, d, np.arange(size + 1), 1000 + 2 * sweep + again)
-    total = customers.sum()
-    return (customers - d * tables + (THETA + d * tables.sum()) * base) / (THETA + total)
+def _root(state: DataFrame, d: float, sweep: int, size: int, before: float | None) -> tuple[DataFrame, int]:
+    """(id, tables, p) from (id, tables, m): the root's predictive probabilities over its seated customers
+    with a uniform base; and the number of its tables."""
+    base = 1.0 / (size + 1)
+    strength = (THETA + d * (size if before is None else before)) * base
+    seated = materialize(state.mapInArrow(_seat_root(d, strength, sweep), "id long, tables long, m long, s long"), "lm-state")
+    total = seated.agg(F.sum("m").alias("m"), F.sum("s").alias("s")).first()
+    p = (F.col("m") - d * F.col("s") + (THETA + d * total.s) * base) / (THETA + total.m)
+    return seated.select("id", "tables", p.alias("p")), total.s
 
 
 @dataclass
 class Model:
+    """Per word (h, id, c, n, l0.., p0..): customers as a context, and for each sample the weight of the
+    root and the root's probability; per pair that occurs again (key, own) its count less discounts."""
+
     vocabulary: Vocabulary
     d: float
-    customers: np.ndarray  # per context
-    levels: list[Level]
-    d_rare: float
-    rare_customers: np.ndarray
-    rare_tables: np.ndarray
+    samples: int
+    words: DataFrame
+    again: DataFrame
+
+    @property
+    def columns(self) -> list[str]:
+        return ["id", "c", "n", *(f"l{i}" for i in range(self.samples)), *(f"p{i}" for i in range(self.samples))]
 
-    def samples(self) -> list[tuple[Level, Level]]:
-        """Each sample: the state its dishes were seated under, and the state after that seating."""
-        return list(zip(self.levels, self.levels[1:]))
+    def _words(self, ids: np.ndarray) -> np.ndarray:
+        rows = {r.id: r[1:] for r in self.words.where(F.col("id").isin(np.unique(ids).tolist())).select("id", *self.columns).collect()}
+        return np.array([rows[i] for i in ids.tolist()], float).reshape(len(ids), len(self.columns))
 
     def unseen(self, pairs: np.ndarray) -> np.ndarray:
-        """Averaged probability of a pair that was never seen."""
+        """Averaged probability of a few pairs that were never seen."""
         u, w = _split(pairs)
-        found = [(THETA + self.d * s.tables[u]) / (THETA + self.customers[u]) * s.root[w] for _, s in self.samples()]
-        return sum(found) / len(found)
+        return _unseen(self._words(u), self._words(w), self.samples)
 
     def seen(self, pairs: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """Averaged probability of pairs with their counts; seats them as the sweeps did."""
-        u, w = _split(pairs)
-        own = [seat(c, (THETA + self.d * before.tables[u]) * before.root[w], self.d, pairs, before.sweep)
-               for before, _ in self.samples()]
-        return self.unseen(pairs) + (c - self.d * sum(own) / len(own)) / (THETA + self.customers[u])
+        """Averaged probability of a few pairs with their counts."""
+        own = {r.key: r.own for r in self.again.where(F.col("key").isin(pairs.tolist())).collect()}
+        added = np.array([own.get(k, 1 - self.d) for k in pairs.tolist()])
+        return self.unseen(pairs) + added / (THETA + self._words(_split(pairs)[0])[:, 2])
 
-    def rare_new(self, classes: np.ndarray) -> np.ndarray:
-        return (THETA + self.d_rare * self.rare_tables[classes]) / (THETA + self.rare_customers[classes]) * NEW
 
-    def rare_seen(self, classes: np.ndarray, c: np.ndarray) -> np.ndarray:
-        # The base of a known word is so small that all its customers share one table.
-        share = (THETA + self.d_rare * self.rare_tables[classes]) / (THETA + self.rare_customers[classes])
-        own = (1 - NEW) / np.maximum(self.rare_tables[classes], 1)
-        return (c - self.d_rare) / (THETA + self.rare_customers[classes]) + share * own
+def _unseen(u: np.ndarray, w: np.ndarray, samples: int) -> np.ndarray:
+    return (u[:, 3:3 + samples] * w[:, 3 + samples:]).mean(1)
 
 
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
 
-def learn(pairs: DataFrame, rare: DataFrame, vocabulary: Vocabulary, burn: int = 2, samples: int = 3) -> Model:
-    """Gibbs sweeps over rows (part, keys, values): pairs and their counts; the driver keeps one number
-    per context and per dish."""
+def learn(pairs: DataFrame, words: DataFrame, vocabulary: Vocabulary, burn: int = 2, samples: int = 3) -> Model:
+    """Gibbs sweeps over rows (part, keys, values), pairs and their counts; ``words`` are (h, id, c)."""
     size = vocabulary.size
-    sums = np.zeros((4, max(size + 1, 3)), np.int64)
-    for r in (pairs.mapInArrow(_first(size), "side int, id long, t long").groupBy("side", "id")
-              .agg(F.sum("t").alias("t")).collect()):
-        sums[r.side, r.id] = r.t
-    customers, tables, dishes = sums[0, :size + 1].astype(float), sums[1, :size + 1].astype(float), sums[2, :size + 1]
-    d = _discount(int(sums[3, 1]), int(sums[3, 2]))
-    levels = [Level(tables, _root(dishes, d, 0, size), 0)]
+    names = ["n", "pairs", "once", "dishes", "dishes_once", "twice"]
+    found = (pairs.mapInArrow(_sums, "id long, " + ", ".join(f"{n} long" for n in names))
+             .groupBy("id").agg(*[F.sum(n).alias(n) for n in names]))
+    counted = materialize(words.join(found, "id", "left").na.fill(0, names).select("h", "id", "c", *names), "lm-counted")
+    total = counted.agg(F.sum("once").alias("once"), F.sum("twice").alias("twice")).first()
+    d = _discount(total.once or 0, total.twice or 0)
+    again = materialize(pairs.mapInArrow(_repeated, "key long, u long, w long, c long"), "lm-again")
+    state, tables = _root(counted.select("id", F.col("pairs").alias("tables"), F.col("dishes").alias("m")), d, 0, size, None)
+    levels, seated = [], None
     for sweep in range(1, burn + samples + 1):
-        state = (pairs.mapInArrow(_sweep(levels[-1], d, size), "side int, id long, t long")
-                 .groupBy("side", "id").agg(F.sum("t").alias("t")).collect())
-        tables, dishes = np.zeros(size + 1), np.zeros(size + 1, np.int64)
-        for r in state:
-            (tables if r.side == 0 else dishes)[r.id] = r.t
-        levels.append(Level(tables, _root(dishes, d, sweep, size), sweep))
-    rare_customers, rare_tables = np.zeros(RARE), np.zeros(RARE)
-    for r in rare.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("t")).collect():
-        rare_customers[r["class"]], rare_tables[r["class"]] = r.c, r.t
-    n = rare.agg(F.count(F.when(F.col("c") == 1, 1)).alias("once"), F.count(F.when(F.col("c") == 2, 1)).alias("twice")).first()
-    return Model(vocabulary, d, customers, levels[-samples - 1:], _discount(n.once, n.twice), rare_customers, rare_tables)
-
-
-def _pair_scores(model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, pairs, c in zip(batch.column("part").to_pylist(), _lists(batch, "keys"), _lists(batch, "values")):
-                yield _parts_batch(part, pairs, np.log10(model.seen(pairs, c)))
-
-    return run
+        own = broadcast_if_small(state)
+        ready = (again.join(own.select(F.col("id").alias("u"), "tables"), "u")
+                 .join(own.select(F.col("id").alias("w"), "p"), "w").select("key", "c", F.col("tables").cast("double").alias("tables"), "p"))
+        t = materialize(ready.mapInArrow(_seat_pairs(d, sweep), "key long, t long"), "lm-seated")
+        none = F.lit(0).cast("long")
+        sums = (t.select(F.shiftright("key", 32).alias("id"), F.col("t").alias("tu"), none.alias("tw"))
+                .union(t.select(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("id"), none.alias("tu"), F.col("t").alias("tw")))
+                .groupBy("id").agg(F.sum("tu").alias("tu"), F.sum("tw").alias("tw")))
+        joined = counted.join(sums, "id", "left").na.fill(0, ["tu", "tw"])
+        state, tables = _root(joined.select("id", (F.col("once") + F.col("tu")).alias("tables"),
+                                            (F.col("dishes_once") + F.col("tw")).alias("m")), d, sweep, size, tables)
+        if sweep > burn:
+            levels.append(state)
+            seated = t if seated is None else seated.union(t)
+    known = counted.select("h", "id", "c", "n")
+    for i, level in enumerate(levels):
+        weight = (THETA + d * F.col("tables")) / (THETA + F.col("n"))
+        known = known.join(level, "id").select(*known.columns, weight.alias(f"l{i}"), F.col("p").alias(f"p{i}"))
+    mean = seated.groupBy("key").agg((F.sum("t") / F.lit(float(samples))).alias("t"))
+    own = again.join(mean, "key").select("key", (F.col("c") - d * F.col("t")).alias("own"))
+    return Model(vocabulary, d, samples, materialize(known, "lm-known"), materialize(own, "lm-own"))
 
 
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double")
 
 
-def _score(model: Model, folder: str):
+def _score(folder: str, samples: int, tokens: int, distinct: int):
     """Scores of the documents of each unit, from its file and its answers, which follow each other."""
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = filesystem(folder)
-        vocabulary = model.vocabulary
-
-        def done(unit: str, answers: dict) -> pa.RecordBatch:
+        for unit, answers in _answers_of(batches):
             held = _load(fs, f"{path}/{unit}")
-            found = []
-            for kind in (PAIR, RARE_WORD):
-                cuts, values = held[f"cuts{kind}"], np.full(len(held[f"keys{kind}"]), np.nan)
-                for (k, part), v in answers.items():
-                    if k == kind:
-                        values[cuts[part]:cuts[part + 1]] = v
-                found.append(values)
-            pairs, lp = held["keys0"], found[PAIR]
-            new = np.isnan(lp)
-            lp[new] = np.log10(model.unseen(pairs[new]))
-            classes, count = held["classes"].astype(np.int64), np.nan_to_num(found[RARE_WORD])
-            rare_lp = np.log10(np.where(count > 0, model.rare_seen(classes, count), model.rare_new(classes)))
+            words = _in_order(answers, WORD, held["cuts"], 3 + 2 * samples)
+            ids, start = words[:, 0].copy(), words[held["ends"][1]]
+            new = np.isnan(ids)
+            words[new, :3 + samples] = [distinct, 0, 0, *[1.0] * samples]
+            words[new, 3 + samples:] = start[3 + samples:]  # the start's number is the unknown dish's
+            pairs, at, u, w = _unit_pairs(held, ids, distinct)
+            order, cuts = _by_part(pairs, len(held["cuts"]) - 1)
+            own = np.zeros(len(pairs))
+            own[order] = np.nan_to_num(_in_order(answers, PAIR, cuts, 1)[:, 0])
+            lp = np.log10(_unseen(words[u], words[w], samples) + own / (THETA + words[u, 2]))
             sizes, n = held["sizes"], len(held["sizes"])
-            score = np.bincount(np.repeat(np.arange(n), sizes), lp[held["at0"]], n)
-            owner, number = np.repeat(np.arange(n), held["rare_sizes"]), held["at1"]
-            score += np.bincount(owner, rare_lp[number], n)
-            base = held["base"] + np.bincount(owner, vocabulary.base(count)[number], n)
-            known = held["known"] + np.bincount(owner, (count > 0)[number], n).astype(np.int64)
-            return pa.RecordBatch.from_arrays(
+            owner, follow, count = np.repeat(np.arange(n), sizes), held["follow"], words[:, 1]
+            base = np.bincount(owner, base_score(count, tokens, distinct)[follow], n)
+            known = np.bincount(owner, (count > 0)[follow], n)
+            yield pa.RecordBatch.from_arrays(
                 [pa.array(held["docs"], mask=held["null"]), pa.array(held["held"]), pa.array(sizes.astype(np.int64)),
-                 pa.array(known.astype(np.int64)), pa.array(np.full(n, vocabulary.tokens, np.int64)), pa.array(base),
-                 pa.array(score)], schema=schema)
-
-        unit, answers = None, {}
-        for batch in batches:
-            for u, kind, part, v in zip(*[batch.column(c).to_pylist() for c in ("unit", "kind", "part")], _lists(batch, "values")):
-                if u != unit and unit is not None:
-                    yield done(unit, answers)
-                    answers = {}
-                unit = u
-                answers[kind, part] = v
-        if unit is not None:
-            yield done(unit, answers)
+                 pa.array(known.astype(np.int64)), pa.array(np.full(n, tokens, np.int64)), pa.array(base),
+                 pa.array(np.bincount(owner, lp[at], n))], schema=schema)
 
     return run
 
 
 def ask_documents(docs: DataFrame, vocabulary: Vocabulary, folder: str) -> DataFrame:
     """Pack ``docs`` (doc_id, held, text) into units in ``folder``; rows of what the units ask."""
-    parts = max(32, -(-vocabulary.tokens // PART))
-    return materialize(docs.mapInArrow(_pack(vocabulary, parts, folder), ASKED), "lm-asked")
+    parts = vocabulary.parts
+    words = materialize(docs.mapInArrow(_pack(parts, folder), ASKED), "lm-asked")
+    ids = vocabulary.words.select("h", "id").mapInArrow(_split_rows(parts, "h", ["id"]), PARTS)
+    pairs = (answer(words, ids, 1).repartition("unit").sortWithinPartitions("unit")
+             .mapInArrow(_ask_pairs(parts, folder, vocabulary.size), ASKED))
+    return words.union(materialize(pairs, "lm-asked"))
 
 
-def score_documents(docs: DataFrame, word_share: float = WORD_SHARE, burn: int = 2, samples: int = 3) -> DataFrame:
+def score_documents(docs: DataFrame, burn: int = 2, samples: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row of ``docs`` (doc_id,
     text); learns from the rows that :func:`held_out` leaves."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held"), "text")
-    vocabulary, rare = learn_words(docs.where("NOT held"), word_share)
-    folder = scratch(docs.sparkSession, "lm-units")
+    vocabulary, words = learn_words(docs.where("NOT held"))
+    folder, parts = scratch(docs.sparkSession, "lm-units"), vocabulary.parts
     asked = ask_documents(docs, vocabulary, folder)
     pairs = materialize(total_by_part(asked.where(F.col("kind") == PAIR)), "lm-pairs")
-    model = learn(pairs, rare, vocabulary, burn, samples)
-    parts = max(32, -(-vocabulary.tokens // PART))
-    known = total_by_part(rare.select("h", "c").mapInArrow(_split_rows(parts), "part int, keys array<long>, counts array<long>"))
-    scored = pairs.mapInArrow(_pair_scores(model), PARTS)
-    values = scored.select(F.lit(PAIR).alias("kind"), "*").union(known.select(F.lit(RARE_WORD).alias("kind"), "*"))
-    return (answer(asked, values).repartition("unit").sortWithinPartitions("unit")
-            .mapInArrow(_score(model, folder), SCORES))
+    model = learn(pairs, words, vocabulary, burn, samples)
+    known = model.words.mapInArrow(_split_rows(parts, "h", model.columns), PARTS)
+    own = pairs.mapInArrow(_once(model.d), PARTS).union(model.again.mapInArrow(_split_rows(parts, "key", ["own"]), PARTS))
+    answers = (answer(asked.where(F.col("kind") == WORD), known, len(model.columns))
+               .union(answer(asked.where(F.col("kind") == PAIR), own, 1)))
+    return (answers.repartition("unit").sortWithinPartitions("unit")
+            .mapInArrow(_score(folder, samples, vocabulary.tokens, vocabulary.distinct), SCORES))
 
 
 def perplexity(scores: DataFrame, column: str = "score") -> DataFrame:
