@@ -126,6 +126,11 @@ def test_random_field_splits_what_the_patterns_swallow():
         assert pii.find_spans(clean, w)[1] == pii.find_spans(clean, w)[0]
 
 
+def test_an_address_part_of_thousands_of_zeros():
+    text = "0" * 5000 + "1.2.3.4"
+    assert pii.base_spans(text) == [("ip", 0, len(text))] and pii.is_ip("0.00.000.255") and not pii.is_ip("0256.1.1.1")
+
+
 def test_best_spans_equal_the_best_of_all_segmentations():
     rng, w = random.Random(8), np.array(list(pii.PRIOR.values()))
     for _ in range(60):

@@ -60,7 +60,7 @@ def luhn(digits: str) -> bool:
 
 
 def is_ip(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in text.split("."))
 
 
 def digits_of(text: str) -> str:
