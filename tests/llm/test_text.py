@@ -191,6 +191,17 @@ def test_toxicity_on_held_out_labels(spark):
     assert toxicity.train(docs, other) == model
 
 
+def test_all_phrases_of_a_text_count_and_all_exceptions_are_kept(spark):
+    model = toxicity.Model({"scum$": 5.0})
+    words = ["".join(chr(97 + n // 26 ** i % 26) for i in range(3)) + "q" for n in range(1100)] + ["zzz"]
+    text = ". ".join(f"{w} scum" for w in words)
+    rows = spark.createDataFrame([(text, 0)] * 5 + [(text.replace(words[7] + " scum", ""), 1)], "text string, toxic int")
+    toxic_holds_none = spark.createDataFrame([(text, 0)] * 5 + [("scum", 1)], "text string, toxic int")
+    assert "zzz scum" not in toxicity._calibrate(rows, model, 0.2).exceptions
+    found = toxicity._calibrate(toxic_holds_none, toxicity.Model({"scum$": 5.0}), 0.2).exceptions
+    assert {f"{w} scum" for w in words} <= found
+
+
 def test_exception_phrases_and_odd_documents(spark):
     model = toxicity.Model({"scum$": 5.0, "lowei": 4.0}, {"pond scum"}, (-3.0, 2.0, 5.0))
     assert [m[:3] for m in toxicity.find_matches("Scum of loweisch, pond scum", model)] == [(0, 4, "scum$"), (8, 13, "lowei")]

@@ -173,7 +173,8 @@ def _evidence(model: Model):
             rows = []
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 found = matcher.find(text)
-                near = sorted({p for m in found for p in phrases(fold(text), m[0])})[:50] if found else []
+                folded = fold(text) if found else ""
+                near = sorted({p for m in found for p in phrases(folded, m[0])})
                 rows.append((label, sum(m[3] for m in found), len(text.split()), near))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema) \
                 if rows else pa.RecordBatch.from_pylist([], schema)
@@ -231,13 +232,14 @@ def train(docs: DataFrame, labels: DataFrame, label_rows: int = 40_000, lexicon_
 
 
 def _calibrate(rows: DataFrame, model: Model, rate: float) -> Model:
-    """Exception phrases and logistic coefficients, from at most ``label_rows`` short rows."""
+    """Exception phrases (all that stand in five clean texts or more and in no toxic one) and logistic
+    coefficients, from the at most ``label_rows`` training rows."""
     def seen():
         return rows.mapInArrow(_evidence(model), "toxic int, total double, words long, phrases array<string>")
 
     near = (seen().select("toxic", F.explode("phrases").alias("p")).groupBy("p")
             .agg(F.sum((F.col("toxic") == 1).cast("int")).alias("t"), F.count("*").alias("n"))
-            .where((F.col("t") == 0) & (F.col("n") >= 5)).orderBy(F.desc("n"), "p").limit(1000).collect())
+            .where((F.col("t") == 0) & (F.col("n") >= 5)).select("p").collect())
     model.exceptions = {r.p for r in near}
     data = seen().select("toxic", "total", "words").toPandas()
     y = (data["toxic"] == 1).to_numpy(float)
