@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame
 
 from tillwise.operators import descriptive as d
 from tillwise.operators import diagnostic as g
+from tillwise.operators import distribution as v
+from tillwise.operators import retention as r
 from tillwise.operators import strategic as s
+from tillwise.operators import timeline as w
 from tillwise.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -48,4 +51,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "margin_volume_corr": s.margin_volume_corr,
     "contribution_margin": s.contribution_margin,
     "kpi_summary": s.kpi_summary,
+    # distributions, spans of days, retention
+    "value_sketch_rollup": v.value_sketch_rollup,
+    "sketch_accuracy": v.sketch_accuracy,
+    "line_value_percentiles": v.line_value_percentiles,
+    "rolling_region_sales": w.rolling_region_sales,
+    "last_shipment_price": w.last_shipment_price,
+    "units_in_transit": w.units_in_transit,
+    "transit_peaks": w.transit_peaks,
+    "cohort_retention": r.cohort_retention,
+    "period_changes": r.period_changes,
 }

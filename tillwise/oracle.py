@@ -383,3 +383,149 @@ SELECT revenue, cost, CAST(revenue - cost AS DECIMAL(28,4)) AS profit,
        n_orders, n_buyers, {div('revenue', 'n_orders')} AS aov, n_lines, uncosted_lines,
        {div('returned_lines', 'n_lines')} AS return_rate
 FROM lc, oc"""
+
+CENTS = f"CAST({REV} * 10000 AS BIGINT)"
+CUSTOMER_REGION = """
+  SELECT c_custkey, r_name AS region FROM customer
+  LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey"""
+GRAINS = f"""
+WITH cr AS ({CUSTOMER_REGION}),
+o AS (SELECT o_orderkey, o_custkey, {OMONTH} AS month, region FROM orders LEFT JOIN cr ON c_custkey = o_custkey),
+l AS (SELECT {CENTS} AS v, month, region FROM lineitem JOIN o ON l_orderkey = o_orderkey),
+grained AS (
+  SELECT 'month_region' AS grain, month, region, v FROM l
+  UNION ALL SELECT 'month', month, NULL, v FROM l
+  UNION ALL SELECT 'region', NULL, region, v FROM l
+  UNION ALL SELECT 'all', NULL, NULL, v FROM l),
+gbuyers AS (
+  SELECT 'month_region' AS grain, month, region, COUNT(DISTINCT o_custkey) AS buyers FROM o GROUP BY month, region
+  UNION ALL SELECT 'month', month, NULL, COUNT(DISTINCT o_custkey) FROM o GROUP BY month
+  UNION ALL SELECT 'region', NULL, region, COUNT(DISTINCT o_custkey) FROM o GROUP BY region
+  UNION ALL SELECT 'all', NULL, NULL, COUNT(DISTINCT o_custkey) FROM o HAVING COUNT(*) > 0)"""
+
+
+def amount(whole: str) -> str:
+    return f"CAST(CAST({whole} AS DECIMAL(22,0)) / 10000 AS DECIMAL(18,4))"
+
+
+def placed(p: int) -> str:
+    """The value at the place of a percentile, from rows numbered ``i`` of ``n`` in order of ``v``."""
+    return f"MAX(CASE WHEN i = GREATEST((n * {p} + 99) // 100, 1) THEN v END)"
+
+
+# The middle of the bucket that keeps an amount's eight leading bits, computed from its power of two.
+MIDDLE = """CASE WHEN abs(v) < 256 THEN v ELSE sign(v) * ((abs(v) // w) * w + w // 2) END"""
+
+SQL["value_sketch_rollup"] = f"""{GRAINS},
+sized AS (SELECT *, CAST(pow(2, greatest(length(bin(abs(v))) - 8, 0)) AS BIGINT) AS w FROM grained),
+numbered AS (
+  SELECT grain, month, region, {MIDDLE} AS v,
+         row_number() OVER (PARTITION BY grain, month, region ORDER BY v) AS i,
+         COUNT(*) OVER (PARTITION BY grain, month, region) AS n
+  FROM sized),
+q AS (SELECT grain, month, region, MAX(n) AS n_lines, {placed(50)} AS p50, {placed(95)} AS p95
+      FROM numbered GROUP BY grain, month, region)
+SELECT b.grain, b.month, b.region, COALESCE(q.n_lines, 0) AS n_lines,
+       {amount("p50")} AS p50_estimate, {amount("p95")} AS p95_estimate
+FROM gbuyers b LEFT JOIN q ON q.grain = b.grain AND q.month IS NOT DISTINCT FROM b.month
+ AND q.region IS NOT DISTINCT FROM b.region"""
+
+SQL["sketch_accuracy"] = f"""{GRAINS},
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY grain, month, region ORDER BY v) AS i,
+         COUNT(*) OVER (PARTITION BY grain, month, region) AS n
+  FROM grained),
+q AS (SELECT grain, month, region, MAX(n) AS n_lines, {placed(50)} AS p50, {placed(95)} AS p95
+      FROM numbered GROUP BY grain, month, region)
+SELECT b.grain, b.month, b.region, b.buyers, COALESCE(q.n_lines, 0) AS n_lines,
+       {amount("p50")} AS p50, {amount("p95")} AS p95, TRUE AS buyers_within,
+       CASE WHEN p50 IS NOT NULL THEN TRUE END AS p50_within, CASE WHEN p95 IS NOT NULL THEN TRUE END AS p95_within
+FROM gbuyers b LEFT JOIN q ON q.grain = b.grain AND q.month IS NOT DISTINCT FROM b.month
+ AND q.region IS NOT DISTINCT FROM b.region"""
+
+SQL["line_value_percentiles"] = f"""
+WITH cr AS ({CUSTOMER_REGION}),
+l AS (SELECT p_type AS category, region, {CENTS} AS v
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+      LEFT JOIN cr ON c_custkey = o_custkey LEFT JOIN part ON p_partkey = l_partkey),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY category, region ORDER BY v) AS i,
+         COUNT(*) OVER (PARTITION BY category, region) AS n
+  FROM l)
+SELECT category, region, MAX(n) AS n_lines, {amount(placed(50))} AS p50, {amount(placed(95))} AS p95
+FROM numbered GROUP BY category, region"""
+
+SQL["rolling_region_sales"] = f"""
+WITH cr AS ({CUSTOMER_REGION}),
+o AS (SELECT o_orderkey, o_custkey, {ODATE} AS d, region FROM orders LEFT JOIN cr ON c_custkey = o_custkey),
+days AS (SELECT region, unnest(generate_series(CAST((SELECT MIN(d) FROM o) AS TIMESTAMP),
+                CAST((SELECT MAX(d) FROM o) AS TIMESTAMP), INTERVAL 1 DAY))::DATE AS order_date
+         FROM (SELECT DISTINCT region FROM o WHERE d IS NOT NULL)),
+money AS (SELECT region, d, SUM({REV}) AS revenue FROM lineitem JOIN o ON o_orderkey = l_orderkey GROUP BY region, d),
+people AS (SELECT DISTINCT region, d, o_custkey FROM o)
+SELECT region, order_date,
+  CAST(COALESCE((SELECT SUM(revenue) FROM money m WHERE m.region IS NOT DISTINCT FROM days.region
+        AND m.d > order_date - 90 AND m.d <= order_date), 0) AS DECIMAL(28,4)) AS rolling_revenue,
+  (SELECT COUNT(DISTINCT o_custkey) FROM people p WHERE p.region IS NOT DISTINCT FROM days.region
+        AND p.d > order_date - 90 AND p.d <= order_date) AS active_customers
+FROM days"""
+
+SQL["last_shipment_price"] = f"""
+WITH s AS (
+  SELECT l_partkey, CAST(l_shipdate AS DATE) AS last_ship_date, l_extendedprice / NULLIF(l_quantity, 0) AS last_unit_price
+  FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_partkey, CAST(l_shipdate AS DATE)
+          ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC, l_quantity DESC) = 1),
+l AS (SELECT l_orderkey, l_linenumber, l_partkey, {ODATE} AS order_date FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT l_orderkey, l_linenumber, l.l_partkey, order_date, last_ship_date, last_unit_price,
+       CAST(order_date - last_ship_date AS BIGINT) AS days_since_shipment
+FROM l ASOF LEFT JOIN s ON s.l_partkey = l.l_partkey AND order_date > last_ship_date"""
+
+TRANSIT = f"""
+  SELECT l_orderkey, l_partkey, {QTY} AS qty, {ODATE} AS order_date, CAST(l_shipdate AS DATE) AS ship_date
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+  WHERE {ODATE} < CAST(l_shipdate AS DATE)"""
+
+SQL["units_in_transit"] = f"""
+WITH tl AS ({TRANSIT}),
+m AS (SELECT l_partkey, order_date AS from_date FROM tl UNION SELECT l_partkey, ship_date FROM tl),
+steps AS (SELECT l_partkey, from_date, lead(from_date) OVER (PARTITION BY l_partkey ORDER BY from_date) AS to_date FROM m)
+SELECT s.l_partkey, s.from_date, s.to_date,
+       CAST(COALESCE(SUM(qty), 0) AS DECIMAL(28,4)) AS units
+FROM steps s LEFT JOIN tl ON tl.l_partkey IS NOT DISTINCT FROM s.l_partkey
+ AND tl.order_date <= s.from_date AND s.from_date < tl.ship_date
+WHERE s.to_date IS NOT NULL
+GROUP BY s.l_partkey, s.from_date, s.to_date"""
+
+SQL["transit_peaks"] = f"""
+WITH steps AS ({SQL["units_in_transit"]}),
+tl AS ({TRANSIT}),
+peaks AS (SELECT * FROM steps WHERE l_partkey IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY units DESC, from_date) = 1)
+SELECT p.l_partkey, p.units AS peak_units, p.from_date, p.to_date, COUNT(*) AS n_lines,
+       COUNT(DISTINCT l_orderkey) AS n_orders, CAST(SUM(qty) AS DECIMAL(28,4)) AS line_units
+FROM peaks p JOIN tl ON tl.l_partkey = p.l_partkey AND tl.order_date < p.to_date AND tl.ship_date > p.from_date
+GROUP BY p.l_partkey, p.units, p.from_date, p.to_date"""
+
+SQL["cohort_retention"] = f"""
+WITH m AS (SELECT DISTINCT o_custkey, {OMONTH} AS month FROM orders WHERE o_custkey IS NOT NULL),
+c AS (SELECT o_custkey, MIN(month) AS cohort_month FROM m GROUP BY o_custkey),
+n AS (SELECT cohort_month, COUNT(*) AS cohort_size FROM c GROUP BY cohort_month)
+SELECT cohort_month, date_diff('month', cohort_month, month) AS months_since, cohort_size, COUNT(*) AS active,
+       {div("COUNT(*)", "cohort_size")} AS retention
+FROM m JOIN c USING (o_custkey) JOIN n USING (cohort_month)
+GROUP BY cohort_month, month, cohort_size"""
+
+SQL["period_changes"] = f"""
+WITH b AS (SELECT year(MAX({ODATE})) - CASE WHEN month(MAX({ODATE})) = 12 THEN 0 ELSE 1 END AS cur,
+                  year(MIN({ODATE})) + CASE WHEN month(MIN({ODATE})) = 1 THEN 0 ELSE 1 END AS lo FROM orders),
+y AS (SELECT o_custkey, year({ODATE}) AS year, cur FROM orders, b WHERE o_custkey IS NOT NULL AND cur - 1 >= lo),
+s AS (SELECT o_custkey, BOOL_OR(year = cur - 1) AS was, BOOL_OR(year = cur) AS is_now, BOOL_OR(year < cur) AS earlier
+      FROM y GROUP BY o_custkey),
+cr AS ({CUSTOMER_REGION})
+SELECT region, COUNT(*) FILTER (was AND is_now) AS kept, COUNT(*) FILTER (was AND NOT is_now) AS lost,
+       COUNT(*) FILTER (is_now AND NOT earlier) AS new, COUNT(*) FILTER (is_now AND earlier AND NOT was) AS returned,
+       {div("COUNT(*) FILTER (was AND is_now)", "COUNT(*) FILTER (was)")} AS kept_share
+FROM s LEFT JOIN cr ON c_custkey = o_custkey
+WHERE was OR is_now
+GROUP BY region"""
