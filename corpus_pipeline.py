@@ -6,8 +6,8 @@ columns of documents.  :func:`run` writes each stage's result as Parquet under t
 folder and rereads it for the next, so a stage restarts from whole files after a lost executor.
 
 Null and empty texts pass the first three stages (they are not toxic, link with nothing and hold no
-passage); the mix takes no words from them, so they end there.  Rows with a null doc_id are kept as
-documents of their own.  An empty table gives an empty result with the same columns.
+passage); the mix takes no words from them, so they end there.  Rows with a null doc_id are documents of
+their own.  An empty table gives an empty result with the same columns.
 """
 
 from __future__ import annotations
@@ -26,18 +26,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest doc_id; of rows with one
-    doc_id, one."""
-    found = materialize(op01_ngram_join.jaccard_components(docs.select("doc_id", "text")), "pipeline-groups")
-    gone = materialize(found.where("component_id <> doc_id").select("doc_id").distinct(), "pipeline-gone")
-    kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
-    again = materialize(found.where("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-                        .where("n > 1").select("doc_id"), "pipeline-again")
+    """Of each component of near duplicates the row with the smallest doc_id (nulls last; of several
+    texts under it, the one with the smallest hash); of rows equal in doc_id and text, the smallest by
+    the other columns.
+
+    Rows are told apart by a hash of doc_id and text, so different texts under one id, and rows without
+    an id, are documents of their own: they go only if a near duplicate stays."""
+    key = F.xxhash64("doc_id", "text")
+    found = materialize(op01_ngram_join.jaccard_components(docs.select(key.alias("doc_id"), "text"))
+                        .where("n_shingles > 0").select(F.col("doc_id").alias("_key"), "component_id"), "pipeline-groups")
+    shared = (found.groupBy(F.col("component_id").alias("_of")).agg(F.min("_key").alias("a"), F.max("_key").alias("b"))
+              .where("a <> b").select("_of"))
+    members = materialize(found.join(shared, found.component_id == shared["_of"]).select("_key", "component_id").distinct(),
+                          "pipeline-members")
+    ids = docs.select(key.alias("_k"), "doc_id").join(broadcast_if_small(members), F.col("_k") == F.col("_key"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
+    stays = ids.groupBy(F.col("component_id").alias("_of")).agg(F.min_by("_key", place).alias("_stays"))
+    gone = materialize(members.join(stays, members.component_id == stays["_of"]).where("_key <> _stays").select("_key"),
+                       "pipeline-gone")
+    kept = docs.withColumn("_key", key).join(broadcast_if_small(gone), "_key", "left_anti")
+    again = materialize(found.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key")
+                        .join(gone, "_key", "left_anti"), "pipeline-again")
     if again.limit(1).count() == 0:
-        return kept
-    single = kept.join(broadcast_if_small(again), "doc_id", "left_anti").select(docs.columns)
-    repeated = kept.join(broadcast_if_small(again), "doc_id", "left_semi").select(docs.columns)
-    return single.union(repeated.dropDuplicates(["doc_id"]))
+        return kept.select(docs.columns)
+    again = broadcast_if_small(again)
+    single = kept.join(again, "_key", "left_anti").select(docs.columns)
+    repeated = (kept.join(again, "_key", "left_semi").groupBy("_key", "doc_id", "text")
+                .agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*"))
+    return single.union(repeated.select(docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
