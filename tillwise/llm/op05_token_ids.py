@@ -9,9 +9,11 @@ memory; ids are streamed.  Files appear under their names only when whole, and t
 last, holds each file's ids, from which a running sum gives the ids before it.
 
 Tokenizing in pieces: in byte-level BPE every piece that begins at a single space after a word is
-merged on its own, so a text is the concatenation of its pieces and frequent pieces are looked up in a
-bounded cache.  Texts where a space touches other white space on both sides, or that hold a special
-token, are encoded whole.
+merged on its own, so a text is the concatenation of its pieces.  A slice of texts (bounded by bytes) is
+split and its pieces dictionary-encoded in Arrow; only distinct pieces are tokenized, and the ids of the
+texts are taken from the dictionary by index.  Short pieces that repeat within a slice are kept for the next,
+in a store of bounded size.  Texts where a space touches other white space on both sides, or that hold
+a special token, are encoded whole.
 
 Defined results: null and empty texts hold only the end id; null doc_ids come first, repeated doc_ids
 follow each other ordered by their ids.
@@ -26,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import bucket_of, id_bounds, materialize, scratch, table
+from tillwise.llm.common import materialize, scratch, slices, table
 from tillwise.llm.elias_fano import EliasFano
 from tillwise.llm.files import AtomicFile, filesystem
 
@@ -37,26 +40,27 @@ MANIFEST = "bucket int, file string, docs long, ids long, bytes long"
 TAIL = "<8sBQQQQ"  # magic, bytes an id, null doc ids, ids, bytes of: boundaries, doc ids
 MAGIC = b"EFIDS001"
 DOCS_PER_FILE = 20_000
-MAX_BUCKETS = 4096
-CACHE_PIECES = 600_000
+SLICE_BYTES = 12 << 20     # text split at a time
+KEPT_PIECES = 100_000     # repeated pieces kept from slice to slice
+KEPT_CHARS = 32           # the longest of them
 
-SPACES = r"[\s\x00-\x1f\x7f-\xa0]"
-UNSAFE = re.compile(f"{SPACES} (?:{SPACES}|\\Z)")
+SPACES = r"[\x00-\x20\x7f-\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # white space and controls
+UNSAFE = f"{SPACES} (?:{SPACES}|\\z)"
 MARKS = (".", ",")
-LINE_BREAK = re.compile(f"(.*[^\\s\\x00-\\x1f\\x7f-\\xa0])\n([^\\s\\x00-\\x1f\\x7f-\\xa0].*)")
+LINE_BREAK = re.compile("(.*[^\\s\\x00-\\x1f\\x7f-\\xa0])\n([^\\s\\x00-\\x1f\\x7f-\\xa0].*)")
 
 
 class _Pieces(dict):
-    """Ids of pieces by text, as bytes; two generations bound its size.
+    """Ids of pieces by text, as bytes.
 
     ``lead`` stands before each piece when it is encoded: a space, or nothing at the start of a line.
     A word with one closing mark, and two pieces around a line break, are put together from parts, as
     the tokenizer itself cuts there.
     """
 
-    def __init__(self, encode, lead: str, dtype, limit: int):
+    def __init__(self, encode, lead: str, dtype):
         super().__init__()
-        self.encode, self.lead, self.dtype, self.limit, self.older = encode, lead, dtype, limit, {}
+        self.encode, self.lead, self.dtype = encode, lead, dtype
         self.marks = {m: self.ids(m, "") for m in ".,\n"}
         self.plain = self  # where the part after a line break is looked up
 
@@ -64,35 +68,41 @@ class _Pieces(dict):
         return np.asarray(self.encode(lead + piece).ids, self.dtype).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.older.get(piece)
-        if found is None:
-            if piece[-1:] in MARKS and piece[:-1].isalpha():
-                found = self[piece[:-1]] + self.marks[piece[-1]]
-            elif cut := broken_line(piece):
-                found = self[cut[1]] + self.marks["\n"] + self.plain[cut[2]]
-            else:
-                found = self.ids(piece, self.lead)
-        self.put(piece, found)
-        return found
-
-    def put(self, piece: str, found: bytes) -> None:
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
+        if piece[-1:] in MARKS and piece[:-1].isalpha():
+            found = self[piece[:-1]] + self.marks[piece[-1]]
+        elif cut := broken_line(piece):
+            found = self[cut[1]] + self.marks["\n"] + self.plain[cut[2]]
+        else:
+            found = self.ids(piece, self.lead)
         self[piece] = found
+        return found
 
     def prime(self, words: list[str]) -> None:
         """Encode many new words in one call; each is a token group of its own between separators."""
         between = self.lead or "\n"
         coded = self.encode(self.lead + between.join(words))
-        ids, groups = np.asarray(coded.ids, self.dtype), np.asarray(coded.word_ids)
+        data, groups = np.asarray(coded.ids, self.dtype).tobytes(), np.asarray(coded.word_ids)
         step = 1 if self.lead else 2  # a line break is a group too
         if not len(groups) or groups[-1] != step * (len(words) - 1):
             return  # the tokenizer cuts these words differently: each is encoded when it is met
-        cuts = np.searchsorted(groups, step * np.arange(len(words)), "left")
-        ends = np.searchsorted(groups, step * np.arange(len(words)), "right")
-        for word, a, b in zip(words, cuts.tolist(), ends.tolist()):
-            self.put(word, ids[a:b].tobytes())
+        width = self.dtype.itemsize
+        cuts = width * np.searchsorted(groups, step * np.arange(len(words)), "left")
+        ends = width * np.searchsorted(groups, step * np.arange(len(words)), "right")
+        self.update((w, data[a:b]) for w, a, b in zip(words, cuts.tolist(), ends.tolist()))
+
+    def prime_apart(self, pieces: list[str]) -> None:
+        """Encode many pieces that may be several token groups each."""
+        coded = self.encode([self.lead + p for p in pieces], True)
+        data, groups = np.asarray(coded.ids, self.dtype).tobytes(), np.asarray(coded.word_ids)
+        cuts = self.dtype.itemsize * np.searchsorted(groups, np.arange(len(pieces) + 1), "left")
+        for piece, a, b in zip(pieces, cuts[:-1].tolist(), cuts[1:].tolist()):
+            self[piece] = data[a:b]
+
+    def settle(self, repeated: list[str], limit: int) -> None:
+        """Forget all but the short pieces of ``repeated``, at most ``limit`` of them."""
+        kept = {w: self[w] for w in repeated if len(w) <= KEPT_CHARS}
+        self.clear()
+        self.update(kept if len(kept) <= limit else dict(list(kept.items())[:limit]))
 
 
 def broken_line(piece: str) -> re.Match | None:
@@ -102,69 +112,137 @@ def broken_line(piece: str) -> re.Match | None:
 class Encoder:
     """Token ids of texts as little-endian bytes, equal to encoding each text whole."""
 
-    def __init__(self, path: str, limit: int = CACHE_PIECES):
+    def __init__(self, path: str, limit: int = KEPT_PIECES):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.dtype = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.encode_whole = lambda text: tokenizer.encode(text, add_special_tokens=False)
-        self.first = _Pieces(self.encode_whole, "", self.dtype, limit // 4)
-        self.after = _Pieces(self.encode_whole, " ", self.dtype, limit)
+        self.dtype, self.limit = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"), limit
+        self.encode_whole = lambda text, cut=False: tokenizer.encode(text, is_pretokenized=cut, add_special_tokens=False)
+        self.first = _Pieces(self.encode_whole, "", self.dtype)
+        self.after = _Pieces(self.encode_whole, " ", self.dtype)
         self.after.plain = self.first
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [bool(UNSAFE.search(t)) or any(s in t for s in self.special) for t in texts]
-        pieces = [None if w else t.split(" ") for t, w in zip(texts, whole)]
-        self._prime(pieces)
-        return [np.asarray(self.encode_whole(t).ids, self.dtype).tobytes() if p is None
-                else self.first[p[0]] + b"".join(map(self.after.__getitem__, p[1:]))
-                for t, p in zip(texts, pieces)]
-
-    def _prime(self, pieces: list) -> None:
-        seen: set[str] = set()
-        for p in pieces:
-            seen.update(p or ())
-        after, first = set(), set()
-        for piece in seen:
-            if piece in self.after or piece in self.after.older:
+        return self.encode_slice(pa.array(texts, pa.string())).to_pylist()
+
+    def encode_slice(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """The ids of each text (null: none) and ``end``, as binary."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, UNSAFE)
+        for mark in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, mark))
+        done = self._in_pieces(pc.if_else(whole, "", texts), end)
+        if not pc.any(whole).as_py():
+            return done
+        alone = [np.asarray(self.encode_whole(t.as_py()).ids, self.dtype).tobytes() + end if w else None
+                 for t, w in zip(texts, whole.to_pylist())]
+        return pc.if_else(whole, pa.array(alone, pa.large_binary()), done)
+
+    def _in_pieces(self, texts: pa.Array, end: bytes) -> pa.Array:
+        if not len(texts):
+            return pa.array([], pa.large_binary())
+        pieces = pc.split_pattern(texts, " ")
+        starts = pieces.offsets.to_numpy()
+        starts, flat = starts - starts[0], pieces.flatten()
+        docs = len(texts)
+        heads = np.zeros(len(flat), bool)
+        heads[starts[:-1]] = True
+        coded = flat.filter(pa.array(~heads)).dictionary_encode()
+        found = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        leads = flat.filter(pa.array(heads)).to_numpy(zero_copy_only=False).tolist()
+        self._prime(found)
+        # Entries: distinct pieces, the first piece of each text, the end.
+        entries = list(map(self.after.__getitem__, found)) + list(map(self.first.__getitem__, leads)) + [end]
+        at = np.arange(docs)
+        index = np.empty(len(flat) + docs, np.int64)
+        place = np.arange(len(flat)) + np.repeat(at, np.diff(starts))   # one end after each text before
+        index[place[~heads]] = coded.indices.to_numpy()
+        index[place[heads]] = len(found) + at
+        ends = starts[1:] + at
+        index[ends] = len(entries) - 1
+        bytes_of = pa.array(entries, pa.large_binary()).take(pa.array(index))
+        offsets = np.frombuffer(bytes_of.buffers()[1], np.int64, len(index) + 1)
+        cuts = np.concatenate([offsets[:1], offsets[ends + 1]])
+        counts = np.bincount(coded.indices.to_numpy(), minlength=len(found))
+        self.after.settle([found[i] for i in np.flatnonzero(counts > 1)], self.limit)
+        self.first.settle(leads[:self.limit], self.limit)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), docs, [None, pa.py_buffer(cuts), bytes_of.buffers()[2]])
+
+    def _prime(self, found: list[str]) -> None:
+        """Encode what new distinct pieces are made of, many in one call."""
+        known, words, marked, odd, lines = self.after, [], set(), [], set()
+        for piece in found:
+            if piece in known:
                 continue
-            cut = broken_line(piece)
-            for part, known, new in ((cut[1], self.after, after), (cut[2], self.first, first)) if cut else (
-                    (piece, self.after, after),):
-                word = part[:-1] if part[-1:] in MARKS else part
-                if word.isalpha() and word not in known and word not in known.older:
-                    new.add(word)
-        for known, new in ((self.after, sorted(after)), (self.first, sorted(first))):
-            for at in range(0, len(new), 1000):
-                known.prime(new[at:at + 1000])
+            if piece.isalpha():
+                words.append(piece)
+            elif piece[-1:] in MARKS and piece[:-1].isalpha():
+                marked.add(piece[:-1])
+            elif cut := broken_line(piece):
+                for part, new in ((cut[1], marked), (cut[2], lines)):
+                    word = part[:-1] if part[-1:] in MARKS else part
+                    if word.isalpha():
+                        new.add(word)
+            else:
+                odd.append(piece)
+        marked.difference_update(words, known)
+        for pieces, new in ((known, [*words, *marked]), (self.first, list(lines.difference(self.first)))):
+            for at in range(0, len(new), 500):
+                pieces.prime(new[at:at + 500])
+        for at in range(0, len(odd), 1000):
+            known.prime_apart(odd[at:at + 1000])
 
 
 _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder, with its cache, per worker process."""
+    """One encoder, with the pieces it keeps, per worker process."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
-def _tokenize(path: str, end_id: int):
+def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Views of a batch of about SLICE_BYTES of text, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    total, at = np.cumsum(sizes), 0
+    while at < len(batch):
+        before = total[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(total, before + SLICE_BYTES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _tokenize(path: str, end_id: int, bounds: list[int]):
+    schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("ids", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         end = np.asarray([end_id], enc.dtype).tobytes()
+        points = np.asarray(bounds, np.int64)
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.slice(at, 1000)
-                coded = enc.encode([t or "" for t in part.column("text").to_pylist()])
+            for part in text_slices(batch, "text"):
+                ids = part.column("doc_id")
+                bucket = np.searchsorted(points, pc.fill_null(ids, -(1 << 63)).to_numpy(), "right")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("bucket"), part.column("doc_id"), pa.array([c + end for c in coded], pa.binary())],
-                    names=["bucket", "doc_id", "ids"])
+                    [pa.array(bucket, pa.int32()), ids, enc.encode_slice(part.column("text"), end).cast(pa.binary())],
+                    schema=schema)
 
     return run
 
 
+def range_starts(docs: DataFrame, column: str, ranges: int) -> list[int]:
+    """Ascending first values of at most ``ranges`` contiguous ranges of an integer column, but for the
+    first range: Spark deals the column alone into ranges, and the driver holds their smallest values."""
+    if ranges < 2:
+        return []
+    dealt = docs.select(column).where(F.col(column).isNotNull()).repartitionByRange(ranges, column)
+    least = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(column).alias("least")).collect()
+    return sorted({r.least for r in least})[1:]
+
+
 def _write(folder: str, width: int):
     schema = pa.schema([("bucket", pa.int32()), ("file", pa.string()), ("docs", pa.int64()),
                         ("ids", pa.int64()), ("bytes", pa.int64())])
@@ -180,7 +258,7 @@ def _write(folder: str, width: int):
             out.commit()
             return [{"bucket": bucket, "file": out.name, "docs": len(ends), "ids": at, "bytes": out.size}]
 
-        for batch in batches:
+        for batch in slices(batches):
             done = []
             for b, doc_id, ids in zip(*[batch.column(c).to_pylist() for c in ("bucket", "doc_id", "ids")]):
                 if b != bucket:
@@ -204,13 +282,11 @@ def _write(folder: str, width: int):
 
 def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> DataFrame:
     """Write ``docs`` (doc_id, text) to ``folder`` in ascending doc_id order; returns the manifest."""
-    docs = docs.select("doc_id", "text")
-    buckets = int(min(MAX_BUCKETS, max(docs.sparkSession.sparkContext.defaultParallelism,
-                                       -(-docs.count() // DOCS_PER_FILE))))
-    bounds = id_bounds(docs, "doc_id", buckets)
-    ids = (docs.select(bucket_of(F.col("doc_id"), bounds).alias("bucket"), F.col("doc_id").cast("long"), "text")
-           .mapInArrow(_tokenize(tokenizer, end_id), "bucket int, doc_id long, ids binary")
-           .repartition(buckets, "bucket").sortWithinPartitions("bucket", "doc_id", "ids"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    buckets = int(max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.count() // DOCS_PER_FILE)))
+    bounds = range_starts(docs, "doc_id", buckets)
+    ids = (docs.mapInArrow(_tokenize(tokenizer, end_id, bounds), "bucket int, doc_id long, ids binary")
+           .repartitionById(len(bounds) + 1, "bucket").sortWithinPartitions("bucket", "doc_id", "ids"))
     width = Encoder(tokenizer).dtype.itemsize
     return materialize(ids.mapInArrow(_write(folder, width), MANIFEST), "ids-manifest")
 
@@ -269,8 +345,9 @@ def _read(folder: str):
 def read_token_ids(manifest: DataFrame, folder: str) -> DataFrame:
     """Per document of the files that the manifest names: doc_id, start, n_tokens, ids_crc32."""
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    files = manifest.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return files.repartition(max(1, min(MAX_BUCKETS, manifest.count())), "file").mapInArrow(
+    files = manifest.select("file", "bucket", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
+    last = manifest.agg(F.max("bucket")).first()[0] or 0
+    return files.repartitionById(last + 1, "bucket").select("file", "base").mapInArrow(
         _read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
