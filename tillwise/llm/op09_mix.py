@@ -36,6 +36,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 DOCS_PER_RANGE = 20_000
 MAX_RANGES = 4096
 ROUNDS = 4
+SLOT_TASKS = 100_000
 
 
 def n_words(text: Column) -> Column:
@@ -142,9 +143,23 @@ def draw_shard(shard: int, shards: int, per_shard: int, totals: np.ndarray, seed
     return before, counts
 
 
+def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` draws without replacement are good, of any size: the probabilities around the
+    mode relative to each other (their ratios are exact), out to where the rest is below 1e-30."""
+    low, high, total = max(0, n - bad), min(good, n), good + bad
+    mode = min(max((n + 1) * (good + 1) // (total + 2), low), high)
+    p = good / total
+    spread = int(12 * (n * p * (1 - p) * (total - n) / max(total - 1, 1)) ** 0.5) + 40
+    k = np.arange(max(low, mode - spread), min(high, mode + spread) + 1)
+    at = k[:-1].astype(np.float64)
+    steps = np.log(good - at) + np.log(n - at) - np.log(at + 1) - np.log(bad - n + at + 1)
+    weights = np.concatenate([[0.0], np.cumsum(steps)])
+    upto = np.cumsum(np.exp(weights - weights.max()))
+    return int(k[min(np.searchsorted(upto, rng.random() * upto[-1], "right"), len(k) - 1)])
+
+
 def _split(counts: np.ndarray, n: int, seed: list[int]) -> np.ndarray:
-    """Multivariate hypergeometric draw by its marginals (numpy's sampler is limited to 1e9 items,
-    beyond which the binomial-like marginal is drawn as a rounded normal)."""
+    """Multivariate hypergeometric draw by its marginals."""
     rng, out, left = np.random.default_rng(seed), np.zeros_like(counts), int(counts.sum())
     for i, c in enumerate(counts.tolist()):
         others = left - c
@@ -152,12 +167,8 @@ def _split(counts: np.ndarray, n: int, seed: list[int]) -> np.ndarray:
             take = 0
         elif others == 0:
             take = n
-        elif left < 1_000_000_000:
-            take = int(rng.hypergeometric(c, others, n))
         else:
-            p = c / left
-            sd = (n * p * (1 - p) * (left - n) / max(left - 1, 1)) ** 0.5
-            take = int(np.clip(round(rng.normal(n * p, sd)), max(0, n - others), min(c, n)))
+            take = _hypergeometric(rng, c, others, n)
         out[i], n, left = take, n - take, others
     return out
 
@@ -219,9 +230,11 @@ def mix(docs: DataFrame, block: int = 1024, shard_blocks: int = 1024, max_epochs
 
     total_slots = sum(p.slots for p in plans)
     shards = -(-total_slots // shard_blocks)
-    slots = spark.range(shards).repartition(max(1, min(shards, 4096))).mapInArrow(
+    # Written first: the planner takes what tasks make for as small as the shard numbers they start from,
+    # and would broadcast it at any size.
+    slots = materialize(spark.range(shards).repartition(max(1, min(shards, SLOT_TASKS))).mapInArrow(
         _slots(plans, shards, shard_blocks, seed),
-        "shard long, slot long, sid long, epoch long, block long, words long")
+        "shard long, slot long, sid long, epoch long, block long, words long"), "mix-slots")
     held = (sized.where("size > 0").select(
         "k", "copy", "sid", "size", "at",
         F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block))).alias("block")))
