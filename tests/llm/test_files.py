@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import random
 import zlib
 
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.odd import odd
+from tests.llm.odd import PASSAGE, odd
 from tillwise.llm import op05_token_ids as ids
 from tillwise.llm import op07_warc as warc
 from tillwise.llm import op09_mix as mixing
@@ -197,4 +198,54 @@ def test_pipeline_stages_on_odd_documents(spark):
             out = stage(spark, docs, folder)
             assert out.columns == docs.columns and out.count() <= docs.count() * 3
     alone = corpus_pipeline.one_per_group(spark, odd(spark), folder)
-    assert sorted((r.doc_id for r in alone.collect() if r.doc_id is not None)) == [-5, 1, 4, 5, 6, 7, 9, 11, 12, 13, 2 ** 40]
+    assert sorted((r.doc_id for r in alone.collect() if r.doc_id is not None)) == [-5, 1, 4, 5, 6, 7, 9, 11, 12, 12, 13, 2 ** 40]
+    assert [r.text for r in alone.collect() if r.doc_id is None] == [None]
+    again = corpus_pipeline.one_per_group(spark, odd(spark).repartition(7), folder)
+    assert sorted(map(str, alone.collect())) == sorted(map(str, again.collect()))
+
+
+def test_rows_that_share_an_id_go_only_if_a_near_duplicate_stays(spark):
+    rows = [(1, PASSAGE), (1, "another text"), (1, "a third text"), (2, PASSAGE + " more"), (2, "not a copy"),
+            (None, "no id"), (None, "no id"), (None, PASSAGE), (3, ""), (3, "")]
+    kept = corpus_pipeline.one_per_group(spark, odd(spark, rows), "")
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, PASSAGE), (1, "another text"), (1, "a third text"), (2, "not a copy"), (None, "no id"), (3, ""), (3, "")], key=str)
+    lone = corpus_pipeline.one_per_group(spark, odd(spark, [(5, PASSAGE), (5, PASSAGE + " more")]), "")
+    assert lone.count() == 1
+
+
+def test_whole_pipeline_on_odd_and_empty_tables(spark):
+    for rows in (None, []):
+        folder = scratch(spark, "test-tables")
+        for name in ("labels", "benchmark"):
+            whole = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+            (whole if rows is None else whole.limit(0)).write.parquet(f"{folder}/{name}.parquet")
+        odd(spark, rows).write.parquet(f"{folder}/documents.parquet")
+        found = sorted(map(tuple, corpus_pipeline.run(spark, folder).collect()), key=str)
+        assert found == sorted(map(tuple, corpus_pipeline.run(spark, folder).collect()), key=str)
+        assert bool(found) == (rows is None)
+
+
+def test_draws_follow_the_hypergeometric_law_at_any_size():
+    rng = np.random.default_rng(8)
+    good, bad, n = 7, 9, 6
+    drawn = np.bincount([mixing._hypergeometric(rng, good, bad, n) for _ in range(20_000)], minlength=n + 1) / 20_000
+    law = [math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n) for k in range(n + 1)]
+    assert np.abs(drawn - law).max() < 0.015
+    for good, bad, n in ((3 * 10 ** 9, 10 ** 9, 2 * 10 ** 9), (5, 10 ** 12, 10 ** 11), (10 ** 12, 5, 10 ** 12)):
+        p, total = good / (good + bad), good + bad
+        sd = (n * p * (1 - p) * (total - n) / (total - 1)) ** 0.5
+        draws = np.array([mixing._hypergeometric(rng, good, bad, n) for _ in range(60)], float)
+        assert abs(draws.mean() - n * p) <= 5 * sd / 60 ** 0.5 + 1e-9 and draws.std() <= 2 * sd + 1e-9
+        assert draws.min() >= max(0, n - bad) and draws.max() <= min(good, n)
+
+
+def test_slots_are_never_broadcast_by_an_estimate(spark):
+    docs = spark.createDataFrame([(i, "w " * 400, "a") for i in range(600)], "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        _, pieces = mixing.mix(docs, block=1, shard_blocks=64)
+        assert "BroadcastHashJoin" not in pieces._jdf.queryExecution().optimizedPlan().toString()
+        assert "SortMergeJoin" in pieces._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
