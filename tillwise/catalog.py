@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame
 from tillwise.operators import descriptive as d
 from tillwise.operators import diagnostic as g
 from tillwise.operators import distribution as v
+from tillwise.operators import forecast as f
+from tillwise.operators import maintained as m
 from tillwise.operators import retention as r
 from tillwise.operators import strategic as s
 from tillwise.operators import timeline as w
+from tillwise.sources.partitioned import by_month
 from tillwise.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -61,4 +64,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "transit_peaks": w.transit_peaks,
     "cohort_retention": r.cohort_retention,
     "period_changes": r.period_changes,
+    # stored layouts and results, forecasts
+    "slow_movers_by_month": lambda t: g.slow_movers(by_month(t)),
+    "unsold_products_by_month": lambda t: g.unsold_products(by_month(t)),
+    "maintained_totals": m.maintained_totals,
+    "category_forecast": f.category_forecast,
 }

@@ -21,6 +21,7 @@ from tillwise.plans.facts import (
 from tillwise.plans.ordering import global_order, ntile_of
 from tillwise.plans.regions import orders_with_region, supplier_regions, to_regions
 from tillwise.plans.spine import calendar_spine
+from tillwise.sources.partitioned import last_month, since
 from tillwise.sources.tables import Tables
 
 
@@ -31,7 +32,7 @@ def order_months(t: Tables) -> DataFrame:
 
 def latest_order_date(t: Tables) -> Column:
     """The last sale date in the data, as a scalar subquery (evaluated once, inside the plan)."""
-    return t.orders.select(F.max(as_date("o_orderdate"))).scalar()
+    return last_month(t.orders).select(F.max(as_date("o_orderdate"))).scalar()
 
 
 def earliest_order_date(t: Tables) -> Column:
@@ -133,7 +134,14 @@ def repeat_rate_by_region(t: Tables, min_orders: int = 2) -> DataFrame:
 def recent_orders(t: Tables, days: int) -> DataFrame:
     """Orders in the ``days`` days ending at the latest sale date (inclusive)."""
     latest = latest_order_date(t)
-    return order_dates(t).where(F.col("order_date") > F.date_sub(latest, days)).select("o_orderkey")
+    return order_dates(recent_tables(t, days)).where(F.col("order_date") > F.date_sub(latest, days)).select("o_orderkey")
+
+
+def recent_tables(t: Tables, days: int) -> Tables:
+    """``t`` with orders and lines from the month in which the last ``days`` days begin, if they are
+    laid out by month; else ``t``."""
+    first = F.date_sub(latest_order_date(t), days - 1)
+    return t.replace(orders=since(t.orders, first), lineitem=since(t.lineitem, first))
 
 
 def slow_movers(t: Tables, days: int = 90, tiles: int = 4) -> DataFrame:
@@ -141,7 +149,7 @@ def slow_movers(t: Tables, days: int = 90, tiles: int = 4) -> DataFrame:
     then key); ``is_slow`` marks the lowest tile.  Unsold products count with zero units.
 
     The tile comes from an exact global position (:func:`global_order`)."""
-    totals = product_totals(t, recent_orders(t, days))
+    totals = product_totals(recent_tables(t, days), recent_orders(t, days))
     products = t.part.select("p_partkey", "p_name", F.col("p_type").alias("category"))
     joined = products.join(totals, products.p_partkey == totals.l_partkey, "left").select(
         "p_partkey", "p_name", "category",
@@ -177,7 +185,7 @@ def underperformers(t: Tables, factor: Decimal = Decimal("0.5")) -> DataFrame:
 def unsold_products(t: Tables, days: int = 90) -> DataFrame:
     """Products with no line in the recent window (anti-join against the distinct products
     sold, de-duplicated map-side before the exchange)."""
-    sold = (t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    sold = (recent_tables(t, days).lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
             .join(recent_orders(t, days), "o_orderkey", "left_semi")
             .select(F.col("l_partkey").alias("p_partkey")).distinct())
     return (t.part.join(sold, "p_partkey", "left_anti")

@@ -529,3 +529,43 @@ SELECT region, COUNT(*) FILTER (was AND is_now) AS kept, COUNT(*) FILTER (was AN
 FROM s LEFT JOIN cr ON c_custkey = o_custkey
 WHERE was OR is_now
 GROUP BY region"""
+
+SQL["slow_movers_by_month"] = SQL["slow_movers"]
+SQL["unsold_products_by_month"] = SQL["unsold_products"]
+
+SQL["maintained_totals"] = f"""
+WITH cr AS ({CUSTOMER_REGION}),
+f AS (SELECT year({ODATE}) AS year, {OMONTH} AS month, region, p_type AS category, {REV} AS revenue, {QTY} AS qty
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+      LEFT JOIN cr ON c_custkey = o_custkey LEFT JOIN part ON p_partkey = l_partkey)
+SELECT CASE GROUPING(year, month, region, category) WHEN 3 THEN 'month' WHEN 7 THEN 'year' WHEN 12 THEN 'region_category'
+       ELSE 'all' END AS grain, year, month, region, category, CAST(SUM(revenue) AS DECIMAL(28,4)) AS revenue,
+       CAST(SUM(qty) AS DECIMAL(28,4)) AS qty, COUNT(*) AS n_lines
+FROM f GROUP BY GROUPING SETS ((year, month), (year), (region, category), ()) HAVING COUNT(*) > 0"""
+
+# Normal equations in another form: the slope from deviations, row by row, of each month of the year.
+SQL["category_forecast"] = f"""
+WITH b AS (SELECT MIN({OMONTH}) AS first, CASE WHEN MAX({ODATE}) = last_day(MAX({ODATE})) THEN MAX({OMONTH})
+                  ELSE CAST(MAX({OMONTH}) - INTERVAL 1 MONTH AS DATE) END AS last FROM orders),
+r AS (SELECT p_type AS category, {OMONTH} AS month, SUM({REV}) AS revenue
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+m AS (SELECT CAST(unnest(generate_series(CAST(first AS TIMESTAMP), CAST(last AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month, first FROM b),
+s AS (SELECT c.category, m.month, CAST(date_diff('month', m.first, m.month) AS DOUBLE) AS t, month(m.month) AS season,
+             CAST(COALESCE(r.revenue, 0) AS DOUBLE) AS y
+      FROM (SELECT DISTINCT category FROM r) c CROSS JOIN m
+      LEFT JOIN r ON r.category IS NOT DISTINCT FROM c.category AND r.month = m.month),
+d AS (SELECT *, t - AVG(t) OVER w AS dt, y - AVG(y) OVER w AS dy, AVG(t) OVER w AS mt, AVG(y) OVER w AS my
+      FROM s WINDOW w AS (PARTITION BY category, season)),
+g AS (SELECT category, COALESCE(SUM(dt * dy) / NULLIF(SUM(dt * dt), 0), 0) AS slope, COUNT(*) AS n_months, MAX(t) AS last_t,
+             MAX(month) AS last FROM d GROUP BY category),
+l AS (SELECT d.category, season, ANY_VALUE(my - slope * mt) AS level FROM d JOIN g ON g.category IS NOT DISTINCT FROM d.category
+      GROUP BY d.category, season),
+e AS (SELECT d.category, sqrt(AVG((d.dy - slope * d.dt) ** 2)) AS rmse FROM d JOIN g ON g.category IS NOT DISTINCT FROM d.category
+      GROUP BY d.category),
+k AS (SELECT *, unnest([1, 2, 3]) AS ahead FROM g)
+SELECT k.category, CAST(k.last + to_months(CAST(ahead AS INTEGER)) AS DATE) AS month,
+       round(COALESCE((SELECT level FROM l WHERE l.category IS NOT DISTINCT FROM k.category
+                        AND l.season = month(k.last + to_months(CAST(k.ahead AS INTEGER)))),
+                      (SELECT AVG(level) FROM l WHERE l.category IS NOT DISTINCT FROM k.category)) + slope * (last_t + ahead), 2) AS forecast,
+       round(slope, 2) AS monthly_slope, round(rmse, 2) AS rmse, n_months
+FROM k JOIN e ON e.category IS NOT DISTINCT FROM k.category"""
