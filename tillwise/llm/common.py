@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +80,27 @@ def bucket_of(value: Column, bounds: list[int]) -> Column:
     return F.coalesce(F.size(F.filter(points, lambda p: p <= value)), F.lit(0))
 
 
+def range_starts(df: DataFrame, column: str, ranges: int) -> list[int]:
+    """Ascending first values of at most ``ranges`` contiguous ranges of an integer column, but for the
+    first range: Spark deals the column alone into ranges, and the driver holds their smallest values."""
+    if ranges < 2:
+        return []
+    dealt = df.select(column).where(F.col(column).isNotNull()).repartitionByRange(ranges, column)
+    least = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(column).alias("least")).collect()
+    return sorted({r.least for r in least})[1:]
+
+
+def range_of(ids: pa.Array, starts: np.ndarray) -> np.ndarray:
+    """The number of each id's range (null: the first), by binary search."""
+    return np.searchsorted(starts, pc.fill_null(ids, -(1 << 63)).to_numpy(zero_copy_only=False), "right").astype(np.int32)
+
+
+def range_number(column: str, starts: list[int]) -> Column:
+    """:func:`range_of` as a column; only the ids go to Python."""
+    points = np.asarray(starts, np.int64)
+    return F.arrow_udf(lambda ids: pa.array(range_of(ids, points), pa.int32()), "int")(F.col(column).cast("long"))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable id of every vertex of an undirected graph ``(a, b)``: rows (id, root).
 

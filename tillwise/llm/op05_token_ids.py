@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import materialize, scratch, slices, table
+from tillwise.llm.common import materialize, range_of, range_starts, scratch, slices, table
 from tillwise.llm.elias_fano import EliasFano
 from tillwise.llm.files import AtomicFile, filesystem
 
@@ -225,7 +225,7 @@ def _tokenize(path: str, end_id: int, bounds: list[int]):
         for batch in batches:
             for part in text_slices(batch, "text"):
                 ids = part.column("doc_id")
-                bucket = np.searchsorted(points, pc.fill_null(ids, -(1 << 63)).to_numpy(), "right")
+                bucket = range_of(ids, points)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket, pa.int32()), ids, enc.encode_slice(part.column("text"), end).cast(pa.binary())],
                     schema=schema)
@@ -233,16 +233,6 @@ def _tokenize(path: str, end_id: int, bounds: list[int]):
     return run
 
 
-def range_starts(docs: DataFrame, column: str, ranges: int) -> list[int]:
-    """Ascending first values of at most ``ranges`` contiguous ranges of an integer column, but for the
-    first range: Spark deals the column alone into ranges, and the driver holds their smallest values."""
-    if ranges < 2:
-        return []
-    dealt = docs.select(column).where(F.col(column).isNotNull()).repartitionByRange(ranges, column)
-    least = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(column).alias("least")).collect()
-    return sorted({r.least for r in least})[1:]
-
-
 def _write(folder: str, width: int):
     schema = pa.schema([("bucket", pa.int32()), ("file", pa.string()), ("docs", pa.int64()),
                         ("ids", pa.int64()), ("bytes", pa.int64())])

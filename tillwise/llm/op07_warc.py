@@ -26,17 +26,16 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import bucket_of, id_bounds, materialize, scratch, table
+from tillwise.llm.common import materialize, range_number, range_starts, scratch, slices, table
 from tillwise.llm.files import AtomicFile, filesystem
 
 MANIFEST = "bucket int, seq int, file string, records long, bytes long, sha256 string"
 RECORDS = ("file string, page_id long, url string, payload_bytes long, payload_digest string, "
            "record_type string, refers_to long, payload binary")
 BUCKET_BYTES = 32 << 20
-MAX_BUCKETS = 4096  # parallelism only: beyond it buckets grow, and they are streamed
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -87,7 +86,7 @@ def _writer(folder: str, roll_bytes: int, min_revisit: int, date: str, level: in
                 out, seq, records = None, seq + 1, 0
 
         page, refs, seen = object(), {}, {}
-        for batch in batches:
+        for batch in slices(batches, 100):
             for row in zip(*[batch.column(c).to_pylist() for c in ("bucket", "page_id", "is_page", "url",
                                                                    "html", "digest", "first")]):
                 b, page_id, is_page, url, html, ref_digest, first = row
@@ -139,15 +138,14 @@ def write_warc(pages: DataFrame, folder: str, roll_bytes: int = 64 << 20, min_re
               .select("digest", "first"))
     refs = ids.where(F.col("n") >= min_revisit).join(firsts, "digest").select("page_id", "digest", "first")
     total = ids.agg(F.sum(F.col("n") * F.col("rows"))).first()[0] or 0
-    buckets = int(min(MAX_BUCKETS, max(pages.sparkSession.sparkContext.defaultParallelism,
-                                       -(-total // BUCKET_BYTES))))
-    bounds = id_bounds(ids, "page_id", buckets)
+    buckets = int(max(pages.sparkSession.sparkContext.defaultParallelism, -(-total // BUCKET_BYTES)))
+    starts = range_starts(ids, "page_id", buckets)
     rows = pages.select("page_id", F.lit(True).alias("is_page"), "url", "html",
                         F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("first"))
     notes = refs.select("page_id", F.lit(False).alias("is_page"), F.lit(None).cast("string").alias("url"),
                         F.lit(None).cast("string").alias("html"), "digest", "first")
-    sorted_rows = (rows.union(notes).withColumn("bucket", bucket_of(F.col("page_id"), bounds))
-                   .repartition(buckets, "bucket")
+    sorted_rows = (rows.union(notes).withColumn("bucket", range_number("page_id", starts))
+                   .repartitionById(len(starts) + 1, "bucket")
                    .sortWithinPartitions("bucket", "page_id", "is_page", "url", "html"))
     written = sorted_rows.mapInArrow(_writer(folder, roll_bytes, min_revisit, date, level), MANIFEST)
     return materialize(written, "warc-manifest")
@@ -208,8 +206,9 @@ def _reader(folder: str, keep_payload: bool):
 
 def read_warc(manifest: DataFrame, folder: str, keep_payload: bool = True) -> DataFrame:
     """Records of the files that the manifest names, each verified against its digests."""
-    files = manifest.select("file", "records")
-    return files.repartition(max(1, min(MAX_BUCKETS, files.count())), "file").mapInArrow(
+    files = manifest.count()
+    numbered = manifest.select("file", "records", (F.row_number().over(Window.orderBy("bucket", "seq")) - 1).alias("no"))
+    return numbered.repartitionById(max(1, files), "no").select("file", "records").mapInArrow(
         _reader(folder, keep_payload), RECORDS)
 
 
