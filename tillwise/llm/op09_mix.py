@@ -30,11 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import bucket_of, id_bounds, materialize, table
+from tillwise.llm.common import materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 DOCS_PER_RANGE = 20_000
-MAX_RANGES = 4096
 ROUNDS = 4
 SLOT_TASKS = 100_000
 
@@ -208,9 +207,8 @@ def mix(docs: DataFrame, block: int = 1024, shard_blocks: int = 1024, max_epochs
     plans = [Plan(r.sid, r.source_size, r.target, block, seed) for r in targets.orderBy("sid").collect()]
 
     # Offset of each document in the stream of its source.
-    ranges = int(min(MAX_RANGES, max(spark.sparkContext.defaultParallelism, -(-base.count() // DOCS_PER_RANGE))))
-    bounds = id_bounds(base, "doc_id", ranges)
-    placed = (base.withColumn("range", bucket_of(F.col("doc_id"), bounds))
+    ranges = int(max(spark.sparkContext.defaultParallelism, -(-base.count() // DOCS_PER_RANGE)))
+    placed = (materialize(base.repartitionByRange(ranges, "doc_id").withColumn("range", F.spark_partition_id()), "mix-ranges")
               .join(targets.select(F.col("source").alias("s"), "source_size", "target", "sid"),
                     F.col("source").eqNullSafe(F.col("s"))).drop("s"))
     totals = placed.groupBy("sid", "range").agg(F.sum("size").alias("words"))
