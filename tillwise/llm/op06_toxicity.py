@@ -8,8 +8,7 @@ doc_id) is broadcast to the documents.  Features are whole words and word beginn
 letters; for each, the numbers of toxic and other texts that hold it are counted with map-side
 combining (equal texts once).  A feature enters the lexicon if the likelihood gain of its toxic share
 over the base rate exceeds the log of the number of features tried, so chance finds stay out, and if
-no shorter entry says the same.  Its weight is its smoothed log odds; at most ``lexicon_rows`` entries
-are kept.  Exception phrases (a match with the word before or after it) are learned likewise from
+no shorter entry says the same.  Its weight is its smoothed log odds; all that pass are kept.  Exception phrases (a match with the word before or after it) are learned likewise from
 matches in texts labelled clean; a match inside one counts nothing.  The score is a logistic function
 of the summed weights and of that sum over the text's length.
 
@@ -111,10 +110,14 @@ def phrases(folded: str, start: int) -> list[str]:
     end = start
     while end < len(folded) and _letter(folded[end]):
         end += 1
-    before = WORD.findall(folded[max(0, start - 40):start])
-    after = WORD.findall(folded[end:end + 40])
-    word = folded[start:end]
-    return ([f"{before[-1]} {word}"] if before else []) + ([f"{word} {after[0]}"] if after else [])
+    last = start
+    while last and not _letter(folded[last - 1]):
+        last -= 1
+    first = last
+    while first and _letter(folded[first - 1]):
+        first -= 1
+    word, after = folded[start:end], WORD.search(folded, end)
+    return ([f"{folded[first:last]} {word}"] if last else []) + ([f"{word} {after[0]}"] if after else [])
 
 
 class Matcher:
@@ -186,14 +189,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_rows: int = 40_000, lexicon_rows: int = 2_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label_rows: int = 40_000) -> Model:
     """Learn from ``labels`` (doc_id, toxic) of ``docs`` (doc_id, text); rows whose crc32(doc_id) mod 5
-    is 0, or without a label, are never looked at."""
+    is 0, or without a label, are never looked at.  A label is that of one text: of several under its
+    doc_id, the one with the smallest hash.  So at most ``label_rows`` texts are learned from, and what
+    the driver gathers (features and phrases that pass, a sum and a length per text) is bounded by them."""
     wanted = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(label_rows))
     rows = materialize(docs.select("doc_id", "text").where(F.col("text").isNotNull())
-                       .join(F.broadcast(wanted), "doc_id").select("text", "toxic"), "toxic-rows")
+                       .join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "toxic")
+                       .agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+                       .select("text", "toxic"), "toxic-rows")
     base = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = base.get(1, 0), sum(n for label, n in base.items() if label != 1)
     if not n_toxic or not n_clean:
@@ -208,8 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, label_rows: int = 40_000, lexicon_
             + F.when(F.col("n") > 0, F.col("n") * F.log((1 - share) / (1 - rate))).otherwise(0.0))
     tried = counts.agg(F.count("*")).first()[0]
     best = (counts.where((F.col("t") >= 2) & (share > 0.5) & (share > 2 * rate)).withColumn("gain", gain)
-            .where(F.col("gain") > math.log(max(tried, 2)))
-            .orderBy(F.desc("gain"), F.length("feature"), "feature").limit(4 * lexicon_rows).collect())
+            .where(F.col("gain") > math.log(max(tried, 2))).collect())
     # Of nested entries that say the same, the most specific one: "pathetic", not "path".
     longest: dict[str, int] = {}
     for r in best:
@@ -225,10 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, label_rows: int = 40_000, lexicon_
             continue
         pure[r.feature] = purity
         weights[r.feature] = math.log((r.t + 0.5) / (r.n + 0.5) * (n_clean + 1) / (n_toxic + 1))
-    order = {r.feature: -r.gain for r in best}
-    kept = sorted(weights, key=lambda f: (order[f], f))[:lexicon_rows]
-    model = Model({f: weights[f] for f in kept})
-    return _calibrate(rows, model, rate)
+    return _calibrate(rows, Model(weights), rate)
 
 
 def _calibrate(rows: DataFrame, model: Model, rate: float) -> Model:
