@@ -212,3 +212,52 @@ def test_exception_phrases_and_odd_documents(spark):
         assert scored.count() == 19 and scored.select("row.*").columns == docs.columns
         assert scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
     assert toxicity.score(odd(spark, []), model).count() == 0
+
+
+def plain_find(text, model):
+    """Every entry tried at every word beginning, the longest kept; whole neighbour words by hand."""
+    folded, found = toxicity.fold(text), []
+    for start in range(len(folded)):
+        if start and folded[start - 1].isalpha():
+            continue
+        best = None
+        for entry, weight in model.weights.items():
+            letters, end = entry.removesuffix("$"), start + len(entry.removesuffix("$"))
+            if folded[start:end] != letters or entry.endswith("$") and end < len(folded) and folded[end].isalpha():
+                continue
+            if best is None or best[1] < end:
+                best = (start, end, entry, weight)
+        if best:
+            words = [(m.start(), m[0]) for m in toxicity.WORD.finditer(folded)]
+            at = [s for s, _ in words].index(start)
+            near = [f"{words[at - 1][1]} {words[at][1]}"] if at else []
+            near += [f"{words[at][1]} {words[at + 1][1]}"] if at + 1 < len(words) else []
+            if not set(near) & model.exceptions:
+                found.append(best)
+    return found
+
+
+def test_matches_and_scores_equal_a_plain_scan(spark):
+    model = toxicity.Model({"idio": 2.0, "idiot$": 1.5, "fool$": 1.0, "foolish": 0.7, "pathetic": 3.0, "ab": 0.25, "nasty": 1.25},
+                      {"april fool", "nasty weather", "extraordinarily" * 4 + " idiots"}, (-2.0, 1.0, 3.0))
+    rng = random.Random(11)
+    pool = ["idiot", "1d10ts", "fool", "f00l!", "foolish", "April", "nasty", "weather", "pathetic,", "abba", "xab", "аb", "4b", "é",
+            "extraordinarily" * 4, "idiots", "--", " " * 60, "\n", "word"]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["", "idiot", "nasty weather"]
+    for text in texts:
+        assert toxicity.find_matches(text, model) == plain_find(text, model), text
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.score(df, model).collect():
+        text = texts[r.row.doc_id]
+        found = plain_find(text, model)
+        z = -2.0 + math.log1p(sum(m[3] for m in found)) + 3.0 * sum(m[3] for m in found) / (len(text.split()) + 20)
+        assert r.n_matches == len(found) and abs(r.score - 1 / (1 + math.exp(-z))) < 1e-12
+
+
+def test_a_label_is_that_of_one_text(spark):
+    docs = spark.createDataFrame([(1, f"clean text number {i}") for i in range(50)] + [(2, "vile filth"), (3, "vile")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, toxic int")
+    one = toxicity.train(docs, labels)
+    again = toxicity.train(docs.repartition(5), labels.union(labels))
+    assert one == again
