@@ -39,8 +39,8 @@ def test_sort_merge_plans_match_oracle(spark, sf0001, name, adaptive):
         with contextlib.redirect_stdout(buf := io.StringIO()):
             df.explain()
         # Hinted sides are bounded by their query: slice offsets, the values of a top k.
-        hinted = {"pareto_products", "pareto_customers", "slow_movers", "customer_rank_family",
-                  "top_products", "top_customers_by_orders"}
+        hinted = {"pareto_products", "pareto_customers", "slow_movers", "slow_movers_by_month", "customer_rank_family",
+                  "top_products", "top_customers_by_orders", "last_shipment_price"}
         if name not in hinted:
             assert "BroadcastHashJoin" not in buf.getvalue()
         res = compare(df, con, entry.oracle_sql()[name])

@@ -138,14 +138,21 @@ def customer_profit(t: Tables, cost_ratio: Decimal = DEFAULT_COST_RATIO,
     """Per customer with orders: revenue, cost, lines without a known cost and, with ``dates``, the
     number of orders (all rows of ``orders``, with or without lines) and the first order date.
 
-    Lines meet their orders, are reduced to (product, customer) and only then meet the product
-    table; order counts and dates come from ``orders`` alone.  Orders without a customer are one
-    group with a null key."""
-    customers = t.orders.select("o_orderkey", "o_custkey")
-    lines = dated_lines(t, line_measures(t), ["qty", "revenue", "n_lines"], carry=("l_partkey",),
-                        orders=customers)
-    totals = per_product(lines, ["o_custkey"], ["qty", "revenue", "n_lines"])
-    money = costed(totals, t, ["o_custkey"], ["revenue"], cost_ratio)
+    A customer seldom buys a product twice, so summing lines per (product, customer) would shuffle about
+    all of them again.  Instead cost, which is additive, is found at the line: lines meet the product
+    table (AQE splits a hot product's lines, as nothing is grouped by it), are summed to their order, and
+    only orders travel on to the customers.  Order counts and dates come from ``orders`` alone.  Orders
+    without a customer are one group with a null key."""
+    costs = product_costs(t, cost_ratio).select("p_partkey", "unit_cost")
+    lines = line_measures(t).select("l_orderkey", "l_partkey", "qty", "revenue")
+    cost = exact(F.col("qty"), FACTOR_UNITS) * F.col("unit_cost")
+    per_order = (lines.join(costs, lines.l_partkey == costs.p_partkey, "left").groupBy("l_orderkey").agg(
+        F.sum("revenue").alias("revenue"), F.sum(cost).alias("cost"),
+        F.sum(F.when(F.col("unit_cost").isNull(), 1).otherwise(0)).cast("bigint").alias("uncosted_lines")))
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    money = (orders.join(per_order, orders.o_orderkey == per_order.l_orderkey).groupBy("o_custkey").agg(
+        F.sum("revenue").alias("revenue"), F.coalesce(F.sum("cost"), F.lit(0)).cast(MONEY).alias("cost"),
+        F.sum("uncosted_lines").cast("bigint").alias("uncosted_lines")))
     if not dates:
         return money.select("o_custkey", F.col("revenue").cast(MONEY).alias("revenue"), "cost", "uncosted_lines")
     counts = order_dates(t).groupBy("o_custkey").agg(

@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EPOCH = F.lit("1970-01-01")
+EPOCH = "1970-01-01"
 
 
 def _bucket(day: Column, bucket_days: int) -> Column:
-    days = F.datediff(day, EPOCH.cast("date"))
+    days = F.datediff(day, F.lit(EPOCH).cast("date"))
     return F.floor(days / F.lit(bucket_days)).cast("int")
 
 
