@@ -45,6 +45,24 @@ def test_language_model_beats_its_base_on_held_out_documents(spark):
     check_base(docs, rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held) and all(r.score < 0 for r in rows)
+    found = {r.held_out: r.perplexity for r in lm.perplexity(scored).collect()}
+    base = {r.held_out: r.perplexity for r in lm.perplexity(scored, "base_score").collect()}
+    for side in (True, False):
+        mine = [r for r in rows if r.held_out == side]
+        assert abs(math.log10(found[side]) + sum(r.score for r in mine) / sum(r.n_tokens for r in mine)) < 1e-9
+        assert found[side] < base[side]
+
+
+def test_too_many_words_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(lm, "MAX_WORDS", 3)
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        lm.learn_words(docs)
+
+
+def test_same_scores_in_any_partitioning(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = lm.score_documents(docs).collect()
     again = {r.doc_id: r.score for r in lm.score_documents(docs.repartition(5)).collect()}
     assert all(abs(again[r.doc_id] - r.score) < 1e-6 * abs(r.score) for r in rows)
 
@@ -78,7 +96,7 @@ def test_model_probabilities_sum_to_one(spark):
     """Over all types that can follow a context: seen pairs and unseen ones."""
     docs = spark.createDataFrame([(i, "a b a c b a b" if i % 2 else "c a b d d") for i in range(30)], "doc_id bigint, text string")
     training = docs.withColumn("held", F.lit(False))
-    vocabulary, rare = lm.learn_words(training, 1 / 20)
+    vocabulary, rare = lm.learn_words(training)
     asked = lm.ask_documents(training, vocabulary, scratch(spark, "test-units"))
     pairs = lm.total_by_part(asked.where(F.col("kind") == lm.PAIR))
     model = lm.learn(pairs, rare, vocabulary)

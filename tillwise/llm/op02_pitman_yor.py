@@ -87,6 +87,9 @@ def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in words], pa.int64()), batch.column("c")], names=["h", "c"])
 
 
+MAX_WORDS = (1 << 31) - 2
+
+
 @dataclass
 class Vocabulary:
     """The numbers of training tokens and words, and the words: rows (h, id, c).  The start has the number
@@ -109,14 +112,16 @@ def base_score(c, tokens: int, distinct: int) -> np.ndarray:
     return np.log10((np.asarray(c) + 1.0) / (tokens + 1 * (distinct + 1)))
 
 
-def learn_words(training: DataFrame, word_share: float | None = None) -> tuple[Vocabulary, DataFrame]:
-    """The vocabulary and its words (h, id, c); every word counts, whatever its share (``word_share`` is
-    taken for older callers)."""
+def learn_words(training: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary and its words (h, id, c).  A pair of words is one 64-bit key, so a corpus of more
+    than ``MAX_WORDS`` distinct words is refused."""
     found = materialize(training.select("text").mapInArrow(_count_words, "word binary, c long")
                         .groupBy("word").agg(F.sum("c").alias("c")).mapInArrow(_hash_words, "h long, c long")
                         .groupBy("h").agg(F.sum("c").alias("c")), "lm-words")
     total = found.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = total.n or 0, total.v
+    if v > MAX_WORDS:
+        raise ValueError(f"{v} distinct words: a pair key holds {MAX_WORDS}")
     # Numbers in the order of the hashes: slices of equal width, and the place in the slice.
     bits = max(5, (v // 500_000).bit_length())
     cut = F.shiftright("h", 64 - bits)
