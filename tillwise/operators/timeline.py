@@ -45,12 +45,12 @@ def rolling_region_sales(t: Tables, days: int = 90) -> DataFrame:
 
 def last_shipment_price(t: Tables) -> DataFrame:
     """Each line with the unit price at which its product was last shipped before the line's order date:
-    the shipment's day, its price, and the days since; null for a product not shipped before.  Of a day's
+    the shipment's day, its price, and the days since; null for a product not shipped before, or not known.  Of a day's
     shipments of a product the one with the greatest (order, line number, price, quantity) counts."""
     lines = dated_lines(t, t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), [],
                         carry=("l_linenumber", "l_partkey"), orders=order_dates(t).select("o_orderkey", "order_date"))
     latest = F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
-    shipped = (t.lineitem.select("l_partkey", as_date("l_shipdate").alias("last_ship_date"), latest.alias("s"))
+    shipped = (t.lineitem.where(F.col("l_partkey").isNotNull()).select("l_partkey", as_date("l_shipdate").alias("last_ship_date"), latest.alias("s"))
                .groupBy("l_partkey", "last_ship_date").agg(F.max("s").alias("s")))
     price = F.try_divide(F.col("s.l_extendedprice"), F.col("s.l_quantity")).alias("last_unit_price")
     found = asof_join(lines, shipped.select("l_partkey", "last_ship_date", price), ["l_partkey"], "order_date",
