@@ -36,10 +36,12 @@ def row_key(*cols: str) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Small views of the batches, so that a task turns few texts at a time into Python objects."""
+    """Small views of the batches, so that a task turns few texts at a time into Python objects; after
+    each batch what Arrow holds unused goes back, as workers live on into later stages."""
     for batch in batches:
         for at in range(0, len(batch), rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -40,8 +40,8 @@ MANIFEST = "bucket int, file string, docs long, ids long, bytes long"
 TAIL = "<8sBQQQQ"  # magic, bytes an id, null doc ids, ids, bytes of: boundaries, doc ids
 MAGIC = b"EFIDS001"
 DOCS_PER_FILE = 20_000
-SLICE_BYTES = 12 << 20     # text split at a time
-KEPT_PIECES = 100_000     # repeated pieces kept from slice to slice
+SLICE_BYTES = 8 << 20      # text split at a time
+KEPT_PIECES = 50_000      # repeated pieces kept from slice to slice
 KEPT_CHARS = 32           # the longest of them
 
 SPACES = r"[\x00-\x20\x7f-\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # white space and controls
@@ -165,7 +165,8 @@ class Encoder:
         offsets = np.frombuffer(bytes_of.buffers()[1], np.int64, len(index) + 1)
         cuts = np.concatenate([offsets[:1], offsets[ends + 1]])
         counts = np.bincount(coded.indices.to_numpy(), minlength=len(found))
-        self.after.settle([found[i] for i in np.flatnonzero(counts > 1)], self.limit)
+        often = np.argsort(-counts, kind="stable")[:self.limit]   # the limit takes the most frequent
+        self.after.settle([found[i] for i in often[counts[often] > 1]], self.limit)
         self.first.settle(leads[:self.limit], self.limit)
         return pa.LargeBinaryArray.from_buffers(pa.large_binary(), docs, [None, pa.py_buffer(cuts), bytes_of.buffers()[2]])
 
@@ -213,6 +214,7 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         to = max(at + 1, int(np.searchsorted(total, before + SLICE_BYTES, "right")))
         yield batch.slice(at, to - at)
         at = to
+        pa.default_memory_pool().release_unused()
 
 
 def _tokenize(path: str, end_id: int, bounds: list[int]):

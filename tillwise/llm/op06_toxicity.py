@@ -161,7 +161,7 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in slices(batches):
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             (toxic if label else clean).update(features(fold(text)))
-            if len(toxic) + len(clean) > 300_000:
+            if len(toxic) + len(clean) > 150_000:
                 yield flush()
     yield flush()
 

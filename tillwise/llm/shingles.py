@@ -11,18 +11,22 @@ INVERSE = pow(BASE, -1, 1 << 64)
 PLACES = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                    0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
 
+KEPT = 1 << 20
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2**64, at least n of each."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for slot, factor in enumerate((BASE, INVERSE)):
-            steps = np.full(size, factor, np.uint64)
-            steps[0] = 1
-            _powers[slot] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
+    """Powers of BASE and of its inverse modulo 2**64, at least n of each; up to KEPT stay for the next text."""
+    if len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    found = []
+    for factor in (BASE, INVERSE):
+        steps = np.full(1 << (n - 1).bit_length(), factor, np.uint64)
+        steps[0] = 1
+        found.append(np.multiply.accumulate(steps))
+    if n <= KEPT:
+        _powers[:] = found
+    return found[0], found[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
