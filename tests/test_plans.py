@@ -79,7 +79,7 @@ def test_lines_are_summed_per_order_before_the_join(sf001_tables, sort_merge):
 
 
 @pytest.mark.parametrize("name", ["margin_trend", "margin_volume_corr", "category_growth",
-                                  "category_region_growth", "revenue_cube", "category_forecast"])
+                                  "category_region_growth", "revenue_cube", "customer_ltv", "category_forecast"])
 def test_products_meet_reduced_lines(sf001_tables, sort_merge, name):
     """The product table is never joined to raw lines: the join's other side is an aggregate per
     product."""
@@ -109,22 +109,6 @@ def test_per_entity_windows_run_over_reduced_rows(sf001_tables, fn, keys):
     assert window_at >= 0
 
 
-@pytest.mark.parametrize("name", ["customer_ltv", "pareto_customers"])
-def test_customers_are_reached_at_order_grain(sf001_tables, sort_merge, name):
-    """Lines are shuffled to their product and, with its cost, to their order; what goes on to the
-    customers is one row per order."""
-    import re
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        QUERIES[name](sf001_tables).explain()
-    lines = buf.getvalue().splitlines()
-    joins = [i for i, x in enumerate(lines) if "SortMergeJoin [o_orderkey" in x]
-    assert len(joins) <= 1 and not any(re.search(r"hashpartitioning\(l_partkey\S*, o_custkey", x) for x in lines)
-    if joins:   # pareto_customers shows its checkpoint instead
-        below = [x for x in lines[joins[0] + 1:] if "HashAggregate(keys=[l_orderkey" in x]
-        assert below
-
-
 def test_a_days_window_is_an_event_sweep(sf001_tables):
     """Rolling sales look back by entries and exits: every window runs over sums per region and day, or
     over a customer's distinct days; none has a frame of days."""
