@@ -140,41 +140,46 @@ def groups_of(values: np.ndarray, width: np.longdouble) -> list[np.ndarray]:
     return [g for g in np.split(order, cuts) if len(g) > 1]
 
 
+RESOLVED = 1e-9   # gaps below this share of the matrix are left to the clusters
+
+
 def refine(a: np.ndarray, x: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues and eigenvectors of the symmetric ``a`` from approximate eigenvectors ``x``.
 
     One iteration forms R = I - X'X and S = X'AX, takes the Rayleigh quotients, and corrects X by X E:
     E splits the residual by the gap of two eigenvalues where the gap is wider than the error bound, and
-    only restores orthogonality where it is not.  Those clusters are solved apart, shifted by their mean."""
+    only restores orthogonality where it is not.  R and S are kept symmetric, so E never spoils
+    orthogonality.  What is closer forms clusters; each is solved apart as a small problem, shifted by its
+    mean and scaled to its own spread, and its vectors are turned within the space that they span."""
     a, x = a.astype(np.longdouble), x.astype(np.longdouble)
     eye, scale = np.eye(len(a), dtype=np.longdouble), np.sqrt((a * a).sum())
     tiny, last = np.finfo(np.longdouble).eps, np.inf
 
     def quotients(x):
         r, s = eye - x.T @ x, x.T @ (a @ x)
+        r, s = (r + r.T) / 2, (s + s.T) / 2
         return r, s, np.diag(s) / (1 - np.diag(r))
 
     for _ in range(rounds):
         r, s, values = quotients(x)
         off = s - np.diag(values)
-        bound = 2 * (np.sqrt((off * off).sum()) + scale * np.sqrt((r * r).sum()))
+        bound = max(2 * (np.sqrt((off * off).sum()) + scale * np.sqrt((r * r).sum())), RESOLVED * scale)
         gap = values[None, :] - values[:, None]
         close = np.abs(gap) <= bound
         e = np.where(close, r / 2, (s + values[None, :] * r) / np.where(close, 1, gap))
         x = x + x @ e
-        clusters = groups_of(values, bound) if bound > 4 * len(a) * tiny * scale else []
-        for g in clusters:
+        for g in groups_of(values, bound):
+            inner = np.eye(len(g), dtype=np.longdouble)
             xg = x[:, g]
-            xg = xg + xg @ ((np.eye(len(g)) - xg.T @ xg) / 2)
             shift = values[g].mean()
             small = xg.T @ (a @ xg - shift * xg)
             size = np.abs(small).max()
-            if size > 0:
+            if size > tiny * scale:
                 _, turn = np.linalg.eigh(((small + small.T) / (2 * size)).astype(np.float64))
                 xg = xg @ turn.astype(np.longdouble)
-            x[:, g] = xg
+            x[:, g] = xg + xg @ ((inner - xg.T @ xg) / 2)
         change = np.abs(e).max(initial=0)
-        if not clusters and (change <= 8 * tiny or change >= last / 2 and change < 1e-15):
+        if change <= 8 * tiny or change >= last / 4 and change < 1e-12:
             break
         last = change
     _, _, values = quotients(x)
