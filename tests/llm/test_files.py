@@ -241,7 +241,7 @@ def test_draws_follow_the_hypergeometric_law_at_any_size():
 
 
 def test_slots_are_never_broadcast_by_an_estimate(spark):
-    docs = spark.createDataFrame([(i, "w " * 400, "a") for i in range(600)], "doc_id long, text string, source string")
+    docs = spark.createDataFrame([(i, "w " * 40, "a") for i in range(6_000)], "doc_id long, text string, source string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
     try:
         _, pieces = mixing.mix(docs, block=1, shard_blocks=64)
