@@ -40,8 +40,8 @@ MANIFEST = "bucket int, file string, docs long, ids long, bytes long"
 TAIL = "<8sBQQQQ"  # magic, bytes an id, null doc ids, ids, bytes of: boundaries, doc ids
 MAGIC = b"EFIDS001"
 DOCS_PER_FILE = 20_000
-SLICE_BYTES = 8 << 20      # text split at a time
-KEPT_PIECES = 50_000      # repeated pieces kept from slice to slice
+SLICE_BYTES = 16 << 20     # text split at a time
+KEPT_PIECES = 100_000     # repeated pieces kept from slice to slice
 KEPT_CHARS = 32           # the longest of them
 
 SPACES = r"[\x00-\x20\x7f-\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # white space and controls
@@ -189,8 +189,8 @@ class Encoder:
                 odd.append(piece)
         marked.difference_update(words, known)
         for pieces, new in ((known, [*words, *marked]), (self.first, list(lines.difference(self.first)))):
-            for at in range(0, len(new), 500):
-                pieces.prime(new[at:at + 500])
+            for at in range(0, len(new), 120):
+                pieces.prime(new[at:at + 120])
         for at in range(0, len(odd), 1000):
             known.prime_apart(odd[at:at + 1000])
 
