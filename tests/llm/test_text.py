@@ -1,5 +1,6 @@
 """Language model (2), personal data (3) and toxicity (6): brute force, held-out figures, odd inputs."""
 
+import hashlib
 import math
 import random
 import re
@@ -149,6 +150,19 @@ def test_an_address_part_of_thousands_of_zeros():
     assert pii.base_spans(text) == [("ip", 0, len(text))] and pii.is_ip("0.00.000.255") and not pii.is_ip("0256.1.1.1")
 
 
+def test_counts_are_those_of_base_spans(spark):
+    texts = ["a 4539148803436467 4485275742308327 b", "é +1 (826) 555-4081 190.137.223.204 x", "a@b.co 10.0.0.1", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.personal_data(docs, np.array(list(pii.PRIOR.values()))).collect()}
+    for i, text in enumerate(texts):
+        base = pii.base_spans(text or "")
+        kinds = [k for k, _, _ in base]
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [kinds.count(k) for k in pii.KINDS]
+        assert got[i].base_sha256 == hashlib.sha256(pii.join_spans(base).encode()).hexdigest()
+        assert len([x for x in got[i].spans.split(",") if x]) == len(base) + got[i].n_added
+    assert [got[i].n_added for i in range(5)] == [2, 1, 0, 0, 0]
+
+
 def test_best_spans_equal_the_best_of_all_segmentations():
     rng, w = random.Random(8), np.array(list(pii.PRIOR.values()))
     for _ in range(60):

@@ -362,16 +362,16 @@ def join_spans(spans: list[Span]) -> str:
 
 def _find(w: np.ndarray):
     schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS),
-                        ("base_sha256", pa.string()), ("spans", pa.string())])
+                        ("base_sha256", pa.string()), ("spans", pa.string()), ("n_added", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 base, spans = find_spans(text or "", w)
-                kinds = [k for k, _, _ in spans]
-                rows.append((doc_id, *(kinds.count(k) for k in KINDS),
-                             hashlib.sha256(join_spans(base).encode()).hexdigest(), join_spans(spans)))
+                kinds = [k for k, _, _ in base]
+                rows.append((doc_id, *(kinds.count(k) for k in KINDS), hashlib.sha256(join_spans(base).encode()).hexdigest(),
+                             join_spans(spans), len(spans) - len(base)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -379,10 +379,11 @@ def _find(w: np.ndarray):
 
 
 def personal_data(docs: DataFrame, w: np.ndarray) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): counts of all spans by kind, digest of the base spans, spans."""
+    """Per row of ``docs`` (doc_id, text): counts of the base spans by kind, their digest, all spans, and how
+    many of those the random field added."""
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _find(w), f"doc_id long, {counts}, base_sha256 string, spans string")
+        _find(w), f"doc_id long, {counts}, base_sha256 string, spans string, n_added long")
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
