@@ -141,6 +141,22 @@ def test_interval_join_equals_all_pairs_that_overlap(spark, width):
     assert found == want and found
 
 
+def test_interval_join_without_buckets_equals_one_with_them(spark):
+    rng = random.Random(11)
+    spans = lambda n: [(i, rng.choice(["hot", "hot", "b", None]), day(a), day(a + rng.choice([-2, 0, 1, 40, 1500])))
+                       for i, a in enumerate(rng.choice([-9000, 0, 30, 700]) + rng.randint(0, 60) for _ in range(n))]
+    ldf = spark.createDataFrame([*spans(90), (90, "b", None, day(5)), (91, "b", day(5), None)], "i int, k string, a date, b date")
+    rdf = spark.createDataFrame([*spans(20), (20, "b", day(1), None)], "j int, k string, c date, d date")
+    pairs = lambda width: sorted((r.i, r.j) for r in overlap_join(ldf, rdf, ["k"], ("a", "b"), ("c", "d"), width).collect())
+    assert pairs(None) == pairs(16) and pairs(None)
+
+
+def test_transit_lines_are_not_multiplied_by_the_length_of_their_spans(rough):
+    tables, _ = rough
+    plan = QUERIES["transit_peaks"](tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan
+
+
 # Month bitmaps
 
 def test_bitmaps_hold_the_months_and_merge(spark):

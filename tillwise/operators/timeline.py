@@ -87,7 +87,8 @@ def transit_peaks(t: Tables) -> DataFrame:
                                                          "from_date", "to_date")).alias("p"))
     peaks = best.select("l_partkey", "p.units", "p.from_date", "p.to_date")
     lines = _transit_lines(t).select("l_orderkey", "l_partkey", "qty", "order_date", "ship_date")
-    pairs = overlap_join(lines, peaks, ["l_partkey"], ("order_date", "ship_date"), ("from_date", "to_date"))
+    # One peak per product: buckets would only multiply the lines, each by the length of its span.
+    pairs = overlap_join(lines, peaks, ["l_partkey"], ("order_date", "ship_date"), ("from_date", "to_date"), bucket_days=None)
     per_order = pairs.groupBy("l_partkey", "units", "from_date", "to_date", "l_orderkey").agg(
         F.count(F.lit(1)).alias("n"), F.sum("qty").alias("qty"))
     return per_order.groupBy("l_partkey", F.col("units").alias("peak_units"), "from_date", "to_date").agg(
