@@ -96,6 +96,24 @@ def test_weighted_percentiles_count_rows_of_a_value_together(spark):
         assert (r.n, r.p50) == (len(values), place(values, 50))
 
 
+def test_a_value_that_counts_in_several_groups_is_held_once_and_stays_in_place(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1, 2, None]), rng.choice([None, rng.randint(-10 ** 9, 10 ** 9)]), rng.randint(0, 3))
+            for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, g int, v bigint, w int")
+    none = F.lit(None).cast("string")
+    groups = F.array(*[F.struct(F.lit(name).alias("grain"), k.alias("k")) for name, k in (("k", F.col("k")), ("all", none))])
+    out = exact_percentiles(df, ["grain", "k"], "v", [50, 95], weight="w", base=["k"], groups=groups)
+    want = {}
+    for k, _, v, w in rows:
+        for key in (("k", k), ("all", None)):
+            want.setdefault(key, []).extend([v] * w if v is not None else [])
+    got = {(r.grain, r.k): (r.n, r.p50, r.p95) for r in out.collect()}
+    assert got == {key: (len(vs), place(vs, 50), place(vs, 95)) for key, vs in want.items() if vs}
+    text = plan(out)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text   # the values meet few slices where they are
+
+
 def test_percentiles_of_nothing_and_of_too_wide_a_range(spark):
     df = spark.createDataFrame([("a", -(2 ** 62)), ("a", 2 ** 62)], "k string, v bigint")
     assert exact_percentiles(df.limit(0), ["k"], "v", [50]).count() == 0

@@ -41,8 +41,8 @@ def sketch_accuracy(t: Tables) -> DataFrame:
     buyers = (orders.select("o_custkey", "month", "region").distinct().select("o_custkey", F.inline(grains)).distinct()
               .groupBy(*keys).agg(F.count("o_custkey").alias("buyers")))
     lines = line_measures(t).select("l_orderkey", ten_thousandths(F.col("revenue")).alias("value"), "n_lines")
-    values = dated_lines(t, lines, ["n_lines"], carry=("value",), orders=orders).select("value", F.inline(grains))
-    exact = exact_percentiles(values, keys, "value", [50, 95]).withColumnsRenamed({k: f"e_{k}" for k in keys})
+    values = dated_lines(t, lines, ["n_lines"], carry=("value",), orders=orders).select("value", "month", "region")
+    exact = exact_percentiles(values, keys, "value", [50, 95], base=["month", "region"], groups=grains).withColumnsRenamed({k: f"e_{k}" for k in keys})
     found = rollup(sketch_state(t)).withColumnsRenamed({k: f"s_{k}" for k in keys} | {"n_lines": "s_lines"})
     same = lambda other, p: ((buyers.grain == other[f"{p}_grain"]) & buyers.month.eqNullSafe(other[f"{p}_month"])
                              & buyers.region.eqNullSafe(other[f"{p}_region"]))
