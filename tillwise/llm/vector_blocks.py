@@ -32,6 +32,7 @@ NONE = np.iinfo(np.int64).min      # the score of a row that does not count
 NO_ID = np.iinfo(np.int64).max     # stands for a null id, which sorts last
 BLOCK_BYTES = 1 << 18              # vectors of a block
 FILE_BYTES = 128 << 20             # vectors of a file
+FILE_ROWS = 16_384  # rows below which a file is not split for the cores
 
 
 def takes_part(vector: str, scale: int) -> Column:
@@ -205,8 +206,9 @@ def write_blocks(rows: DataFrame, vector: str, scale: int, folder: str) -> tuple
 
     The order ends with the row's place in the input, so copies of one vector are spread over files."""
     shape = extent(rows, vector, scale)
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    files = int(max(cores, -(-shape.rows * max(1, shape.dim) * shape.dtype.itemsize // FILE_BYTES)))
+    # A file for each core, but none of a few blocks: within a file a search starts without a threshold.
+    cores = min(rows.sparkSession.sparkContext.defaultParallelism, -(-shape.rows // FILE_ROWS))
+    files = int(max(1, cores, -(-shape.rows * max(1, shape.dim) * shape.dtype.itemsize // FILE_BYTES)))
     order = ["label", "curve", "vec_id", "at"]
     placed = (rows.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), vector)
               .mapInArrow(_place(shape, scale), "vec_id long, label long, curve binary, q binary")
