@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -49,6 +50,27 @@ def expected(rows):
     return out
 
 
+def test_ids_are_put_together_a_few_pieces_at_a_time(monkeypatch):
+    rng = random.Random(3)
+    texts = [None, "", " ", "a  b", "one\ntwo three", *(" ".join(rng.choices(["le", "nicht.", "été,", "a\nb", "12", ""], k=n)) for n in range(40))]
+    whole = ids.Encoder(ids.default_tokenizer()).encode(texts)
+    monkeypatch.setattr(ids, "PIECES_AT_ONCE", 7)
+    encoder = ids.Encoder(ids.default_tokenizer())
+    assert encoder.encode(texts) == whole
+    assert whole == [np.asarray(encoder.encode_whole(t or "").ids, encoder.dtype).tobytes() for t in texts]
+
+
+def test_putting_ids_together_holds_few_bytes_a_piece():
+    encoder, words = ids.Encoder(ids.default_tokenizer()), 1000
+    texts = ids.pa.array([" ".join(["le"] * words)] * 2000)
+    encoder.encode_slice(texts.slice(0, 1))
+    tracemalloc.start()
+    out = encoder.encode_slice(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == len(texts) and most < 10 * words * len(texts)  # numpy's arrays; over 24 bytes a piece before
+
+
 def test_token_files_of_odd_documents(spark):
     docs = odd(spark)
     folder = scratch(spark, "test-ids")

@@ -11,7 +11,7 @@ last, holds each file's ids, from which a running sum gives the ids before it.
 Tokenizing in pieces: in byte-level BPE every piece that begins at a single space after a word is
 merged on its own, so a text is the concatenation of its pieces.  A slice of texts (bounded by bytes) is
 split and its pieces dictionary-encoded in Arrow; only distinct pieces are tokenized, and the ids of the
-texts are taken from the dictionary by index.  Short pieces that repeat within a slice are kept for the next,
+texts are taken from the dictionary by index, some texts at a time.  Short pieces that repeat within a slice are kept for the next,
 in a store of bounded size.  Texts where a space touches other white space on both sides, or that hold
 a special token, are encoded whole.
 
@@ -41,6 +41,7 @@ TAIL = "<8sBQQQQ"  # magic, bytes an id, null doc ids, ids, bytes of: boundaries
 MAGIC = b"EFIDS001"
 DOCS_PER_FILE = 20_000
 SLICE_BYTES = 16 << 20     # text split at a time
+PIECES_AT_ONCE = 1 << 18  # pieces whose ids are put together at a time
 KEPT_PIECES = 100_000     # repeated pieces kept from slice to slice
 KEPT_CHARS = 32           # the longest of them
 
@@ -149,26 +150,24 @@ class Encoder:
         heads = np.zeros(len(flat), bool)
         heads[starts[:-1]] = True
         coded = flat.filter(pa.array(~heads)).dictionary_encode()
-        found = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         leads = flat.filter(pa.array(heads)).to_numpy(zero_copy_only=False).tolist()
+        del pieces, flat, heads  # the codes stand for them
+        found, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         self._prime(found)
         # Entries: distinct pieces, the first piece of each text, the end.
-        entries = list(map(self.after.__getitem__, found)) + list(map(self.first.__getitem__, leads)) + [end]
-        at = np.arange(docs)
-        index = np.empty(len(flat) + docs, np.int64)
-        place = np.arange(len(flat)) + np.repeat(at, np.diff(starts))   # one end after each text before
-        index[place[~heads]] = coded.indices.to_numpy()
-        index[place[heads]] = len(found) + at
-        ends = starts[1:] + at
-        index[ends] = len(entries) - 1
-        bytes_of = pa.array(entries, pa.large_binary()).take(pa.array(index))
-        offsets = np.frombuffer(bytes_of.buffers()[1], np.int64, len(index) + 1)
-        cuts = np.concatenate([offsets[:1], offsets[ends + 1]])
-        counts = np.bincount(coded.indices.to_numpy(), minlength=len(found))
+        entries = pa.array([*map(self.after.__getitem__, found), *map(self.first.__getitem__, leads), end], pa.large_binary())
+        counts = np.bincount(codes, minlength=len(found))
         often = np.argsort(-counts, kind="stable")[:self.limit]   # the limit takes the most frequent
         self.after.settle([found[i] for i in often[counts[often] > 1]], self.limit)
         self.first.settle(leads[:self.limit], self.limit)
-        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), docs, [None, pa.py_buffer(cuts), bytes_of.buffers()[2]])
+        words = len(found)
+        del found, leads, counts, often
+        done, at = [], 0
+        while at < docs:  # texts of about PIECES_AT_ONCE pieces
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + PIECES_AT_ONCE, "right")) - 1)
+            done.append(_joined(entries, words, codes, starts, at, to))
+            at = to
+        return pa.concat_arrays(done)
 
     def _prime(self, found: list[str]) -> None:
         """Encode what new distinct pieces are made of, many in one call."""
@@ -195,6 +194,22 @@ class Encoder:
             known.prime_apart(odd[at:at + 1000])
 
 
+def _joined(entries: pa.Array, words: int, codes: np.ndarray, starts: np.ndarray, at: int, to: int) -> pa.Array:
+    """The ids of texts ``at`` to ``to``, put together from the entries of their pieces: ``words`` are the
+    distinct pieces, ``starts`` where the pieces of each text begin, ``codes`` all but the first of each."""
+    here, texts = starts[at:to + 1] - starts[at], np.arange(to - at)
+    first, last = here[:-1] + texts, here[1:] + texts   # one end after each text before
+    index = np.empty(int(here[-1]) + to - at, np.int32)
+    inner = np.ones(len(index), bool)
+    inner[first] = inner[last] = False
+    index[inner] = codes[starts[at] - at:starts[to] - to]
+    index[first], index[last] = words + at + texts, len(entries) - 1
+    ids = entries.take(pa.array(index))
+    offsets = np.frombuffer(ids.buffers()[1], np.int64, len(index) + 1)
+    cuts = np.concatenate([offsets[:1], offsets[last + 1]])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), to - at, [None, pa.py_buffer(cuts), ids.buffers()[2]])
+
+
 _encoders: dict[str, Encoder] = {}
 
 
