@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import broadcast_if_small, materialize, scratch, slices, table
+from tillwise.llm.common import BROADCAST_ROWS, materialize, scratch, slices, table
 from tillwise.llm.files import AtomicFile, filesystem
 from tillwise.llm.shingles import mix
 
@@ -441,20 +441,20 @@ def _seat_root(d: float, strength: float, sweep: int):
         for batch in batches:
             ids, m = batch.column("id").to_numpy(), batch.column("m").to_numpy()
             s = seat(m, np.full(len(m), strength), d, ids, 1000 + sweep) if len(m) else m
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s.astype(np.int64))], names=["id", "tables", "m", "s"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s.astype(np.int64))], names=["id", "met", "tables", "m", "s"])
 
     return run
 
 
 def _root(state: DataFrame, d: float, sweep: int, size: int, before: float | None) -> tuple[DataFrame, int]:
-    """(id, tables, p) from (id, tables, m): the root's predictive probabilities over its seated customers
+    """(id, met, tables, p) from (id, met, tables, m): the root's predictive probabilities over its seated customers
     with a uniform base; and the number of its tables."""
     base = 1.0 / (size + 1)
     strength = (THETA + d * (size if before is None else before)) * base
-    seated = materialize(state.mapInArrow(_seat_root(d, strength, sweep), "id long, tables long, m long, s long"), "lm-state")
+    seated = materialize(state.mapInArrow(_seat_root(d, strength, sweep), "id long, met boolean, tables long, m long, s long"), "lm-state")
     total = seated.agg(F.sum("m").alias("m"), F.sum("s").alias("s")).first()
     p = (F.col("m") - d * F.col("s") + (THETA + d * total.s) * base) / (THETA + total.m)
-    return seated.select("id", "tables", p.alias("p")), total.s
+    return seated.select("id", "met", "tables", p.alias("p")), total.s
 
 
 @dataclass
@@ -502,14 +502,18 @@ def learn(pairs: DataFrame, words: DataFrame, vocabulary: Vocabulary, burn: int
     names = ["n", "pairs", "once", "dishes", "dishes_once", "twice"]
     found = (pairs.mapInArrow(_sums, "id long, " + ", ".join(f"{n} long" for n in names))
              .groupBy("id").agg(*[F.sum(n).alias(n) for n in names]))
-    counted = materialize(words.join(found, "id", "left").na.fill(0, names).select("h", "id", "c", *names), "lm-counted")
-    total = counted.agg(F.sum("once").alias("once"), F.sum("twice").alias("twice")).first()
-    d = _discount(total.once or 0, total.twice or 0)
     again = materialize(pairs.mapInArrow(_repeated, "key long, u long, w long, c long"), "lm-again")
-    state, tables = _root(counted.select("id", F.col("pairs").alias("tables"), F.col("dishes").alias("m")), d, 0, size, None)
+    # Only the words of pairs that occur again meet pairs in a sweep.
+    met = again.select(F.explode(F.array("u", "w")).alias("id")).distinct().withColumn("met", F.lit(True))
+    counted = materialize(words.join(found, "id", "left").join(met, "id", "left").na.fill(0, names).na.fill(False, ["met"])
+                          .select("h", "id", "met", "c", *names), "lm-counted")
+    total = counted.agg(F.sum("once").alias("once"), F.sum("twice").alias("twice"), F.count_if("met").alias("met")).first()
+    d = _discount(total.once or 0, total.twice or 0)
+    small = F.broadcast if total.met <= BROADCAST_ROWS else (lambda rows: rows)
+    state, tables = _root(counted.select("id", "met", F.col("pairs").alias("tables"), F.col("dishes").alias("m")), d, 0, size, None)
     levels, seated = [], None
     for sweep in range(1, burn + samples + 1):
-        own = broadcast_if_small(state)
+        own = small(state.where("met"))
         ready = (again.join(own.select(F.col("id").alias("u"), "tables"), "u")
                  .join(own.select(F.col("id").alias("w"), "p"), "w").select("key", "c", F.col("tables").cast("double").alias("tables"), "p"))
         t = materialize(ready.mapInArrow(_seat_pairs(d, sweep), "key long, t long"), "lm-seated")
@@ -517,8 +521,8 @@ def learn(pairs: DataFrame, words: DataFrame, vocabulary: Vocabulary, burn: int
         sums = (t.select(F.shiftright("key", 32).alias("id"), F.col("t").alias("tu"), none.alias("tw"))
                 .union(t.select(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("id"), none.alias("tu"), F.col("t").alias("tw")))
                 .groupBy("id").agg(F.sum("tu").alias("tu"), F.sum("tw").alias("tw")))
-        joined = counted.join(sums, "id", "left").na.fill(0, ["tu", "tw"])
-        state, tables = _root(joined.select("id", (F.col("once") + F.col("tu")).alias("tables"),
+        joined = counted.join(small(sums), "id", "left").na.fill(0, ["tu", "tw"])
+        state, tables = _root(joined.select("id", "met", (F.col("once") + F.col("tu")).alias("tables"),
                                             (F.col("dishes_once") + F.col("tw")).alias("m")), d, sweep, size, tables)
         if sweep > burn:
             levels.append(state)
