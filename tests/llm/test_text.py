@@ -123,6 +123,25 @@ def test_every_training_word_has_a_context_and_a_dish(spark):
     assert sorted(r.id for r in words.collect()) == list(range(vocabulary.size + 1)) and vocabulary.size == 40 + 40 + 3 + 1
 
 
+def test_sweeps_join_only_words_of_pairs_that_occur_again(spark, monkeypatch):
+    train = [i for i in range(300) if not is_held(i, 7, 2)]
+    docs = spark.createDataFrame([(i, "a b" if n < 9 else f"x{n} y{n}") for n, i in enumerate(train)], "doc_id bigint, text string")
+    stored, materialize = {}, lm.materialize
+
+    def keep(df, name):
+        stored[name] = materialize(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(lm, "materialize", keep)
+    few = sorted(lm.score_documents(docs).collect())
+    met = {r.h for r in stored["lm-counted"].where("met").collect()}
+    assert met == {lm.word_hash(w) for w in (lm.START, lm.END, b"a", b"b")}
+    assert stored["lm-counted"].count() > 2 * (len(train) - 9)
+    monkeypatch.setattr(lm, "materialize", materialize)
+    monkeypatch.setattr(lm, "BROADCAST_ROWS", 0)  # the same joins shuffled
+    assert sorted(lm.score_documents(docs).collect()) == few
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 
