@@ -218,6 +218,55 @@ def test_line_links_grow_with_the_length_and_equal_brute_force(spark):
     assert got == want and far > 500 and any(len(x) < 20 for x in found)
 
 
+def test_line_entries_that_meet_nothing_do_not_travel(spark):
+    """Of the entries of 400 unlike lines and one near copy, little more than those of the two are sent."""
+    rng = random.Random(4)
+    found = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(300)).strip() for _ in range(400)]
+    found.append(found[0][:150] + "XYZ" + found[0][150:])
+    df = spark.createDataFrame([(x,) for x in found], "line string").repartition(4)
+    _, kept = lines.kept_entries(df)
+    total = sum(len(lines.anchors(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x)]))[0]) for x in found)
+    sent = kept.agg({"count": "sum"}).first()[0]
+    assert total > 400 * 50 and 2 * 40 < sent < total / 50
+    name = lambda x: hashlib.md5(x.encode()).hexdigest()
+    assert [tuple(sorted(r)) for r in lines.line_links(df).collect()] == [tuple(sorted((name(found[0]), name(found[-1]))))]
+
+
+def test_lines_in_several_units_belong_to_one(spark):
+    """Units of one batch each, the same lines in all of them: links are those of the distinct lines."""
+    rng = random.Random(5)
+    found = ["é".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(12)) for _ in range(20)]
+    found += [edited(rng, x, 3) for x in found]
+    df = spark.createDataFrame([(x,) for x in found * 3], "line string").repartition(7)
+    known, kept = lines.kept_entries(df)
+    assert known.select("unit").distinct().count() > 1
+    assert kept.select("unit", "part").distinct().count() == kept.count()
+    name = lambda x: hashlib.md5(x.encode()).hexdigest()
+    want = {tuple(sorted((name(a), name(b)))) for a, b in combinations(sorted(set(found)), 2)
+            if abs(len(a) - len(b)) <= 6 and distance(a, b) <= lines.allowed(max(len(a), len(b)))}
+    assert {tuple(sorted(r)) for r in lines.line_links(df).collect()} == want and len(want) >= 20
+
+
+def test_class_links_verify_few_pairs_of_a_family_and_keep_its_classes(spark):
+    """Families of 40 copies with up to 3 edits: all their pairs are links, few are needed; classes are equal."""
+    rng = random.Random(6)
+    found = set()
+    for size in (120, 90, 40):
+        base = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40))[:size].strip()
+        found |= {edited(rng, base, rng.randint(1, 3)).strip() for _ in range(40)}
+    df = spark.createDataFrame([(x,) for x in sorted(found)], "line string")
+    every, few = ({tuple(sorted(r)) for r in f(df).collect()} for f in (lines.line_links, lines.class_links))
+
+    def classes(links):
+        root = {x: x for pair in every for x in pair}
+        find = lambda x: x if root[x] == x else find(root[x])
+        for x, y in links:
+            root[find(x)] = find(y)
+        return {frozenset(x for x in root if find(x) == r) for r in map(find, root)}
+
+    assert few <= every and classes(few) == classes(every) and len(few) < len(every) / 2
+
+
 def test_line_dedup_of_odd_documents(spark):
     docs = odd(spark)
     kept = {}
