@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.odd import LONG, PASSAGE, odd
@@ -247,6 +248,48 @@ def test_lines_in_several_units_belong_to_one(spark):
     assert {tuple(sorted(r)) for r in lines.line_links(df).collect()} == want and len(want) >= 20
 
 
+def test_line_parts_hold_alike_many_entries():
+    """Anchors are the least hashes of their windows; the parts that their hashes choose are even all the same."""
+    rng = random.Random(7)
+    data = np.frombuffer("".join(rng.choice("abcdefghijklmnop ") for _ in range(200_000)).encode(), np.uint8)
+    _, grams = lines.anchors(data, np.array([0]), np.array([len(data)]))
+    held = np.bincount(lines._part_of(grams, 16).astype(np.int64), minlength=16)
+    assert len(grams) > 40_000 and held.max() < 1.2 * held.mean()
+
+
+def test_pairs_of_a_part_leave_it_some_at_a_time(monkeypatch):
+    """300 lines meet under one gram: all their pairs are found, but few are held at a time; cells of some entries
+    at a time are those of all."""
+    monkeypatch.setattr(lines, "MEET", 1_000)
+    monkeypatch.setattr(lines, "STEP", 64)
+    rng = np.random.default_rng(8)
+    n = rng.integers(100, 104, 300)
+    grams, links, at, line = np.full(300, 9 << 24, np.uint64), np.zeros(300, np.uint64), np.full(300, 40), np.arange(300)
+    found = list(lines.meetings(grams, links, n, at, line))
+    assert max(map(len, found)) <= 1_000 + 300
+    assert {tuple(sorted(p)) for x in found for p in x.tolist()} == set(combinations(range(300), 2))
+    assert list(map(len, lines.meetings(*(x[:0] for x in (grams, links, n, at, line))))) == [0]
+    at = rng.integers(0, 90, 300)
+    (a, b), (c, d) = lines._all_cells(grams, n, at, line), lines.cells(grams, n, at, line)
+    assert sorted(zip(a.tolist(), b.tolist())) == sorted(zip(c.tolist(), d.tolist()))
+
+
+@pytest.mark.parametrize("threshold", [None, 0, 1, 3, 40])
+def test_pairs_verified_in_step_equal_one_by_one(threshold, monkeypatch):
+    """Pairs of 1 to 900 characters in four alphabets, compared some at a time, and the sketches that rule pairs out."""
+    monkeypatch.setattr(lines, "PIECE", 50_000)
+    rng = random.Random(9)
+    pairs = []
+    for _ in range(700):
+        letters = rng.choice(["ab", "abcdefgh é", "日本語abc😀", "abcdefghijklmnop"])
+        base = "".join(rng.choice(letters) for _ in range(rng.choice([rng.randint(1, 60), rng.randint(60, 660), 900])))
+        pairs.append((base, edited(rng, base, rng.randint(0, 2 * lines.allowed(len(base)) + 1))))
+    want = [lines.within(a, b, lines.allowed(max(len(a), len(b))) if threshold is None else threshold) for a, b in pairs]
+    s, t = (pa.array(x) for x in zip(*pairs))
+    assert lines.nears(s, t, threshold).tolist() == want and 20 < sum(want)
+    assert lines.nears(s[:0], t[:0], threshold).tolist() == []
+
+
 def test_class_links_verify_few_pairs_of_a_family_and_keep_its_classes(spark):
     """Families of 40 copies with up to 3 edits: all their pairs are links, few are needed; classes are equal."""
     rng = random.Random(6)
